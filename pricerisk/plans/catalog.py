@@ -11,6 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pricerisk.functions.expressions import pct
+from pricerisk.operators import correlation as corr
+from pricerisk.operators import portfolio as pf
 from pricerisk.operators import returns as ret
 from pricerisk.operators import risk
 from pricerisk.sources import fixtures as fx
@@ -58,3 +61,74 @@ def q_risk_metrics(spark, sf_dir):
 @register("risk_metrics_events")
 def q_risk_metrics_events(spark, sf_dir):
     return risk.risk_metrics(core_events(spark, sf_dir))
+
+
+@register("clean_returns")
+def q_clean_returns(spark, sf_dir):
+    return ret.clean_returns(core_lineitem(spark, sf_dir))
+
+
+@register("drawdown_series")
+def q_drawdown_series(spark, sf_dir):
+    return ret.drawdown_series(core_lineitem(spark, sf_dir))
+
+
+@register("max_drawdown")
+def q_max_drawdown(spark, sf_dir):
+    return risk.max_drawdown(core_lineitem(spark, sf_dir))
+
+
+@register("var_95")
+def q_var_95(spark, sf_dir):
+    return risk.value_at_risk(core_lineitem(spark, sf_dir))
+
+
+@register("var_95_window")
+def q_var_95_window(spark, sf_dir):
+    w = risk.var_95_window(core_lineitem(spark, sf_dir))
+    return w.select("symbol", pct("var_95").alias("var_95_pct")).distinct()
+
+
+@register("volatility")
+def q_volatility(spark, sf_dir):
+    return risk.volatility(core_lineitem(spark, sf_dir))
+
+
+@register("sharpe_ratio")
+def q_sharpe_ratio(spark, sf_dir):
+    return risk.sharpe_ratio(core_lineitem(spark, sf_dir))
+
+
+@register("latest_prices")
+def q_latest_prices(spark, sf_dir):
+    return pf.latest_prices(core_lineitem(spark, sf_dir))
+
+
+@register("latest_price_per_symbol")
+def q_latest_price_per_symbol(spark, sf_dir):
+    return pf.latest_price_per_symbol(core_lineitem(spark, sf_dir))
+
+
+@register("portfolio_summary")
+def q_portfolio_summary(spark, sf_dir):
+    return pf.portfolio_summary(core_lineitem(spark, sf_dir))
+
+
+@register("portfolio_summary_events")
+def q_portfolio_summary_events(spark, sf_dir):
+    return pf.portfolio_summary(core_events(spark, sf_dir))
+
+
+@register("return_pairs")
+def q_return_pairs(spark, sf_dir):
+    return corr.return_pairs(core_lineitem(spark, sf_dir))
+
+
+@register("correlation_matrix")
+def q_correlation_matrix(spark, sf_dir):
+    return corr.correlation_matrix(core_lineitem(spark, sf_dir))
+
+
+@register("correlation_matrix_events")
+def q_correlation_matrix_events(spark, sf_dir):
+    return corr.correlation_matrix(core_events(spark, sf_dir))
