@@ -10,13 +10,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pricerisk.functions.expressions import pct
 from pricerisk.operators import correlation as corr
+from pricerisk.operators import dedup as dd
 from pricerisk.operators import portfolio as pf
 from pricerisk.operators import returns as ret
 from pricerisk.operators import risk
+from pricerisk.session import scratch_path
+from pricerisk.sinks import writers as sk
 from pricerisk.sources import fixtures as fx
+from pricerisk.sources import prices as src
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -132,3 +137,79 @@ def q_correlation_matrix(spark, sf_dir):
 @register("correlation_matrix_events")
 def q_correlation_matrix_events(spark, sf_dir):
     return corr.correlation_matrix(core_events(spark, sf_dir))
+
+
+# --- ingest side -----------------------------------------------------------
+
+HISTORY_START, HISTORY_END = "1998-01-01", "1999-01-01"  # one year of history, end exclusive
+
+
+def part_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Universe of lineitem symbols: every brand in the part table."""
+    return fx.table(spark, sf_dir, "part").select(F.col("p_brand").alias("symbol")).distinct()
+
+
+@register("stg_prices")
+def q_stg_prices(spark, sf_dir):
+    return src.stage_prices(fx.raw_price_rows(spark, sf_dir))
+
+
+@register("raw_roundtrip")
+def q_raw_roundtrip(spark, sf_dir):
+    """Land raw rows in two dated runs (re-running the first), glob them back and stage them."""
+    raw = fx.raw_price_rows(spark, sf_dir)
+    cut = F.unix_micros(F.lit(fx.FIRST_RUN_DT).cast("timestamp")) * F.lit(1000)
+    root = scratch_path(spark, "raw_roundtrip")
+    first, second = raw.filter(F.col("date") < cut), raw.filter(F.col("date") >= cut)
+    sk.write_raw(first, root, fx.FIRST_RUN_DT)
+    sk.write_raw(second, root, fx.SECOND_RUN_DT)
+    sk.write_raw(first, root, fx.FIRST_RUN_DT)  # re-run replaces that date's files
+    return src.stage_prices(src.read_raw_prices(spark, f"{root}/{sk.RAW_PREFIX}"))
+
+
+@register("normalize_columns")
+def q_normalize_columns(spark, sf_dir):
+    return src.normalize_columns(
+        fx.vendor_frame(spark, sf_dir), symbol=F.col("ticker"), ingested_at=fx.STANDIN_INGESTED_AT
+    )
+
+
+@register("union_sources")
+def q_union_sources(spark, sf_dir):
+    return src.union_sources(fx.event_sources(spark, sf_dir))
+
+
+@register("universe_filter")
+def q_universe_filter(spark, sf_dir):
+    return src.universe_filter(fx.event_bars(spark, sf_dir), src.universe(spark, fx.EVENT_UNIVERSE))
+
+
+@register("load_history")
+def q_load_history(spark, sf_dir):
+    return src.load_history(
+        fx.lineitem_bars(spark, sf_dir),
+        part_universe(spark, sf_dir),
+        HISTORY_START,
+        HISTORY_END,
+        broadcast_universe=False,
+    )
+
+
+@register("records_from_json")
+def q_records_from_json(spark, sf_dir):
+    return src.records_to_prices(fx.price_payloads(spark, sf_dir), "payload")
+
+
+@register("ingest_counts")
+def q_ingest_counts(spark, sf_dir):
+    return sk.ingest_counts(fx.raw_price_rows(spark, sf_dir))
+
+
+@register("dedup_prices")
+def q_dedup_prices(spark, sf_dir):
+    return dd.dedup_prices(fx.duplicated_bars(spark, sf_dir))
+
+
+@register("base_prices")
+def q_base_prices(spark, sf_dir):
+    return pf.base_prices(fx.lineitem_bars(spark, sf_dir), part_universe(spark, sf_dir))

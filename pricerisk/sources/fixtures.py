@@ -76,3 +76,108 @@ def lineitem_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumn("ingested_at", F.lit(STANDIN_INGESTED_AT))
     )
+
+
+# Fixed stand-in parameters for the ingest queries.
+EVENT_UNIVERSE = [(f"S{i}", f"Event symbol {i}") for i in range(EVENT_SYMBOL_COUNT)]
+PAYLOAD_RECORDS = 100  # records per JSON payload (one ingest response)
+REINGEST_FROM = "2024-01-15"  # second landing run re-delivers days from here on
+REINGEST_AT = "2024-02-02T00:00:00+00:00"
+FIRST_RUN_DT = "2024-01-15"
+SECOND_RUN_DT = "2024-01-31"
+
+
+def raw_price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw landed rows from events: ``date`` as epoch nanoseconds (BIGINT).
+
+    Each event is one bar (open = high = low = close = value, volume =
+    props.k), stamped with the fixed ingest time.
+    """
+    t = event_ticks(spark, sf_dir)
+    return t.select(
+        (F.unix_micros("timestamp") * F.lit(1000)).alias("date"),
+        "symbol",
+        F.col("price").alias("open"),
+        F.col("price").alias("high"),
+        F.col("price").alias("low"),
+        F.col("price").alias("close"),
+        "volume",
+        F.lit(STANDIN_INGESTED_AT).alias("ingested_at"),
+    )
+
+
+def vendor_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event bars with vendor-style headers: capitalised, some as two-level tuples."""
+    b = event_bars(spark, sf_dir)
+    return b.select(
+        F.col("date").alias("Date"),
+        F.col("open").alias("('Open', 'ANY')"),
+        F.col("high").alias("High"),
+        F.col("low").alias("LOW"),
+        F.col("close").alias("('Close', 'ANY')"),
+        F.col("volume").alias("Volume"),
+        F.col("symbol").alias("Ticker"),
+    )
+
+
+def event_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """One source per event type, each exposing a different column subset."""
+    ev = table(spark, sf_dir, "events")
+    kinds = ["view", "click", "purchase", "error", "signup", "no_such_type"]
+    shapes = {
+        "view": ["event_id", "ts", "user_id", "event_type", "value"],
+        "click": ["event_id", "ts", "user_id", "event_type", "props"],
+        "purchase": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+        "error": ["event_id", "ts", "event_type"],
+        "signup": ["event_id", "ts", "user_id", "event_type", "value"],
+        "no_such_type": ["event_id", "event_type", "extra"],
+    }
+    out = []
+    for k in kinds:
+        cols = [c if c != "extra" else F.lit("x").alias("extra") for c in shapes[k]]
+        out.append(ev.filter(F.col("event_type") == k).select(*cols))
+    return out
+
+
+def price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON array-of-records payloads, ``PAYLOAD_RECORDS`` consecutive event ids each.
+
+    Record dates are ISO-8601 strings with a UTC offset, as an HTTP ingest
+    response carries them.
+    """
+    t = event_ticks(spark, sf_dir)
+    rec = F.struct(
+        F.concat(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")).alias("date"),
+        F.col("symbol"),
+        F.col("price").alias("open"),
+        F.col("price").alias("high"),
+        F.col("price").alias("low"),
+        F.col("price").alias("close"),
+        F.col("volume"),
+        F.lit(STANDIN_INGESTED_AT).alias("ingested_at"),
+    )
+    return t.groupBy(F.floor(F.col("event_id") / PAYLOAD_RECORDS).alias("payload_id")).agg(
+        F.to_json(F.collect_list(rec)).alias("payload")
+    )
+
+
+def duplicated_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event bars landed twice: a second run re-delivers the later days revised.
+
+    The second run restates each day from ``REINGEST_FROM`` on with the close
+    set to the day's mean tick price and a later ``ingested_at``.
+    """
+    first = event_bars(spark, sf_dir)
+    ticks = event_ticks(spark, sf_dir)
+    mean = ticks.groupBy("symbol", F.col("timestamp").cast("date").alias("date")).agg(
+        F.round(F.avg("price"), 4).alias("mean_price")
+    )
+    second = (
+        first.filter(F.col("date") >= F.lit(REINGEST_FROM).cast("date"))
+        .join(mean, ["symbol", "date"])
+        .withColumn("close", F.col("mean_price"))
+        .withColumn("ingested_at", F.lit(REINGEST_AT))
+        .drop("mean_price")
+        .select(*first.columns)
+    )
+    return first.unionByName(second)
