@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricerisk.functions.expressions import pct
+from pricerisk.operators import alerts as al
 from pricerisk.operators import correlation as corr
 from pricerisk.operators import dedup as dd
 from pricerisk.operators import portfolio as pf
 from pricerisk.operators import returns as ret
 from pricerisk.operators import risk
+from pricerisk.operators import ticks as tk
 from pricerisk.session import scratch_path
 from pricerisk.sinks import writers as sk
 from pricerisk.sources import fixtures as fx
@@ -213,3 +215,71 @@ def q_dedup_prices(spark, sf_dir):
 @register("base_prices")
 def q_base_prices(spark, sf_dir):
     return pf.base_prices(fx.lineitem_bars(spark, sf_dir), part_universe(spark, sf_dir))
+
+
+# --- ticks and alerts ----------------------------------------------------------
+
+METRIC_DECIMALS = 6  # float statistics are reported with 6 dp
+ALERT_WINDOW = "6 hours"  # event-time window of the windowed-alert query
+
+
+def _alert_out(df: DataFrame, group: list[str]) -> DataFrame:
+    return df.select(
+        *group,
+        "symbol",
+        "alert_id",
+        "alert_type",
+        F.round("metric_value", METRIC_DECIMALS).alias("metric_value"),
+        "threshold_value",
+        "price_at_alert",
+    )
+
+
+@register("tick_parse")
+def q_tick_parse(spark, sf_dir):
+    return tk.parse_ticks(fx.tick_bodies(spark, sf_dir), "body")
+
+
+@register("tick_change")
+def q_tick_change(spark, sf_dir):
+    t = fx.event_ticks(spark, sf_dir).select("symbol", "timestamp", "event_id", "price")
+    return tk.tick_change(t)
+
+
+@register("keyed_messages")
+def q_keyed_messages(spark, sf_dir):
+    t = fx.event_ticks(spark, sf_dir).select("symbol", "timestamp", "event_id", "price", "volume")
+    return sk.to_keyed_messages(tk.tick_change(t))
+
+
+@register("latest_tick")
+def q_latest_tick(spark, sf_dir):
+    return tk.latest_tick(fx.event_ticks(spark, sf_dir), ["batch", "symbol"])
+
+
+@register("batch_metrics")
+def q_batch_metrics(spark, sf_dir):
+    m = tk.batch_metrics(fx.event_ticks(spark, sf_dir), "batch")
+    r = lambda c: F.round(c, METRIC_DECIMALS).alias(c)
+    return m.select(
+        "batch", "symbol", r("volatility"), r("avg_price"), "max_price", "min_price", "current_price", "n_ticks"
+    )
+
+
+def _rule_query(rules):
+    def q(spark, sf_dir):
+        return _alert_out(al.batch_alerts(fx.event_ticks(spark, sf_dir), "batch", rules=rules), ["batch"])
+
+    return q
+
+
+register("alert_high_volatility")(_rule_query([al.HIGH_VOLATILITY]))
+register("alert_price_drop")(_rule_query([al.PRICE_DROP]))
+register("alert_price_anomaly")(_rule_query([al.PRICE_ANOMALY]))
+register("alerts")(_rule_query(list(al.ALL_RULES)))
+
+
+@register("windowed_alerts")
+def q_windowed_alerts(spark, sf_dir):
+    w = al.windowed_alerts(fx.event_ticks(spark, sf_dir), ALERT_WINDOW)
+    return _alert_out(w, ["window_start", "window_end"])

@@ -119,7 +119,7 @@ def to_keyed_messages(ticks: DataFrame, source: str = "simulated") -> DataFrame:
         iso_utc_string("timestamp").alias("timestamp"),
         F.lit(source).alias("source"),
     )
-    return ticks.select(F.col("symbol").alias("key"), F.to_json(body).alias("value"))
+    return ticks.select(F.col("symbol").alias("key"), F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
 
 
 def ingest_counts(df: DataFrame) -> DataFrame:
