@@ -76,6 +76,7 @@ def ordered_scan(
     *,
     lag_as: str | None = None,
     running_max_as: str | None = None,
+    first_as: str | None = None,
     width: int | None = None,
     target_rows: int = DEFAULT_TARGET_ROWS,
 ) -> DataFrame:
@@ -85,11 +86,12 @@ def ordered_scan(
     further ``order`` columns break ties. ``lag_as`` names the previous row's
     ``value`` within the key (NULL for the key's first row). ``running_max_as``
     names ``max(value)`` over the key's rows up to and including the current
-    one (``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW``). Every input row
-    and column is kept.
+    one (``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW``). ``first_as``
+    names a flag that is true on the key's first row. Every input row and
+    column is kept.
     """
-    if not lag_as and not running_max_as:
-        raise ValueError("ordered_scan needs lag_as and/or running_max_as")
+    if not lag_as and not running_max_as and not first_as:
+        raise ValueError("ordered_scan needs lag_as, running_max_as or first_as")
     order = list(order)
     cols = df.columns
     ordv = _ordinal(df, order[0])
@@ -101,7 +103,7 @@ def ordered_scan(
 
     w = Window.partitionBy(key, _CHUNK).orderBy(*order, _TIE)
     inner = d
-    if lag_as:
+    if lag_as or first_as:
         inner = inner.withColumn("_in_lag", F.lag(value).over(w)).withColumn(
             "_first", F.lag(F.lit(True)).over(w).isNull()
         )
@@ -122,7 +124,6 @@ def ordered_scan(
             F.lag(F.lit(True)).over(ws).isNotNull().alias("_has_prev"),
         )
         .filter(F.col("_has_prev"))
-        .drop("_has_prev")
     )
 
     out = inner.join(carry, [key, _CHUNK], "left")
@@ -131,4 +132,6 @@ def ordered_scan(
         sel.append(F.when(F.col("_first"), F.col("_carry_last")).otherwise(F.col("_in_lag")).alias(lag_as))
     if running_max_as:
         sel.append(F.greatest(F.col("_in_max"), F.col("_carry_max")).alias(running_max_as))
+    if first_as:
+        sel.append((F.col("_first") & F.col("_has_prev").isNull()).alias(first_as))
     return out.select(*sel)

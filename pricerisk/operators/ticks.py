@@ -50,11 +50,17 @@ def tick_change(
     :func:`ordered_scan`.
     """
     order = [ts] + ([tiebreak] if tiebreak and tiebreak in ticks.columns else [])
-    s = ordered_scan(ticks, key, order, "price", lag_as="prev_price", width=width)
-    if base is not None:
-        s = s.join(base.select(key, "base_price"), key, "left").withColumn(
-            "prev_price", F.coalesce("prev_price", "base_price")
-        ).drop("base_price")
+    if base is None:
+        s = ordered_scan(ticks, key, order, "price", lag_as="prev_price", width=width)
+    else:
+        s = ordered_scan(ticks, key, order, "price", lag_as="prev_price", first_as="_first_tick", width=width)
+        s = (
+            s.join(base.select(key, "base_price"), key, "left")
+            .withColumn(
+                "prev_price", F.when(F.col("_first_tick"), F.col("base_price")).otherwise(F.col("prev_price"))
+            )
+            .drop("base_price", "_first_tick")
+        )
     prev = F.col("prev_price")
     has_prev = prev.isNotNull() & (prev != F.lit(0.0))
     change = F.when(
