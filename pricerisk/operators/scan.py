@@ -16,8 +16,9 @@ and only ever windows within a chunk:
    chunk. Callers may pin ``width`` instead.
 3. Inside each ``(key, chunk)`` group an ordinary window computes the lag and
    running max.
-4. A per-``(key, chunk)`` summary (last value, max) is a partial aggregate. A
-   window over the summary, ordered by chunk, gives each chunk the last value
+4. The last row of every ``(key, chunk)`` group (found with ``lead``) carries
+   the chunk's last value and max. A window over these summary rows, ordered
+   by chunk, gives each chunk the last value
    and the running max it inherits from earlier chunks of the same key; it
    holds one row per chunk, i.e. about ``rows / target_rows`` rows for the
    hottest key.
@@ -37,7 +38,6 @@ from pyspark.sql import types as T
 
 _CHUNK = "_scan_chunk"
 _TIE = "_scan_tie"
-_ORD = "_scan_ord"
 
 # Rows per (key, chunk) group that the densest key is sized to.
 DEFAULT_TARGET_ROWS = 1_000_000
@@ -102,17 +102,22 @@ def ordered_scan(
     )
 
     w = Window.partitionBy(key, _CHUNK).orderBy(*order, _TIE)
-    inner = d
-    if lag_as or first_as:
+    need_lag = bool(lag_as or first_as)
+    inner = d.withColumn("_last_row", F.lead(F.lit(True)).over(w).isNull())
+    if need_lag:
         inner = inner.withColumn("_in_lag", F.lag(value).over(w)).withColumn(
             "_first", F.lag(F.lit(True)).over(w).isNull()
         )
     if running_max_as:
         inner = inner.withColumn("_in_max", F.max(value).over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
-    summary = d.groupBy(key, _CHUNK).agg(
-        F.max_by(F.col(value), F.struct(*[F.col(c) for c in order], F.col(_TIE))).alias("_last"),
-        F.max(value).alias("_cmax"),
+    # The last row of each (key, chunk) holds the chunk's last value and, via
+    # the running max, the chunk max: the summary needs no extra aggregate.
+    summary = inner.filter(F.col("_last_row")).select(
+        key,
+        _CHUNK,
+        F.col(value).alias("_last"),
+        (F.col("_in_max") if running_max_as else F.lit(None)).alias("_cmax"),
     )
     ws = Window.partitionBy(key).orderBy(_CHUNK)
     carry = (
