@@ -9,16 +9,18 @@ and only ever windows within a chunk:
    microseconds for TIMESTAMP, the value itself for integers) and bucketed:
    ``chunk = floor(ordinal / width)``. The chunk id is a pure function of the
    row, so every branch of the plan and every task retry agrees on it.
-2. ``width`` is derived inside the plan from the densest key (rows per ordinal
-   unit, a one-row scalar subquery): a key with that density gets about
-   ``target_rows`` rows per chunk, so a hot symbol is split into many
-   ``(key, chunk)`` groups of bounded size, while sparse keys stay in one
-   chunk. Callers may pin ``width`` instead.
+2. For TIMESTAMP and integer orders (ticks) ``width`` is derived inside the
+   plan from the densest key (rows per ordinal unit, a one-row scalar
+   subquery): a key with that density gets about ``target_rows`` rows per
+   chunk, so a hot symbol is split into many ``(key, chunk)`` groups of
+   bounded size, while sparse keys stay in one chunk. DATE orders (daily
+   bars, at most one row per key and day per landing run) use a fixed
+   calendar width. Callers may pin ``width``.
 3. Inside each ``(key, chunk)`` group an ordinary window computes the lag and
    running max.
-4. The last row of every ``(key, chunk)`` group (found with ``lead``) carries
-   the chunk's last value and max. A window over these summary rows, ordered
-   by chunk, gives each chunk the last value
+4. A per-``(key, chunk)`` summary (last value, max) is a partial aggregate
+   over the unshuffled input, so only one row per chunk is shuffled. A window
+   over the summary, ordered by chunk, gives each chunk the last value
    and the running max it inherits from earlier chunks of the same key; it
    holds one row per chunk, i.e. about ``rows / target_rows`` rows for the
    hottest key.
@@ -41,6 +43,10 @@ _TIE = "_scan_tie"
 
 # Rows per (key, chunk) group that the densest key is sized to.
 DEFAULT_TARGET_ROWS = 1_000_000
+# Chunk width for DATE orders: a bar table holds at most one row per key and
+# day per landing run, so a chunk of this many days is bounded by the
+# calendar, not by data volume, and needs no density probe.
+DEFAULT_DATE_WIDTH = 1024
 
 
 def _ordinal(df: DataFrame, col: str) -> Column:
@@ -95,6 +101,8 @@ def ordered_scan(
     order = list(order)
     cols = df.columns
     ordv = _ordinal(df, order[0])
+    if not width and isinstance(df.schema[order[0]].dataType, T.DateType):
+        width = DEFAULT_DATE_WIDTH
     w_col = F.lit(int(width)).cast("long") if width else chunk_width(df, key, ordv, target_rows)
 
     d = df.withColumn(_TIE, F.xxhash64(*[F.col(c) for c in cols])).withColumn(
@@ -102,36 +110,34 @@ def ordered_scan(
     )
 
     w = Window.partitionBy(key, _CHUNK).orderBy(*order, _TIE)
-    need_lag = bool(lag_as or first_as)
-    inner = d.withColumn("_last_row", F.lead(F.lit(True)).over(w).isNull())
-    if need_lag:
+    inner = d
+    if lag_as or first_as:
         inner = inner.withColumn("_in_lag", F.lag(value).over(w)).withColumn(
             "_first", F.lag(F.lit(True)).over(w).isNull()
         )
     if running_max_as:
         inner = inner.withColumn("_in_max", F.max(value).over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
-    # The last row of each (key, chunk) holds the chunk's last value and, via
-    # the running max, the chunk max: the summary needs no extra aggregate.
-    summary = inner.filter(F.col("_last_row")).select(
-        key,
-        _CHUNK,
-        F.col(value).alias("_last"),
-        (F.col("_in_max") if running_max_as else F.lit(None)).alias("_cmax"),
+    # Chunk summary as a partial aggregate over the unshuffled rows: the
+    # second read of the input is combined map-side and only one row per
+    # (key, chunk) is shuffled.
+    summary = d.groupBy(key, _CHUNK).agg(
+        F.max_by(F.col(value), F.struct(*[F.col(c) for c in order], F.col(_TIE))).alias("_last"),
+        F.max(value).alias("_cmax"),
     )
     ws = Window.partitionBy(key).orderBy(_CHUNK)
-    carry = (
-        summary.select(
-            key,
-            _CHUNK,
-            F.lag("_last").over(ws).alias("_carry_last"),
-            F.max("_cmax").over(ws.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_max"),
-            F.lag(F.lit(True)).over(ws).isNotNull().alias("_has_prev"),
-        )
-        .filter(F.col("_has_prev"))
-    )
-
-    out = inner.join(carry, [key, _CHUNK], "left")
+    carry = summary.select(
+        F.col(key).alias("_ck"),
+        F.col(_CHUNK).alias("_cc"),
+        F.lag("_last").over(ws).alias("_carry_last"),
+        F.max("_cmax").over(ws.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_max"),
+        F.lag(F.lit(True)).over(ws).isNotNull().alias("_has_prev"),
+    ).filter(F.col("_has_prev"))
+
+    # Null-safe keys: rows with a NULL key or order value keep their carry,
+    # and no not-null filter is inferred into one branch only.
+    cond = F.col(key).eqNullSafe(F.col("_ck")) & F.col(_CHUNK).eqNullSafe(F.col("_cc"))
+    out = inner.join(carry, cond, "left")
     sel: list[Column] = [F.col(c) for c in cols]
     if lag_as:
         sel.append(F.when(F.col("_first"), F.col("_carry_last")).otherwise(F.col("_in_lag")).alias(lag_as))

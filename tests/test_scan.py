@@ -58,3 +58,16 @@ def test_scan_ties_are_deterministic(spark):
     r1 = sorted(ordered_scan(df, "k", ["d"], "p", lag_as="prev", width=1).collect())
     r2 = sorted(ordered_scan(df.repartition(3), "k", ["d"], "p", lag_as="prev", width=1).collect())
     assert r1 == r2
+
+
+def test_scan_null_keys_and_null_order(spark):
+    rnd = random.Random(11)
+    rows = []
+    for i in range(600):
+        k = rnd.choice(["a", "b", None])
+        d = None if rnd.random() < 0.1 else rnd.randint(0, 60)
+        rows.append((k, d, i, round(rnd.uniform(0, 10), 2)))
+    df = spark.createDataFrame(rows, "k string, d int, id long, p double")
+    got = ordered_scan(df, "k", ["d", "id"], "p", lag_as="prev", running_max_as="runmax", width=5)
+    exp = _expected(df).drop("first")
+    assert sorted(got.collect(), key=str) == sorted(exp.collect(), key=str)
