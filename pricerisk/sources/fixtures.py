@@ -189,14 +189,15 @@ def tick_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     Bodies of ``error`` events are garbled (a non-JSON prefix), standing in
     for malformed messages on the wire.
     """
-    ev = table(spark, sf_dir, "events").select("event_id", "event_type")
-    t = event_ticks(spark, sf_dir).join(ev, "event_id")
+    ev = table(spark, sf_dir, "events")
     js = F.to_json(
         F.struct(
-            F.col("symbol"),
-            F.col("price"),
-            F.concat(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")).alias("timestamp"),
+            event_symbol().alias("symbol"),
+            F.col("value").alias("price"),
+            F.concat(
+                F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")
+            ).alias("timestamp"),
         )
     )
     body = F.when(F.col("event_type") == "error", F.concat(F.lit("garbled:"), js)).otherwise(js)
-    return t.select(F.col("event_id"), body.cast("binary").alias("body"))
+    return ev.select(F.col("event_id"), body.cast("binary").alias("body"))
