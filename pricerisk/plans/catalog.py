@@ -7,6 +7,7 @@ same names as the DuckDB texts in :mod:`pricerisk.plans.oracle_sql`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,12 +38,21 @@ def register(name: str):
     return deco
 
 
+def _core_table(df: DataFrame) -> DataFrame:
+    """Materialise a core daily table (like the CORE layer) and read it back.
+
+    Mart queries scan this table instead of re-deriving it per consumer, as
+    the marts of the layered build do.
+    """
+    return sk.materialize(df, "core", f"int_stock_daily_{uuid.uuid4().hex}", view=False)
+
+
 def core_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ret.daily_returns(fx.lineitem_bars(spark, sf_dir))
+    return _core_table(ret.daily_returns(fx.lineitem_bars(spark, sf_dir)))
 
 
 def core_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ret.daily_returns(fx.event_bars(spark, sf_dir))
+    return _core_table(ret.daily_returns(fx.event_bars(spark, sf_dir)))
 
 
 @register("daily_bars")
@@ -52,12 +62,12 @@ def q_daily_bars(spark, sf_dir):
 
 @register("daily_returns")
 def q_daily_returns(spark, sf_dir):
-    return core_lineitem(spark, sf_dir)
+    return ret.daily_returns(fx.lineitem_bars(spark, sf_dir))
 
 
 @register("daily_returns_events")
 def q_daily_returns_events(spark, sf_dir):
-    return core_events(spark, sf_dir)
+    return ret.daily_returns(fx.event_bars(spark, sf_dir))
 
 
 @register("risk_metrics")
