@@ -96,20 +96,27 @@ def universe_filter(df: DataFrame, tickers: DataFrame, *, broadcast_universe: bo
     return df.join(F.broadcast(u) if broadcast_universe else u, "symbol", "left_semi")
 
 
+# Fixed value: default history window, in days, ending today.
+DEFAULT_HISTORY_DAYS = 365
+
+
 def load_history(
     prices: DataFrame,
     tickers: DataFrame | None,
-    start,
-    end,
+    start=None,
+    end=None,
     *,
     broadcast_universe: bool = True,
 ) -> DataFrame:
     """Bars of the universe in ``[start, end)`` (end exclusive).
 
+    ``end`` defaults to today (UTC) and ``start`` to ``end`` minus 365 days.
     The date predicate is a plain comparison, so it reaches the Parquet scan
     as a pushed filter (and prunes folders when ``date`` is a partition column).
     """
-    out = prices.filter((F.col("date") >= F.lit(start).cast("date")) & (F.col("date") < F.lit(end).cast("date")))
+    end_c = F.lit(end).cast("date") if end is not None else F.current_date()
+    start_c = F.lit(start).cast("date") if start is not None else F.date_sub(end_c, DEFAULT_HISTORY_DAYS)
+    out = prices.filter((F.col("date") >= start_c) & (F.col("date") < end_c))
     if tickers is not None:
         out = universe_filter(out, tickers, broadcast_universe=broadcast_universe)
     return out

@@ -257,3 +257,11 @@ def test_write_raw_builds_dated_path_and_replaces_rerun(spark, tmp_dir):
     sk.write_raw(df, tmp_dir, "2026-07-15")  # re-run replaces, does not append
     back = spark.read.parquet(f"{tmp_dir}/stock_prices")
     assert back.count() == 2
+
+
+def test_load_history_defaults_to_last_365_days(spark):
+    today = dt.datetime.now(dt.timezone.utc).date()
+    days = [today - dt.timedelta(days=k) for k in (0, 1, 365, 366)]
+    df = spark.createDataFrame([(d, "A", 1.0) for d in days], "date date, symbol string, close double")
+    got = sorted(r.date for r in src.load_history(df, None).collect())
+    assert got == sorted([today - dt.timedelta(days=1), today - dt.timedelta(days=365)])
