@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricerisk.functions.expressions import positive_ratio
 from pricerisk.operators.ticks import price_stats
 
 # Fixed values that must equal the reference's (strict ">" comparisons).
@@ -40,8 +41,8 @@ def rule_metrics(metrics: DataFrame) -> DataFrame:
     cur = F.coalesce(F.col("current_price"), avg)
     return (
         metrics.withColumn("_cur", cur)
-        .withColumn("volatility_ratio", F.when(avg > 0, vol / avg).otherwise(F.lit(0.0)))
-        .withColumn("drop_ratio", F.when(mx > 0, (mx - F.col("_cur")) / mx).otherwise(F.lit(0.0)))
+        .withColumn("volatility_ratio", positive_ratio(vol, avg))
+        .withColumn("drop_ratio", positive_ratio(mx - F.col("_cur"), mx))
         .withColumn("zscore", F.when(vol > 0, F.abs(F.col("_cur") - avg) / vol))
     )
 

@@ -34,19 +34,34 @@ PRICE_RECORD = T.StructType(
 )
 
 
-def read_raw_prices(spark: SparkSession, root: str, *, keep_dt: bool = False, schema=RAW_PRICE) -> DataFrame:
+def read_raw_prices(
+    spark: SparkSession,
+    root: str,
+    *,
+    keep_dt: bool = False,
+    dt_from: str | None = None,
+    dt_to: str | None = None,
+    schema=RAW_PRICE,
+) -> DataFrame:
     """Scan every ``dt=`` folder of the raw price layer.
 
     With ``keep_dt=False`` the files are globbed (``root/*/*.parquet``) and the
     folder value is not surfaced, like the staging view. With ``keep_dt=True``
-    the root is read as a partitioned table, so ``dt`` becomes a column and a
-    filter on it prunes folders. ``date`` is read as BIGINT epoch ns, which also
-    accepts files whose physical type is INT64 TIMESTAMP(NANOS).
+    (implied by ``dt_from``/``dt_to``) the root is read as a partitioned table:
+    ``dt`` becomes a DATE column and the inclusive ``[dt_from, dt_to]`` range is
+    a partition filter, so folders outside it are never listed or read.
+    ``date`` is read as BIGINT epoch ns, which also accepts files whose
+    physical type is INT64 TIMESTAMP(NANOS).
     """
     root = root.rstrip("/")
-    if keep_dt:
-        return spark.read.schema(T.StructType(schema.fields + [T.StructField("dt", T.StringType())])).parquet(root)
-    return spark.read.schema(schema).parquet(f"{root}/*/*.parquet")
+    if not (keep_dt or dt_from or dt_to):
+        return spark.read.schema(schema).parquet(f"{root}/*/*.parquet")
+    df = spark.read.schema(T.StructType(schema.fields + [T.StructField("dt", T.DateType())])).parquet(root)
+    if dt_from:
+        df = df.filter(F.col("dt") >= F.lit(dt_from).cast("date"))
+    if dt_to:
+        df = df.filter(F.col("dt") <= F.lit(dt_to).cast("date"))
+    return df
 
 
 def stage_prices(raw: DataFrame) -> DataFrame:

@@ -1,7 +1,6 @@
 """Streams equal their batch twins; replays and restarts do not duplicate output."""
 
 import os
-import time
 
 import pytest
 from pyspark.sql import functions as F

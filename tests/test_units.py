@@ -265,3 +265,21 @@ def test_load_history_defaults_to_last_365_days(spark):
     df = spark.createDataFrame([(d, "A", 1.0) for d in days], "date date, symbol string, close double")
     got = sorted(r.date for r in src.load_history(df, None).collect())
     assert got == sorted([today - dt.timedelta(days=1), today - dt.timedelta(days=365)])
+
+
+def test_raw_scan_prunes_dt_folders(spark, tmp_dir):
+    df = spark.createDataFrame(
+        [(1704067207179575000, "A", 1.0, 1.0, 1.0, 1.0, 1, "t")],
+        "date long, symbol string, open double, high double, low double, close double, volume long, ingested_at string",
+    )
+    for dt_ in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        sk.write_raw(df, tmp_dir, dt_)
+    root = f"{tmp_dir}/{sk.RAW_PREFIX}"
+    assert src.read_raw_prices(spark, root).count() == 3
+    assert "dt" not in src.read_raw_prices(spark, root).columns
+    pruned = src.read_raw_prices(spark, root, dt_from="2024-01-02", dt_to="2024-01-02")
+    assert pruned.count() == 1
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan
+    staged = src.stage_prices(pruned).first()
+    assert staged.date == D(2024, 1, 1)
