@@ -110,3 +110,17 @@ def test_windowed_alert_stream_matches_batch_for_closed_windows(spark, tick_file
     max_ts = t.agg(F.max("timestamp")).first()[0]
     closed = {r for r in e if (r.window_start.timestamp() + 6 * 3600) <= max_ts.timestamp() - 3600}
     assert closed <= g
+
+
+def test_alert_job_over_json_files(spark, tick_files, tmp_dir):
+    from pricerisk.plans.jobs import alert_job
+
+    d, _, _ = tick_files
+    sink = os.path.join(tmp_dir, "job_alerts")
+    q = alert_job(spark, "json", sink, path=d, options={"maxFilesPerTrigger": "1"},
+                  checkpoint=os.path.join(tmp_dir, "jck"), available_now=True)
+    q.awaitTermination(300)
+    got = read_alerts(spark, sink)
+    assert got.count() > 0
+    assert set(got.columns) >= {"alert_id", "symbol", "alert_type", "metric_value", "threshold_value",
+                                "price_at_alert", "triggered_at", "batch_id"}
