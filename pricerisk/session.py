@@ -33,12 +33,43 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str | None = None, app: str = "pricerisk", **conf) -> SparkSession:
-    """Return the active session or build one with :data:`DEFAULT_CONF`."""
+# Target bytes per task for scans and shuffle partitions.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def scale_conf(input_bytes: int, *, total_cores: int | None = None) -> dict[str, str]:
+    """Partition sizing for a job reading ``input_bytes``.
+
+    Scan splits and AQE's advisory shuffle partition size are set to
+    :data:`TARGET_PARTITION_BYTES`; the initial shuffle partition count is the
+    input size over that target (at least 2x the cores), so no shuffle
+    partition starts larger than a task can sort in memory and AQE only has
+    to merge small ones. Skewed join partitions above 4x the target are split.
+    """
+    parts = max(1, -(-int(input_bytes) // TARGET_PARTITION_BYTES))
+    if total_cores:
+        parts = max(parts, 2 * int(total_cores))
+    t = str(TARGET_PARTITION_BYTES)
+    return {
+        "spark.sql.files.maxPartitionBytes": t,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": t,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * TARGET_PARTITION_BYTES),
+    }
+
+
+def get_session(
+    master: str | None = None, app: str = "pricerisk", *, input_bytes: int | None = None, **conf
+) -> SparkSession:
+    """Return the active session or build one with :data:`DEFAULT_CONF`.
+
+    ``input_bytes`` adds :func:`scale_conf` sizing; explicit ``conf`` wins.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in {**DEFAULT_CONF, **conf}.items():
+    sizing = scale_conf(input_bytes) if input_bytes else {}
+    for k, v in {**DEFAULT_CONF, **sizing, **conf}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -74,7 +74,8 @@ def write_alerts(alerts: DataFrame, batch_id: int, path: str, fmt: str = "parque
 
     Rows are written under ``batch_id=<id>`` with dynamic partition overwrite,
     so a replayed batch replaces its own output instead of appending a second
-    copy. Alert sets are small per batch, so they are coalesced to one file.
+    copy. Rows are written by the tasks that produced them (AQE has already
+    merged small partitions), so no single task gathers a batch.
     """
     spark = alerts.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
@@ -82,7 +83,6 @@ def write_alerts(alerts: DataFrame, batch_id: int, path: str, fmt: str = "parque
     try:
         (
             alerts.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-            .coalesce(1)
             .write.mode("overwrite")
             .partitionBy("batch_id")
             .format(fmt)

@@ -283,3 +283,11 @@ def test_raw_scan_prunes_dt_folders(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(dt" in plan
     staged = src.stage_prices(pruned).first()
     assert staged.date == D(2024, 1, 1)
+
+
+def test_scale_conf_sizes_partitions():
+    from pricerisk.session import TARGET_PARTITION_BYTES, scale_conf
+
+    c = scale_conf(100 * 1024**4, total_cores=8000)  # 100 TiB on 8000 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // TARGET_PARTITION_BYTES
+    assert scale_conf(1, total_cores=8)["spark.sql.shuffle.partitions"] == "16"
