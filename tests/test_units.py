@@ -291,3 +291,14 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(100 * 1024**4, total_cores=8000)  # 100 TiB on 8000 cores
     assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // TARGET_PARTITION_BYTES
     assert scale_conf(1, total_cores=8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_null_close_breaks_the_return_chain(spark):
+    b = spark.createDataFrame(
+        [(D(2024, 1, d), "A", c) for d, c in [(1, 10.0), (2, None), (3, 12.0), (4, 6.0)]],
+        "date date, symbol string, close double",
+    ).selectExpr("date", "symbol", "close as open", "close as high", "close as low", "close", "1L as volume")
+    got = {r.date.day: (r.prev_close, r.daily_return) for r in ret.daily_returns(b).collect()}
+    assert got == {1: (None, None), 2: (10.0, None), 3: (None, None), 4: (12.0, -0.5)}
+    # only day 4 has a return, so it is the only trading day of the marts
+    assert risk.risk_metrics(ret.daily_returns(b)).first().trading_days == 1
