@@ -24,8 +24,10 @@ and only ever windows within a chunk:
    and the running max it inherits from earlier chunks of the same key; it
    holds one row per chunk, i.e. about ``rows / target_rows`` rows for the
    hottest key.
-5. The carry is joined back on ``(key, chunk)``, the same keys the window is
-   partitioned by, so the large side is not shuffled again.
+5. The carry is joined back on the ``(key, chunk)`` struct the window is
+   partitioned by: a broadcast when the carry is small, otherwise a
+   sort-merge join that reuses the window's partitioning, so the large side
+   is never shuffled twice. Struct equality also matches NULL keys.
 
 Rows that tie on ``order`` are ordered by a hash of the whole row, so results
 do not depend on input order. Rows identical in every column are
@@ -40,6 +42,7 @@ from pyspark.sql import types as T
 
 _CHUNK = "_scan_chunk"
 _TIE = "_scan_tie"
+_KC = "_scan_kc"
 
 # Rows per (key, chunk) group that the densest key is sized to.
 DEFAULT_TARGET_ROWS = 1_000_000
@@ -105,11 +108,15 @@ def ordered_scan(
         width = DEFAULT_DATE_WIDTH
     w_col = F.lit(int(width)).cast("long") if width else chunk_width(df, key, ordv, target_rows)
 
-    d = df.withColumn(_TIE, F.xxhash64(*[F.col(c) for c in cols])).withColumn(
-        _CHUNK, F.floor(ordv / w_col).cast("long")
+    # (key, chunk) travels as one struct: struct equality matches NULL fields,
+    # and the window and the carry join then share one hash partitioning.
+    d = (
+        df.withColumn(_TIE, F.xxhash64(*[F.col(c) for c in cols]))
+        .withColumn(_CHUNK, F.floor(ordv / w_col).cast("long"))
+        .withColumn(_KC, F.struct(F.col(key).alias("k"), F.col(_CHUNK).alias("c")))
     )
 
-    w = Window.partitionBy(key, _CHUNK).orderBy(*order, _TIE)
+    w = Window.partitionBy(_KC).orderBy(*order, _TIE)
     inner = d
     if lag_as or first_as:
         inner = inner.withColumn("_in_lag", F.lag(value).over(w)).withColumn(
@@ -121,23 +128,19 @@ def ordered_scan(
     # Chunk summary as a partial aggregate over the unshuffled rows: the
     # second read of the input is combined map-side and only one row per
     # (key, chunk) is shuffled.
-    summary = d.groupBy(key, _CHUNK).agg(
+    summary = d.groupBy(_KC).agg(
         F.max_by(F.col(value), F.struct(*[F.col(c) for c in order], F.col(_TIE))).alias("_last"),
         F.max(value).alias("_cmax"),
     )
-    ws = Window.partitionBy(key).orderBy(_CHUNK)
+    ws = Window.partitionBy(F.col(f"{_KC}.k")).orderBy(F.col(f"{_KC}.c"))
     carry = summary.select(
-        F.col(key).alias("_ck"),
-        F.col(_CHUNK).alias("_cc"),
+        _KC,
         F.lag("_last").over(ws).alias("_carry_last"),
         F.max("_cmax").over(ws.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_max"),
         F.lag(F.lit(True)).over(ws).isNotNull().alias("_has_prev"),
     ).filter(F.col("_has_prev"))
 
-    # Null-safe keys: rows with a NULL key or order value keep their carry,
-    # and no not-null filter is inferred into one branch only.
-    cond = F.col(key).eqNullSafe(F.col("_ck")) & F.col(_CHUNK).eqNullSafe(F.col("_cc"))
-    out = inner.join(carry, cond, "left")
+    out = inner.join(carry, _KC, "left")
     sel: list[Column] = [F.col(c) for c in cols]
     if lag_as:
         sel.append(F.when(F.col("_first"), F.col("_carry_last")).otherwise(F.col("_in_lag")).alias(lag_as))

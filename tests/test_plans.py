@@ -29,10 +29,11 @@ def test_scans_never_window_rows_by_symbol_alone(spark):
     cases = ((ret.daily_returns(fx.lineitem_bars(spark, SF_SMALL)), "close"), (tk.tick_change(t), "price"))
     for df, value in cases:
         plan = _plan(df)
-        lags = re.findall(rf"lag\({value}#\d+, -1, null\) windowspecdefinition\(([^,]*), ([^,]*),", plan)
+        lags = re.findall(value + r"#\d+, -1, null\) windowspecdefinition\(([^,]*),", plan)
         assert lags, plan
-        # the row-level lag is partitioned by (symbol, chunk), never by symbol alone
-        assert all(k.startswith("symbol#") and c.startswith("_scan_chunk#") for k, c in lags), lags
+        # the row-level lag is partitioned by the (symbol, chunk) struct, never by symbol alone
+        assert all(k.startswith("_scan_kc#") for k in lags), lags
+        assert re.search(r"struct\(k, symbol#\d+, c, ", plan)
 
 
 def test_correlation_has_no_date_self_join(spark):
@@ -54,7 +55,7 @@ def test_risk_mart_is_one_aggregate_without_joins_of_partial_results(spark):
     # metrics, VaR and drawdown come from one grouped aggregate: the only joins
     # are the scan's carry joins, never on symbol alone
     joins = re.findall(r"(?:SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) \[([^\]]*)\]", plan)
-    assert all("_scan_chunk" in j or "_cc" in j or "<=>" in j or "symbol" not in j for j in joins), joins
+    assert all("_scan_kc" in j or "symbol" not in j for j in joins), joins
 
 
 def test_scan_reads_only_needed_columns(spark):
@@ -62,3 +63,32 @@ def test_scan_reads_only_needed_columns(spark):
     plan = _plan(risk.volatility(core))
     scans = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
     assert scans and all("open" not in s and "volume" not in s for s in scans), scans
+
+
+def test_scan_join_reuses_window_partitioning_without_broadcast(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        # one-hour chunks, so most chunks inherit a carry and the join is real
+        df = tk.tick_change(fx.event_ticks(spark, SF_SMALL), width=3600 * 1_000_000)
+        df.collect()
+        final = _plan(df).split("== Initial Plan ==")[0]
+        lines = final.splitlines()
+        i = next(n for n, line in enumerate(lines) if "SortMergeJoin" in line)
+        col = lines[i].index("+-") + 3  # children's tree markers start here
+        left = []
+        for line in lines[i + 1 :]:
+            if line[col : col + 2] == "+-":
+                break
+            left.append(line)
+        # the row side reaches the join through the window's own exchange only:
+        # the rows are shuffled once; the small carry side is shuffled to meet them
+        assert sum("Exchange" in line for line in left) == 1, final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
