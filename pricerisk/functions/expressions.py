@@ -14,6 +14,10 @@ ANNUALISATION_DAYS = 252  # trading days per year used for volatility and Sharpe
 RETURN_DECIMALS = 6  # daily_return is rounded to 6 dp before any statistic
 REPORT_DECIMALS = 4  # marts report percentages / ratios with 4 dp
 NANOS_PER_SECOND = 1_000_000_000
+# Tick direction markers: up, down, unchanged.
+DIRECTION_UP = "↑"
+DIRECTION_DOWN = "↓"
+DIRECTION_FLAT = "-"
 
 
 def _c(x) -> Column:
@@ -63,9 +67,11 @@ def pearson(n, sx, sy, sxy, sx2, sy2, decimals: int = REPORT_DECIMALS) -> Column
 
 
 def tick_direction(price, prev_price) -> Column:
-    """Direction of a tick: up, down or unchanged."""
+    """Direction of a tick: up, down or unchanged (also when there is no previous price)."""
     p, q = _c(price), _c(prev_price)
-    return F.when(p > q, F.lit("up")).when(p < q, F.lit("down")).otherwise(F.lit("flat"))
+    return (
+        F.when(p > q, F.lit(DIRECTION_UP)).when(p < q, F.lit(DIRECTION_DOWN)).otherwise(F.lit(DIRECTION_FLAT))
+    )
 
 
 def iso_utc_string(ts) -> Column:

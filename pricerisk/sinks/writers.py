@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from pricerisk.functions.expressions import iso_utc_string
 from pricerisk.session import ensure_checkpoint_dir
 
+# Landing folder of raw price files, and the source tag every
+# tick message carries.
 RAW_PREFIX = "stock_prices"
+MESSAGE_SOURCE = "simulated"
 
 
 def raw_partition_path(root: str, dt: str) -> str:
@@ -100,7 +103,7 @@ def read_alerts(spark: SparkSession, path: str, fmt: str = "parquet", view: str
     return df
 
 
-def to_keyed_messages(ticks: DataFrame, source: str = "simulated") -> DataFrame:
+def to_keyed_messages(ticks: DataFrame, source: str = MESSAGE_SOURCE) -> DataFrame:
     """Tick rows -> ``(key, value)`` messages: key = symbol, value = JSON body.
 
     The body carries symbol, price, prev_price, change_pct, volume, an ISO-8601

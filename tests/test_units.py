@@ -181,7 +181,7 @@ def test_parse_ticks_drops_malformed(spark):
 def test_tick_change_zero_prev_and_base(spark):
     t = _ticks(spark, [("A", 0.0, 0), ("A", 5.0, 0), ("A", 4.0, 0)])
     got = [(r.prev_price, r.change_pct, r.direction) for r in tk.tick_change(t).orderBy("event_id").collect()]
-    assert got == [(None, 0.0, "flat"), (0.0, 0.0, "up"), (5.0, -20.0, "down")]
+    assert got == [(None, 0.0, "-"), (0.0, 0.0, "↑"), (5.0, -20.0, "↓")]
     base = spark.createDataFrame([("A", 2.0)], "symbol string, base_price double")
     first = tk.tick_change(t, base=base).orderBy("event_id").first()
     assert (first.prev_price, first.change_pct) == (2.0, -100.0)
