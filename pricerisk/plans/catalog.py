@@ -25,6 +25,7 @@ from pricerisk.session import scratch_path
 from pricerisk.sinks import writers as sk
 from pricerisk.sources import fixtures as fx
 from pricerisk.sources import prices as src
+from pricerisk.streaming import alerts_stream as ast
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -293,3 +294,30 @@ register("alerts")(_rule_query(list(al.ALL_RULES)))
 def q_windowed_alerts(spark, sf_dir):
     w = al.windowed_alerts(fx.event_ticks(spark, sf_dir), ALERT_WINDOW)
     return _alert_out(w, ["window_start", "window_end"])
+
+
+# --- streaming ----------------------------------------------------------------
+
+STREAM_FILES_PER_TRIGGER = 8
+
+
+@register("stream_state_alerts")
+def q_stream_state_alerts(spark, sf_dir):
+    """Ticks landed as day folders, streamed a few files per trigger into running
+    (day, symbol) statistics; the alert rules run on the final statistics."""
+    ticks = fx.event_ticks(spark, sf_dir).select("symbol", "price", "timestamp", "event_id", "batch")
+    src_dir = scratch_path(spark, "stream_src")
+    ticks.write.mode("overwrite").partitionBy("batch").parquet(src_dir)
+    stream = ast.read_tick_stream(
+        spark,
+        "parquet",
+        src_dir,
+        schema="symbol string, price double, timestamp timestamp, event_id long, batch date",
+        options={"maxFilesPerTrigger": str(STREAM_FILES_PER_TRIGGER)},
+    )
+    table = scratch_path(spark, "stream_stats")
+    q = ast.start_state_stats_stream(stream, table, ("batch",), available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")
+    return _alert_out(ast.alerts_from_stats(spark, table, ("batch",)), ["batch"])

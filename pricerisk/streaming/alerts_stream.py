@@ -10,6 +10,11 @@
 * :func:`start_windowed_alert_stream` evaluates the rules per event-time
   window with a watermark (E3), so results no longer depend on arrival
   batching.
+* :func:`start_state_stats_stream` keeps running per-(group, symbol) price
+  statistics as streaming state and rewrites the statistics table on every
+  trigger (complete mode); :func:`alerts_from_stats` applies the rules to it.
+  The result equals the batch rules over the same groups, however the input
+  is split into micro-batches.
 """
 
 from __future__ import annotations
@@ -127,3 +132,36 @@ def start_windowed_alert_stream(
     w = out.writeStream.outputMode("append").format(fmt).option("checkpointLocation", ckpt).option("path", sink)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()
+
+
+def start_state_stats_stream(
+    ticks: DataFrame,
+    table_path: str,
+    group: tuple[str, ...] = ("batch",),
+    *,
+    checkpoint: str | None = None,
+    trigger: str | None = DEFAULT_TRIGGER,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Running statistics per ``(*group, symbol)`` as streaming state.
+
+    Every aggregate is combined incrementally in the state store (one row per
+    group and symbol). Each trigger overwrites ``table_path`` with the full
+    statistics table, so a replayed trigger writes the same table again.
+    """
+    spark = ticks.sparkSession
+    ckpt = checkpoint or scratch_path(spark, "streams", "state_stats")
+    tiebreak = "event_id" if "event_id" in ticks.columns else None
+    stats = price_stats(ticks, [*group, "symbol"], tiebreak=tiebreak)
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.write.mode("overwrite").parquet(table_path)
+
+    w = stats.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", ckpt)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
+    return w.start()
+
+
+def alerts_from_stats(spark: SparkSession, table_path: str, group: tuple[str, ...] = ("batch",), **kw) -> DataFrame:
+    """Apply the alert rules to a statistics table written by :func:`start_state_stats_stream`."""
+    return alerts(spark.read.parquet(table_path), list(group), **kw)
