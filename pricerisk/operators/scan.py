@@ -10,10 +10,11 @@ and only ever windows within a chunk:
    ``chunk = floor(ordinal / width)``. The chunk id is a pure function of the
    row, so every branch of the plan and every task retry agrees on it.
 2. For TIMESTAMP and integer orders (ticks) ``width`` is derived inside the
-   plan from the densest key (rows per ordinal unit, a one-row scalar
-   subquery): a key with that density gets about ``target_rows`` rows per
-   chunk, so a hot symbol is split into many ``(key, chunk)`` groups of
-   bounded size, while sparse keys stay in one chunk. DATE orders (daily
+   plan from the densest key among those holding more than ``target_rows``
+   rows (rows per ordinal unit, a one-row scalar subquery): such a key gets
+   about ``target_rows`` rows per chunk, so a hot symbol is split into many
+   ``(key, chunk)`` groups of bounded size; when no key is that large every
+   key stays one chunk. DATE orders (daily
    bars, at most one row per key and day per landing run) use a fixed
    calendar width. Callers may pin ``width``.
 3. Inside each ``(key, chunk)`` group an ordinary window computes the lag and
@@ -64,17 +65,28 @@ def _ordinal(df: DataFrame, col: str) -> Column:
     raise TypeError(f"ordered_scan: cannot bucket order column {col!r} of type {dt}")
 
 
+# Width used when no key needs splitting: every ordinal falls in one chunk.
+_ONE_CHUNK = 1 << 62
+
+
 def chunk_width(df: DataFrame, key: str, ordinal: Column, target_rows: int) -> Column:
-    """Scalar-subquery column: bucket width giving the densest key ~target_rows per chunk."""
+    """Scalar-subquery column: bucket width giving the densest large key ~target_rows per chunk.
+
+    Only keys holding more than ``target_rows`` rows need splitting, so only
+    they set the density (a key with two rows a microsecond apart must not
+    shrink everyone's chunks). Without such keys each key is one chunk.
+    """
     per_key = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"),
         (F.max(ordinal) - F.min(ordinal) + F.lit(1)).alias("span"),
     )
-    peak = per_key.agg(F.max(F.col("n") / F.col("span")).alias("density"))
+    peak = per_key.filter(F.col("n") > F.lit(target_rows)).agg(
+        F.max(F.col("n") / F.col("span")).alias("density")
+    )
     width = peak.select(
         F.greatest(F.lit(1).cast("long"), F.floor(F.lit(float(target_rows)) / F.col("density")).cast("long"))
     )
-    return F.coalesce(width.scalar(), F.lit(1).cast("long"))
+    return F.coalesce(width.scalar(), F.lit(_ONE_CHUNK).cast("long"))
 
 
 def ordered_scan(

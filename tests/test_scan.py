@@ -71,3 +71,14 @@ def test_scan_null_keys_and_null_order(spark):
     got = ordered_scan(df, "k", ["d", "id"], "p", lag_as="prev", running_max_as="runmax", width=5)
     exp = _expected(df).drop("first")
     assert sorted(got.collect(), key=str) == sorted(exp.collect(), key=str)
+
+
+def test_auto_width_ignores_small_dense_keys(spark):
+    from pricerisk.operators.scan import chunk_width
+
+    rows = [("tiny", 0, 1.0), ("tiny", 1, 2.0)] + [("big", d * 10, float(d)) for d in range(100)]
+    df = spark.createDataFrame(rows, "k string, d long, p double")
+    w = df.select(chunk_width(df, "k", F.col("d"), target_rows=20).alias("w")).first().w
+    assert w == int(20 / (100 / 991))  # set by "big" (100 rows over 991 units), not by "tiny"
+    w_none = df.select(chunk_width(df, "k", F.col("d"), target_rows=1000).alias("w")).first().w
+    assert w_none == 1 << 62
