@@ -83,10 +83,9 @@ def chunk_width(df: DataFrame, key: str, ordinal: Column, target_rows: int) -> C
     peak = per_key.filter(F.col("n") > F.lit(target_rows)).agg(
         F.max(F.col("n") / F.col("span")).alias("density")
     )
-    width = peak.select(
-        F.greatest(F.lit(1).cast("long"), F.floor(F.lit(float(target_rows)) / F.col("density")).cast("long"))
-    )
-    return F.coalesce(width.scalar(), F.lit(_ONE_CHUNK).cast("long"))
+    sized = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(float(target_rows)) / F.col("density")).cast("long"))
+    width = peak.select(F.when(F.col("density").isNull(), F.lit(_ONE_CHUNK).cast("long")).otherwise(sized))
+    return width.scalar()
 
 
 def ordered_scan(
