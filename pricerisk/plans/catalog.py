@@ -25,7 +25,7 @@ from pricerisk.session import scratch_path
 from pricerisk.sinks import writers as sk
 from pricerisk.sources import fixtures as fx
 from pricerisk.sources import prices as src
-from pricerisk.streaming import alerts_stream as ast
+from pricerisk.streaming import alerts_stream as stream_alerts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -308,7 +308,7 @@ def q_stream_state_alerts(spark, sf_dir):
     ticks = fx.event_ticks(spark, sf_dir).select("symbol", "price", "timestamp", "event_id", "batch")
     src_dir = scratch_path(spark, "stream_src")
     ticks.write.mode("overwrite").partitionBy("batch").parquet(src_dir)
-    stream = ast.read_tick_stream(
+    stream = stream_alerts.read_tick_stream(
         spark,
         "parquet",
         src_dir,
@@ -316,8 +316,8 @@ def q_stream_state_alerts(spark, sf_dir):
         options={"maxFilesPerTrigger": str(STREAM_FILES_PER_TRIGGER)},
     )
     table = scratch_path(spark, "stream_stats")
-    q = ast.start_state_stats_stream(stream, table, ("batch",), available_now=True)
+    q = stream_alerts.start_state_stats_stream(stream, table, ("batch",), available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream failed: {q.exception()}")
-    return _alert_out(ast.alerts_from_stats(spark, table, ("batch",)), ["batch"])
+    return _alert_out(stream_alerts.alerts_from_stats(spark, table, ("batch",)), ["batch"])
