@@ -3,7 +3,9 @@ alert writes (K5), keyed messages (K6) and ingest counts (K8)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pricerisk.functions.expressions import iso_utc_string
@@ -14,6 +16,8 @@ from pricerisk.session import ensure_checkpoint_dir
 RAW_PREFIX = "stock_prices"
 MESSAGE_SOURCE = "simulated"
 
+log = logging.getLogger(__name__)
+
 
 def raw_partition_path(root: str, dt: str) -> str:
     """Folder holding one landing run: ``<root>/stock_prices/dt=<dt>``."""
@@ -26,20 +30,26 @@ def write_raw(df: DataFrame, root: str, dt: str) -> str:
     Dynamic partition overwrite replaces only the ``dt`` being written, so
     re-running a date replaces its files and leaves other dates alone.
     Executors write their own partitions; nothing is buffered on the driver.
+    The written row count is gathered during the write (an ``Observation``,
+    no second pass) and logged.
     """
     spark = df.sparkSession
+    obs = Observation(f"raw_{dt}")
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         (
-            df.withColumn("dt", F.lit(dt))
+            df.observe(obs, F.count(F.lit(1)).alias("rows"))
+            .withColumn("dt", F.lit(dt))
             .write.mode("overwrite")
             .partitionBy("dt")
             .parquet(f"{root.rstrip('/')}/{RAW_PREFIX}")
         )
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    return raw_partition_path(root, dt)
+    path = raw_partition_path(root, dt)
+    log.info("landed %s rows at %s", obs.get.get("rows"), path)
+    return path
 
 
 def layer_path(spark: SparkSession, layer: str, name: str, base: str | None = None) -> str:
