@@ -213,6 +213,11 @@ def q_records_from_json(spark, sf_dir):
     return src.records_to_prices(fx.price_payloads(spark, sf_dir), "payload")
 
 
+@register("upload_requests")
+def q_upload_requests(spark, sf_dir):
+    return src.upload_requests_to_prices(fx.upload_requests(spark, sf_dir), "body")
+
+
 @register("ingest_counts")
 def q_ingest_counts(spark, sf_dir):
     return sk.ingest_counts(fx.raw_price_rows(spark, sf_dir))

@@ -24,30 +24,32 @@ def raw_partition_path(root: str, dt: str) -> str:
     return f"{root.rstrip('/')}/{RAW_PREFIX}/dt={dt}"
 
 
-def write_raw(df: DataFrame, root: str, dt: str) -> str:
+def write_raw(df: DataFrame, root: str, dt: str | None = None) -> str:
     """Land a batch under ``<root>/stock_prices/dt=<dt>/`` and return that folder.
 
-    Dynamic partition overwrite replaces only the ``dt`` being written, so
-    re-running a date replaces its files and leaves other dates alone.
+    With ``dt=None`` the frame's own ``dt`` column names the folders (several
+    run dates in one write) and the layer root is returned. Dynamic partition
+    overwrite replaces only the ``dt`` values being written, so re-running a
+    date replaces its files and leaves other dates alone.
     Executors write their own partitions; nothing is buffered on the driver.
     The written row count is gathered during the write (an ``Observation``,
     no second pass) and logged.
     """
     spark = df.sparkSession
-    obs = Observation(f"raw_{dt}")
+    obs = Observation(f"raw_{dt or 'dt'}")
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         (
             df.observe(obs, F.count(F.lit(1)).alias("rows"))
-            .withColumn("dt", F.lit(dt))
+            .withColumn("dt", F.lit(dt) if dt is not None else F.col("dt").cast("string"))
             .write.mode("overwrite")
             .partitionBy("dt")
             .parquet(f"{root.rstrip('/')}/{RAW_PREFIX}")
         )
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    path = raw_partition_path(root, dt)
+    path = raw_partition_path(root, dt) if dt is not None else f"{root.rstrip('/')}/{RAW_PREFIX}"
     log.info("landed %s rows at %s", obs.get.get("rows"), path)
     return path
 

@@ -201,3 +201,32 @@ def tick_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     body = F.when(F.col("event_type") == "error", F.concat(F.lit("garbled:"), js)).otherwise(js)
     return ev.select(F.col("event_id"), body.cast("binary").alias("body"))
+
+
+def upload_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upload request bodies carrying price records and a run date.
+
+    One request per ``PAYLOAD_RECORDS`` consecutive event ids. Even request
+    ids send ``data`` as a JSON array, odd ones as that array serialised into
+    a JSON string (both forms occur in practice). The run date is the day
+    after the request's last record.
+    """
+    t = event_ticks(spark, sf_dir)
+    rec = F.struct(
+        F.concat(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")).alias("date"),
+        F.col("symbol"),
+        F.col("price").alias("open"),
+        F.col("price").alias("high"),
+        F.col("price").alias("low"),
+        F.col("price").alias("close"),
+        F.col("volume"),
+        F.lit(STANDIN_INGESTED_AT).alias("ingested_at"),
+    )
+    g = t.groupBy(F.floor(F.col("event_id") / PAYLOAD_RECORDS).alias("request_id")).agg(
+        F.collect_list(rec).alias("records"), F.date_add(F.max("batch"), 1).alias("run_date")
+    )
+    run = F.date_format("run_date", "yyyy-MM-dd").alias("date")
+    as_array = F.to_json(F.struct(F.col("records").alias("data"), run))
+    as_string = F.to_json(F.struct(F.to_json("records").alias("data"), run))
+    body = F.when(F.col("request_id") % 2 == 0, as_array).otherwise(as_string)
+    return g.select("request_id", body.alias("body"))

@@ -153,6 +153,28 @@ def records_to_prices(df: DataFrame, payload_col: str = "payload", record_schema
     return rows
 
 
+def upload_requests_to_prices(
+    df: DataFrame, body_col: str = "body", record_schema: T.StructType = PRICE_RECORD
+) -> DataFrame:
+    """Upload request bodies ``{"data": ..., "date": ...}`` -> typed price rows plus ``dt``.
+
+    ``data`` may be the JSON array of records itself or that array serialised
+    once more as a JSON string; ``get_json_object`` yields the array text in
+    both cases. ``date`` is the run date that names the landing folder (``dt``).
+    Requests without data or date yield no rows.
+    """
+    body = F.col(body_col).cast("string")
+    req = df.select(
+        F.get_json_object(body, "$.data").alias("payload"),
+        F.to_date(F.get_json_object(body, "$.date")).alias("dt"),
+    ).filter(F.col("payload").isNotNull() & F.col("dt").isNotNull())
+    arr = F.from_json(F.col("payload"), T.ArrayType(record_schema))
+    rows = req.select("dt", F.inline(arr))
+    if "date" in rows.columns:
+        rows = rows.withColumn("date", F.to_timestamp("date"))
+    return rows.select(*[c for c in rows.columns if c != "dt"], "dt")
+
+
 _TUPLE_NAME = re.compile(r"^\(\s*'([^']*)'\s*,.*\)$")
 
 

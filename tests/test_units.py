@@ -302,3 +302,19 @@ def test_null_close_breaks_the_return_chain(spark):
     assert got == {1: (None, None), 2: (10.0, None), 3: (None, None), 4: (12.0, -0.5)}
     # only day 4 has a return, so it is the only trading day of the marts
     assert risk.risk_metrics(ret.daily_returns(b)).first().trading_days == 1
+
+
+def test_upload_requests_land_by_run_date(spark, tmp_dir):
+    bodies = spark.createDataFrame(
+        [
+            ('{"data":[{"date":"2024-01-02T00:00:00+00:00","symbol":"A","close":1.0}],"date":"2024-01-03"}',),
+            ('{"data":"[{\\"date\\":\\"2024-01-04T00:00:00+00:00\\",\\"symbol\\":\\"B\\",\\"close\\":2.0}]","date":"2024-01-05"}',),
+            ('{"date":"2024-01-06"}',),
+        ],
+        "body string",
+    )
+    rows = src.upload_requests_to_prices(bodies)
+    assert sorted((r.symbol, r.close, str(r.dt)) for r in rows.collect()) == [("A", 1.0, "2024-01-03"), ("B", 2.0, "2024-01-05")]
+    sk.write_raw(rows.withColumn("date", F.unix_micros("date") * 1000), tmp_dir)
+    landed = sorted(d for d in os.listdir(f"{tmp_dir}/{sk.RAW_PREFIX}") if d.startswith("dt="))
+    assert landed == ["dt=2024-01-03", "dt=2024-01-05"]
