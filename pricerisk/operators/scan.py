@@ -14,9 +14,9 @@ and only ever windows within a chunk:
    rows (rows per ordinal unit, a one-row scalar subquery): such a key gets
    about ``target_rows`` rows per chunk, so a hot symbol is split into many
    ``(key, chunk)`` groups of bounded size; when no key is that large every
-   key stays one chunk. DATE orders (daily
-   bars, at most one row per key and day per landing run) use a fixed
-   calendar width. Callers may pin ``width``.
+   key stays one chunk. DATE orders (daily bars, at most one row per key and
+   day per landing run) use a fixed calendar width. Callers may pin
+   ``width``.
 3. Inside each ``(key, chunk)`` group an ordinary window computes the lag and
    running max.
 4. A per-``(key, chunk)`` summary (last value, max) is a partial aggregate
