@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -318,3 +319,23 @@ def test_upload_requests_land_by_run_date(spark, tmp_dir):
     sk.write_raw(rows.withColumn("date", F.unix_micros("date") * 1000), tmp_dir)
     landed = sorted(d for d in os.listdir(f"{tmp_dir}/{sk.RAW_PREFIX}") if d.startswith("dt="))
     assert landed == ["dt=2024-01-03", "dt=2024-01-05"]
+
+
+def test_keyed_message_body(spark):
+    import json
+
+    t = _ticks(spark, [("A", 101.5, 0), ("A", 0.00005, 0)]).withColumn("volume", F.lit(7).cast("long"))
+    msgs = sk.to_keyed_messages(tk.tick_change(t)).collect()
+    bodies = sorted((json.loads(m.value) for m in msgs), key=lambda b: b["timestamp"])
+    assert all(m.key == "A" for m in msgs)
+    first, second = bodies
+    assert list(first) == ["symbol", "price", "prev_price", "change_pct", "volume", "timestamp", "source"]
+    assert first["prev_price"] is None and first["change_pct"] == 0.0 and first["source"] == "simulated"
+    assert first["timestamp"] == "2024-01-01T00:00:00.000000+00:00"
+    assert '"price":0.0001' in [m.value for m in msgs if "0.0001" in m.value][0]  # plain decimal text, 4 dp
+    assert second["prev_price"] == 101.5
+
+
+def test_normalize_default_ingest_time_is_iso_utc(spark):
+    out = src.normalize_columns(spark.createDataFrame([(1.0,)], "Close double"), symbol="X").first()
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}\+00:00", out.ingested_at)
