@@ -304,6 +304,7 @@ def q_windowed_alerts(spark, sf_dir):
 # --- streaming ----------------------------------------------------------------
 
 STREAM_FILES_PER_TRIGGER = 8
+STREAM_TIMEOUT_S = 1800
 
 
 @register("stream_state_alerts")
@@ -322,7 +323,9 @@ def q_stream_state_alerts(spark, sf_dir):
     )
     table = scratch_path(spark, "stream_stats")
     q = stream_alerts.start_state_stats_stream(stream, table, ("batch",), available_now=True)
-    q.awaitTermination()
+    if not q.awaitTermination(STREAM_TIMEOUT_S):
+        q.stop()
+        raise TimeoutError(f"stream did not drain its input within {STREAM_TIMEOUT_S}s")
     if q.exception() is not None:
         raise RuntimeError(f"stream failed: {q.exception()}")
     return _alert_out(stream_alerts.alerts_from_stats(spark, table, ("batch",)), ["batch"])
