@@ -23,8 +23,6 @@ as the join's row combinations do.
 
 from __future__ import annotations
 
-import sys
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -32,6 +30,7 @@ from pyspark.sql import functions as F
 
 from pricerisk.functions.expressions import pearson
 from pricerisk.operators.returns import clean_returns
+from pricerisk.session import ship_code_to_workers
 
 DEFAULT_BLOCK_DAYS = 1024
 DEFAULT_TILE_SIZE = 256
@@ -110,13 +109,6 @@ def _block_pair_sums(pdf: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _ship_by_value() -> None:
-    """Pickle this package's functions by value so Python workers need not import it."""
-    from pyspark import cloudpickle
-
-    cloudpickle.register_pickle_by_value(sys.modules["pricerisk"])
-
-
 def pair_statistics(
     core: DataFrame, *, block_days: int = DEFAULT_BLOCK_DAYS, tile_size: int = DEFAULT_TILE_SIZE
 ) -> DataFrame:
@@ -142,7 +134,7 @@ def pair_statistics(
         .withColumn("tile_b", F.greatest("tile", "other"))
         .select("block", "tile_a", "tile_b", "tile", "symbol", "d", "c", "s", "q")
     )
-    _ship_by_value()
+    ship_code_to_workers()
     partial = tiled.groupBy("block", "tile_a", "tile_b").applyInPandas(_block_pair_sums, _PAIR_SCHEMA)
     return partial.groupBy("symbol_1", "symbol_2").agg(*[F.sum(c).alias(c) for c in _STATS])
 

@@ -61,12 +61,17 @@ def tick_change(
             )
             .drop("base_price", "_first_tick")
         )
+    return with_change(s)
+
+
+def with_change(df: DataFrame) -> DataFrame:
+    """Add ``change_pct`` (0.0 without a non-zero previous price) and ``direction`` from price/prev_price."""
     prev = F.col("prev_price")
     has_prev = prev.isNotNull() & (prev != F.lit(0.0))
     change = F.when(
         has_prev, F.round((F.col("price") - prev) / prev * F.lit(100.0), CHANGE_DECIMALS)
     ).otherwise(F.lit(0.0))
-    return s.withColumn("change_pct", change).withColumn("direction", tick_direction("price", "prev_price"))
+    return df.withColumn("change_pct", change).withColumn("direction", tick_direction("price", "prev_price"))
 
 
 def latest_tick(

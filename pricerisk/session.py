@@ -11,6 +11,7 @@ sessions.
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
@@ -111,3 +112,15 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if p.startswith("/") or p.startswith("file:"):
         os.makedirs(p.replace("file:", "", 1), exist_ok=True)
     return p
+
+
+def ship_code_to_workers() -> None:
+    """Pickle this package's functions by value for Python workers.
+
+    Grouped-map functions (``applyInPandas``/``applyInPandasWithState``) then
+    reach executors with their code, so workers need not have the package
+    installed or on their path.
+    """
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules["pricerisk"])

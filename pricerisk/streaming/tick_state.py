@@ -15,17 +15,23 @@ table, one row per symbol, versioned by batch id under ``state/batch_id=<n>``:
 Ticks that arrive later than newer ticks of the same symbol in an earlier
 batch are compared with the newest known price (arrival order across
 batches, event order within a batch).
+
+:func:`tick_change_keyed` is the same operator on Spark's keyed state
+(``applyInPandasWithState``): one state row per symbol, but each symbol's
+ticks of a micro-batch form one group.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.utils import AnalysisException
 
-from pricerisk.operators.ticks import latest_tick, tick_change
-from pricerisk.session import scratch_path
+from pricerisk.operators.ticks import latest_tick, tick_change, with_change
+from pricerisk.session import scratch_path, ship_code_to_workers
 
 
 def _write_partition(df: DataFrame, path: str, batch_id: int) -> None:
@@ -92,3 +98,59 @@ def start_tick_change_stream(
     w = ticks.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()
+
+
+# --- keyed-state variant ------------------------------------------------------
+
+_KEYED_OUT = "symbol string, timestamp timestamp, event_id long, price double, prev_price double"
+_KEYED_STATE = "last_price double, has_price boolean"
+
+
+def _carry_prev_price(key, pdfs, state):
+    """Per symbol and micro-batch: previous price of each tick, seeded from state."""
+    pdf = pd.concat(list(pdfs), ignore_index=True)
+    if pdf.empty:
+        return
+    pdf = pdf.sort_values(["timestamp", "event_id"], kind="mergesort", ignore_index=True)
+    prev = pdf["price"].shift(1)
+    if state.exists and state.get[1]:
+        prev.iloc[0] = state.get[0]
+    pdf["prev_price"] = prev
+    last = pdf["price"].iloc[-1]
+    state.update((None if pd.isna(last) else float(last), True))
+    yield pdf[["symbol", "timestamp", "event_id", "price", "prev_price"]]
+
+
+def tick_change_keyed(ticks: DataFrame) -> DataFrame:
+    """Streaming tick change with ``applyInPandasWithState`` keyed by symbol.
+
+    The state is one row per symbol (its last price). Each micro-batch's ticks
+    of a symbol arrive as one group, ordered by ``(timestamp, event_id)``
+    there; ``change_pct`` and ``direction`` are the batch operator's Spark
+    expressions. A symbol's group is bounded by the trigger size
+    (``maxFilesPerTrigger``/``maxOffsetsPerTrigger``); when one symbol
+    dominates a micro-batch, :func:`start_tick_change_stream` (chunked scan
+    per batch) spreads it over many tasks instead.
+    """
+    ship_code_to_workers()
+    out = ticks.select("symbol", "timestamp", "event_id", "price").groupBy("symbol").applyInPandasWithState(
+        _carry_prev_price, _KEYED_OUT, _KEYED_STATE, "append", GroupStateTimeout.NoTimeout
+    )
+    return with_change(out)
+
+
+def start_tick_change_keyed_stream(
+    ticks: DataFrame,
+    out_path: str,
+    *,
+    checkpoint: str | None = None,
+    trigger: str = "10 seconds",
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Start :func:`tick_change_keyed` appending to Parquet at ``out_path``."""
+    spark = ticks.sparkSession
+    ckpt = checkpoint or scratch_path(spark, "streams", "tick_change_keyed")
+    w = tick_change_keyed(ticks).writeStream.outputMode("append").format("parquet")
+    w = w.option("checkpointLocation", ckpt).option("path", out_path)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
+    return w.start()

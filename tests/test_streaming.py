@@ -124,3 +124,15 @@ def test_alert_job_over_json_files(spark, tick_files, tmp_dir):
     assert got.count() > 0
     assert set(got.columns) >= {"alert_id", "symbol", "alert_type", "metric_value", "threshold_value",
                                 "price_at_alert", "triggered_at", "batch_id"}
+
+
+def test_keyed_state_tick_change_equals_batch(spark, tick_files, tmp_dir):
+    d, _, t = tick_files
+    out = os.path.join(tmp_dir, "keyed")
+    q = ts.start_tick_change_keyed_stream(_stream(spark, d), out, checkpoint=os.path.join(tmp_dir, "kck"), available_now=True)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = spark.read.parquet(out).select("event_id", "prev_price", "change_pct", "direction")
+    exp = tk.tick_change(t).select("event_id", "prev_price", "change_pct", "direction")
+    assert got.count() == t.count()
+    assert sorted(got.collect()) == sorted(exp.collect())
