@@ -23,7 +23,8 @@ def daily_bars(
     ``min``/``max``/``sum``/``count``), so Spark combines partial aggregates
     map-side and a hot symbol never lands in one task as raw rows.
     """
-    order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.struct(F.col(ts))
+    # a bare timestamp keeps hash aggregation; the tie-break struct needs a sort-based one
+    order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.col(ts)
     vol = F.sum(F.col(volume)).cast("long") if volume else F.count(F.lit(1))
     return (
         ticks.withColumn("date", F.col(ts).cast("date"))

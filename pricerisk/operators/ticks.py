@@ -27,8 +27,14 @@ def parse_ticks(raw: DataFrame, body_col: str = "body", schema: T.StructType = T
 
 
 def _order(ticks: DataFrame, ts: str, tiebreak: str | None) -> Column:
-    cols = [F.col(ts)] + ([F.col(tiebreak)] if tiebreak and tiebreak in ticks.columns else [])
-    return F.struct(*cols)
+    """Ordering key for latest-by-time: ``(ts, tiebreak)``, or bare ``ts``.
+
+    A bare column keeps ``max_by`` a hash aggregate; the struct needed for an
+    exact tie-break makes Spark fall back to a sort-based aggregate.
+    """
+    if tiebreak and tiebreak in ticks.columns:
+        return F.struct(F.col(ts), F.col(tiebreak))
+    return F.col(ts)
 
 
 def tick_change(

@@ -92,3 +92,13 @@ def test_scan_join_reuses_window_partitioning_without_broadcast(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_latest_by_time_without_tiebreak_is_a_hash_aggregate(spark):
+    from pricerisk.operators.bars import daily_bars
+
+    t = fx.event_ticks(spark, SF_SMALL)
+    plan = _plan(daily_bars(t, tiebreak=None))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    plan = _plan(tk.price_stats(t, ["batch", "symbol"], tiebreak=None))
+    assert "SortAggregate" not in plan
