@@ -78,13 +78,41 @@ def stage_prices(raw: DataFrame) -> DataFrame:
     )
 
 
-def universe(spark: SparkSession, tickers: Sequence | str) -> DataFrame:
+# The default universe, the eight tracked tickers in configured order.
+DEFAULT_TICKERS = [
+    ("NWG.L", "NatWest Group"),
+    ("ABDN.L", "abrdn plc"),
+    ("SMT.L", "Scottish Mortgage Investment Trust"),
+    ("MNKS.L", "Monks Investment Trust"),
+    ("AV.L", "Aviva"),
+    ("HIK.L", "Hikma Pharmaceuticals"),
+    ("SSE.L", "SSE plc"),
+    ("WEIR.L", "Weir Group"),
+]
+
+
+def _yaml_tickers(path: str) -> list[dict]:
+    """The ``tickers:`` list of a YAML config file (small; read on the driver)."""
+    try:
+        import yaml
+    except ImportError as e:  # pragma: no cover - PyYAML is optional
+        raise ImportError("reading a YAML ticker config needs PyYAML; pass a list or JSON lines") from e
+    with open(path) as f:
+        return list(yaml.safe_load(f)["tickers"])
+
+
+def universe(spark: SparkSession, tickers: Sequence | str | None = None) -> DataFrame:
     """Ticker universe as ``(position, symbol, name)`` in configured order.
 
     ``tickers`` is a list of symbols, of ``(symbol, name)`` pairs or of
-    ``{"symbol":..., "name":...}`` dicts, or a path to JSON-lines records with
-    those fields (read by Spark; order follows the file).
+    ``{"symbol":..., "name":...}`` dicts; a path to a YAML config with a
+    ``tickers:`` list; or a path to JSON-lines records (read by Spark, order
+    follows the file). ``None`` gives :data:`DEFAULT_TICKERS`.
     """
+    if tickers is None:
+        tickers = DEFAULT_TICKERS
+    elif isinstance(tickers, str) and tickers.endswith((".yaml", ".yml")):
+        tickers = _yaml_tickers(tickers)
     if isinstance(tickers, str):
         df = spark.read.schema("symbol string, name string").json(tickers)
         return df.withColumn("position", F.monotonically_increasing_id()).select("position", "symbol", "name")

@@ -339,3 +339,13 @@ def test_keyed_message_body(spark):
 def test_normalize_default_ingest_time_is_iso_utc(spark):
     out = src.normalize_columns(spark.createDataFrame([(1.0,)], "Close double"), symbol="X").first()
     assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}\+00:00", out.ingested_at)
+
+
+def test_universe_from_yaml_config_in_order(spark, tmp_dir):
+    # mirror of the reference test: a temporary YAML with two tickers
+    path = os.path.join(tmp_dir, "tickers.yaml")
+    with open(path, "w") as f:
+        f.write("tickers:\n    - symbol: SHEL.L\n      name: Shell\n    - symbol: BP.L\n      name: BP\n")
+    u = src.universe(spark, path)
+    assert [r.symbol for r in u.orderBy("position").collect()] == ["SHEL.L", "BP.L"]
+    assert src.universe(spark).count() == 8
