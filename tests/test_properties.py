@@ -61,3 +61,46 @@ def test_scan_equals_window_on_random_data(spark, rows, width):
     )
     got = ordered_scan(df, "k", ["d", "id"], "p", lag_as="prev", running_max_as="runmax", width=width, target_rows=4)
     assert sorted(got.collect(), key=str) == sorted(exp.collect(), key=str)
+
+
+corr_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["A", "B", "C", "D", "E"]),
+        st.integers(min_value=0, max_value=12),
+        st.floats(min_value=-0.2, max_value=0.2, allow_nan=False).map(lambda x: round(x, 6)),
+    ),
+    min_size=2,
+    max_size=60,
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=corr_rows, block_days=st.sampled_from([1, 4, 1024]), tile=st.sampled_from([1, 2, 256]))
+def test_blocked_correlation_equals_self_join(spark, rows, block_days, tile):
+    import datetime as dt
+
+    from pricerisk.operators.correlation import pair_statistics
+
+    core = spark.createDataFrame(
+        [(dt.date(2024, 1, 1) + dt.timedelta(days=d), s, x) for s, d, x in rows],
+        "date date, symbol string, daily_return double",
+    )
+    a, b = core.alias("a"), core.alias("b")
+    p = a.join(b, (F.col("a.date") == F.col("b.date")) & (F.col("a.symbol") < F.col("b.symbol"))).select(
+        F.col("a.symbol").alias("symbol_1"), F.col("b.symbol").alias("symbol_2"),
+        F.col("a.daily_return").alias("x"), F.col("b.daily_return").alias("y"),
+    )
+    ref = p.groupBy("symbol_1", "symbol_2").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
+        F.sum(F.col("x") * F.col("y")).alias("sxy"), F.sum(F.col("x") * F.col("x")).alias("sx2"),
+        F.sum(F.col("y") * F.col("y")).alias("sy2"),
+    )
+    exp = {(r.symbol_1, r.symbol_2): (r.n, r.sx, r.sy, r.sxy, r.sx2, r.sy2) for r in ref.collect()}
+    got = {
+        (r.symbol_1, r.symbol_2): (r.n, r.sum_x, r.sum_y, r.sum_xy, r.sum_x2, r.sum_y2)
+        for r in pair_statistics(core, block_days=block_days, tile_size=tile).collect()
+    }
+    assert set(got) == set(exp)
+    for k, (n, *sums) in exp.items():
+        assert got[k][0] == n
+        assert all(abs(g - e) <= 1e-12 for g, e in zip(got[k][1:], sums)), (k, got[k], exp[k])
