@@ -52,7 +52,7 @@ def tick_change(
     ``(ts, tiebreak)``; ``change_pct = round((price - prev) / prev * 100, 4)``,
     or 0.0 when there is no previous price or it is 0. An optional ``base``
     frame ``(symbol, base_price)`` seeds the first tick's previous price.
-    ``direction`` is up / down / flat. The lag runs through the skew-safe
+    ``direction`` is ``↑`` / ``↓`` / ``-``. The lag runs through the skew-safe
     :func:`ordered_scan`.
     """
     order = [ts] + ([tiebreak] if tiebreak and tiebreak in ticks.columns else [])

@@ -49,7 +49,7 @@ def read_raw_prices(
     folder value is not surfaced, like the staging view. With ``keep_dt=True``
     (implied by ``dt_from``/``dt_to``) the root is read as a partitioned table:
     ``dt`` becomes a DATE column and the inclusive ``[dt_from, dt_to]`` range is
-    a partition filter, so folders outside it are never listed or read.
+    a partition filter: files of folders outside it are pruned and not read.
     ``date`` is read as BIGINT epoch ns, which also accepts files whose
     physical type is INT64 TIMESTAMP(NANOS).
     """
