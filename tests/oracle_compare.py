@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import math
+import os
 import sys
 
 import duckdb
@@ -21,7 +22,9 @@ TABLES = (
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    con.execute("SET TimeZone='UTC'")
+    tz = os.environ.get("ORACLE_DUCKDB_TZ", "UTC")
+    if tz != "default":
+        con.execute(f"SET TimeZone='{tz}'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con
