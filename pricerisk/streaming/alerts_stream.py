@@ -148,6 +148,10 @@ def start_state_stats_stream(
     Every aggregate is combined incrementally in the state store (one row per
     group and symbol). Each trigger overwrites ``table_path`` with the full
     statistics table, so a replayed trigger writes the same table again.
+    Complete mode rewrites every group on each trigger, which suits a bounded
+    set of groups (days of a backfill, a trading session). For an unbounded
+    history use :func:`start_windowed_alert_stream`, whose watermark emits
+    each window once and drops its state.
     """
     spark = ticks.sparkSession
     ckpt = checkpoint or scratch_path(spark, "streams", "state_stats")
