@@ -19,6 +19,9 @@ from pricerisk.sources.prices import read_raw_prices, stage_prices
 from pricerisk.streaming.alerts_stream import parsed_ticks, read_tick_stream, start_alert_stream
 
 
+FILE_FORMATS = ("json", "csv", "text", "parquet", "orc")
+
+
 def batch_job(
     spark: SparkSession,
     raw_root: str,
@@ -60,7 +63,9 @@ def alert_job(
     (e.g. JSON files read with the tick schema).
     """
     if body_col:
-        ticks = parsed_ticks(read_tick_stream(spark, fmt, path, options=options), body_col)
+        # streaming file sources need a declared schema; broker sources bring their own
+        schema = f"`{body_col}` string" if fmt in FILE_FORMATS else None
+        ticks = parsed_ticks(read_tick_stream(spark, fmt, path, options=options, schema=schema), body_col)
     else:
         ticks = read_tick_stream(spark, fmt, path, options=options, schema=TICK)
     return start_alert_stream(

@@ -136,3 +136,25 @@ def test_keyed_state_tick_change_equals_batch(spark, tick_files, tmp_dir):
     exp = tk.tick_change(t).select("event_id", "prev_price", "change_pct", "direction")
     assert got.count() == t.count()
     assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def test_alert_job_parses_message_bodies(spark, tick_files, tmp_dir):
+    import json
+
+    from pricerisk.plans.jobs import alert_job
+
+    _, _, t = tick_files
+    src_dir = os.path.join(tmp_dir, "bodies")
+    os.makedirs(src_dir)
+    rows = t.orderBy("timestamp").collect()
+    with open(os.path.join(src_dir, "part-0.json"), "w") as f:
+        for r in rows:
+            body = json.dumps({"symbol": r.symbol, "price": r.price, "timestamp": r.timestamp.isoformat() + "+00:00"})
+            f.write(json.dumps({"body": body}) + "\n")
+        f.write(json.dumps({"body": "garbled{"}) + "\n")
+    sink = os.path.join(tmp_dir, "body_alerts")
+    q = alert_job(spark, "json", sink, path=src_dir, body_col="body", checkpoint=os.path.join(tmp_dir, "bck"), available_now=True)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = read_alerts(spark, sink)
+    assert got.count() > 0 and got.filter(F.col("symbol").isNull()).count() == 0
