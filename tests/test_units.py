@@ -349,3 +349,27 @@ def test_universe_from_yaml_config_in_order(spark, tmp_dir):
     u = src.universe(spark, path)
     assert [r.symbol for r in u.orderBy("position").collect()] == ["SHEL.L", "BP.L"]
     assert src.universe(spark).count() == 8
+
+
+def test_outputs_follow_the_declared_schemas(spark):
+    import json
+
+    from pricerisk.schemas import ALERT, PRICE_BAR, TICK_MESSAGE
+
+    raw = spark.createDataFrame(
+        [(1704067207179575000, "A", 1.0, 2.0, 0.5, 1.5, 10, "t")],
+        "date long, symbol string, open double, high double, low double, close double, volume long, ingested_at string",
+    )
+    staged = src.stage_prices(raw)
+    assert [(f.name, f.dataType) for f in staged.schema] == [(f.name, f.dataType) for f in PRICE_BAR]
+
+    t = _ticks(spark, [("A", 10.0, 0), ("A", 11.0, 0)]).withColumn("volume", F.lit(3).cast("long"))
+    msgs = sk.to_keyed_messages(tk.tick_change(t))
+    back = msgs.select(F.from_json("value", TICK_MESSAGE).alias("m")).select("m.*").orderBy("timestamp").collect()
+    assert [(r.price, r.prev_price, r.change_pct, r.source) for r in back] == [(10.0, None, 0.0, "simulated"), (11.0, 10.0, 10.0, "simulated")]
+    assert back[1].timestamp == dt.datetime(2024, 1, 1, 0, 0, 1)
+    assert set(json.loads(msgs.first().value)) == {f.name for f in TICK_MESSAGE}
+
+    a = al.batch_alerts(_ticks(spark, [("A", p, 0) for p in [10.0] * 20 + [20.0]]))
+    assert set(ALERT.fieldNames()) <= set(a.columns)
+    assert {c: str(t_) for c, t_ in a.dtypes if c in ALERT.fieldNames()} == {f.name: f.dataType.simpleString() for f in ALERT}
