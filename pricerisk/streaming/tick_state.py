@@ -10,7 +10,10 @@ table, one row per symbol, versioned by batch id under ``state/batch_id=<n>``:
 * batch ``n`` reads the newest version below ``n``;
 * writes its ticks under ``out/batch_id=<n>`` and the new state under
   ``state/batch_id=<n>`` with partition overwrite, so a re-run batch replaces
-  both and never double-applies.
+  both and never double-applies;
+* then drops state versions older than ``n - 1``: a replay of batch ``n``
+  needs only version ``n - 1``, so the state folder stays two versions deep
+  however long the stream runs.
 
 Ticks that arrive later than newer ticks of the same symbol in an earlier
 batch are compared with the newest known price (arrival order across
@@ -76,6 +79,31 @@ def tick_change_batch(batch_df: DataFrame, batch_id: int, out_path: str, state_p
         kept = state.join(newest.select("symbol"), "symbol", "left_anti")
         newest = kept.select(*newest.columns).unionByName(newest)
     _write_partition(newest, state_path, batch_id)
+    prune_state_versions(spark, state_path, keep_from=batch_id - 1)
+
+
+def prune_state_versions(spark: SparkSession, state_path: str, keep_from: int) -> int:
+    """Delete ``state/batch_id=<k>`` folders with ``k < keep_from``; returns how many.
+
+    Uses the Hadoop FileSystem of the path, so it works on any shared storage
+    the cluster's checkpoint folder lives on.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(state_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return 0
+    removed = 0
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch_id="):
+            try:
+                k = int(name.split("=", 1)[1])
+            except ValueError:
+                continue
+            if k < keep_from and fs.delete(st.getPath(), True):
+                removed += 1
+    return removed
 
 
 def start_tick_change_stream(

@@ -158,3 +158,14 @@ def test_alert_job_parses_message_bodies(spark, tick_files, tmp_dir):
     assert q.exception() is None
     got = read_alerts(spark, sink)
     assert got.count() > 0 and got.filter(F.col("symbol").isNull()).count() == 0
+
+
+def test_tick_state_keeps_two_versions(spark, tick_files, tmp_dir):
+    d, _, _ = tick_files
+    state = os.path.join(tmp_dir, "state2")
+    q = ts.start_tick_change_stream(
+        _stream(spark, d), os.path.join(tmp_dir, "chg2"), state_path=state, checkpoint=os.path.join(tmp_dir, "ck2"), available_now=True
+    )
+    q.awaitTermination(300)
+    versions = sorted(int(n.split("=")[1]) for n in os.listdir(state) if n.startswith("batch_id="))
+    assert versions == [N_FILES - 2, N_FILES - 1]
