@@ -9,12 +9,14 @@ and only ever windows within a chunk:
    microseconds for TIMESTAMP, the value itself for integers) and bucketed:
    ``chunk = floor(ordinal / width)``. The chunk id is a pure function of the
    row, so every branch of the plan and every task retry agrees on it.
-2. For TIMESTAMP and integer orders (ticks) ``width`` is derived inside the
-   plan from the densest key among those holding more than ``target_rows``
-   rows (rows per ordinal unit, a one-row scalar subquery): such a key gets
-   about ``target_rows`` rows per chunk, so a hot symbol is split into many
-   ``(key, chunk)`` groups of bounded size; when no key is that large every
-   key stays one chunk. DATE orders (daily bars, at most one row per key and
+2. For TIMESTAMP and integer orders (ticks) only keys holding more than
+   ``target_rows`` rows are split, each with a width that gives it about
+   ``target_rows`` rows per chunk at its own density. There are at most
+   ``rows / target_rows`` such keys; their widths are counted and broadcast
+   when at most ``MAX_BROADCAST_WIDTHS``, otherwise one global width from the
+   densest large key (a scalar subquery) applies to all keys. Thin keys stay
+   one chunk, and a hot symbol becomes many ``(key, chunk)`` groups of
+   bounded size. DATE orders (daily bars, at most one row per key and
    day per landing run) use a fixed calendar width. Callers may pin
    ``width``.
 3. Inside each ``(key, chunk)`` group an ordinary window computes the lag and
@@ -67,6 +69,25 @@ def _ordinal(df: DataFrame, col: str) -> Column:
 
 # Width used when no key needs splitting: every ordinal falls in one chunk.
 _ONE_CHUNK = 1 << 62
+# Per-key widths are broadcast only up to this many keys (checked by count);
+# beyond it one global width is used instead.
+MAX_BROADCAST_WIDTHS = 100_000
+
+
+def key_widths(df: DataFrame, key: str, ordinal: Column, target_rows: int) -> DataFrame:
+    """``(_wk, _width)`` for each key holding more than ``target_rows`` rows.
+
+    The width gives that key about ``target_rows`` rows per chunk at its own
+    density. There are at most ``rows / target_rows`` such keys.
+    """
+    per_key = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.max(ordinal) - F.min(ordinal) + F.lit(1)).alias("span"),
+    )
+    width = F.floor(F.lit(float(target_rows)) * F.col("span") / F.col("n")).cast("long")
+    return per_key.filter(F.col("n") > F.lit(target_rows)).select(
+        F.col(key).alias("_wk"), F.greatest(F.lit(1).cast("long"), width).alias("_width")
+    )
 
 
 def chunk_width(df: DataFrame, key: str, ordinal: Column, target_rows: int) -> Column:
@@ -117,12 +138,27 @@ def ordered_scan(
     ordv = _ordinal(df, order[0])
     if not width and isinstance(df.schema[order[0]].dataType, T.DateType):
         width = DEFAULT_DATE_WIDTH
-    w_col = F.lit(int(width)).cast("long") if width else chunk_width(df, key, ordv, target_rows)
+    base = df
+    if width:
+        w_col = F.lit(int(width)).cast("long")
+    else:
+        # Only keys above target_rows are split, each at its own density. Their
+        # widths are broadcast after a count proves the table small; past the
+        # cap one global width (from the densest large key) is used instead.
+        widths = key_widths(df, key, ordv, target_rows)
+        n_large = widths.count()
+        if n_large == 0:
+            w_col = F.lit(_ONE_CHUNK).cast("long")
+        elif n_large <= MAX_BROADCAST_WIDTHS:
+            base = df.join(F.broadcast(widths), F.col(key).eqNullSafe(F.col("_wk")), "left").drop("_wk")
+            w_col = F.coalesce(F.col("_width"), F.lit(_ONE_CHUNK).cast("long"))
+        else:
+            w_col = chunk_width(df, key, ordv, target_rows)
 
     # (key, chunk) travels as one struct: struct equality matches NULL fields,
     # and the window and the carry join then share one hash partitioning.
     d = (
-        df.withColumn(_TIE, F.xxhash64(*[F.col(c) for c in cols]))
+        base.withColumn(_TIE, F.xxhash64(*[F.col(c) for c in cols]))
         .withColumn(_CHUNK, F.floor(ordv / w_col).cast("long"))
         .withColumn(_KC, F.struct(F.col(key).alias("k"), F.col(_CHUNK).alias("c")))
     )

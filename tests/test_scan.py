@@ -82,3 +82,21 @@ def test_auto_width_ignores_small_dense_keys(spark):
     assert w == int(20 / (100 / 991))  # set by "big" (100 rows over 991 units), not by "tiny"
     w_none = df.select(chunk_width(df, "k", F.col("d"), target_rows=1000).alias("w")).first().w
     assert w_none == 1 << 62
+
+
+def test_per_key_widths_split_only_hot_keys(spark):
+    from pricerisk.operators.scan import key_widths
+
+    df = _data(spark)
+    w = {r._wk: r._width for r in key_widths(df, "k", F.col("d").cast("long"), target_rows=500).collect()}
+    assert set(w) == {"hot"}  # ~2000 rows; the thin keys (~330 rows each) stay whole
+
+
+def test_scan_global_width_fallback(spark, monkeypatch):
+    import pricerisk.operators.scan as scan_mod
+
+    monkeypatch.setattr(scan_mod, "MAX_BROADCAST_WIDTHS", 0)
+    df = _data(spark)
+    got = ordered_scan(df, "k", ["d", "id"], "p", lag_as="prev", running_max_as="runmax", target_rows=50)
+    exp = _expected(df).drop("first")
+    assert sorted(got.collect()) == sorted(exp.collect())
