@@ -43,3 +43,14 @@ def test_batch_job_prunes_runs(spark, tmp_dir):
     bars = _land_like_pandas(spark, root)
     m = batch_job(spark, root, base=os.path.join(tmp_dir, "tables"), dt_from="2024-01-31")
     assert m.core.count() == int((bars["date"] >= "2024-01-15").sum())
+
+
+def test_batch_cli(spark, tmp_dir, capsys):
+    from pricerisk.plans.jobs import main
+
+    root = os.path.join(tmp_dir, "stock_prices")
+    _land_like_pandas(spark, root)
+    out = os.path.join(tmp_dir, "tables")
+    main(["batch", "--raw", root, "--out", out, "--dedup"])
+    assert "annual_volatility_pct" in capsys.readouterr().out
+    assert os.path.isdir(os.path.join(out, "marts", "mart_correlation"))
