@@ -14,6 +14,7 @@ from pricerisk.llm.packing import pack_documents
 from pricerisk.llm.quality import judge
 from pricerisk.llm.records import records_round_trip
 from pricerisk.llm.sharding import shard_documents
+from pricerisk.llm.simhash import near_duplicates
 
 
 def tokenizer_file(name: str) -> str:
@@ -39,6 +40,12 @@ def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(read_table(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 3-word shingles, at most 2 differing bits."""
+    prepare(spark)
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rendezvous shards 0 to 39 of every document, under the law ``key``."""
     prepare(spark)
@@ -61,6 +68,7 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op4_lines": op4_lines,
+    "op6_simhash": op6_simhash,
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
     "op10_records": op10_records,
