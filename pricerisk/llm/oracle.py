@@ -106,4 +106,20 @@ SELECT c.doc_id, c.n_words, c.word_chars, c.n_symbols, c.n_dup_lines, c.n_repeat
 FROM counted c LEFT JOIN failed f USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op1_quality": QUALITY, "op4_lines": LINES}
+TOPK = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, x.vec_id, list_dot_product(q.v::DOUBLE[], x.v::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v x ON q.vec_id <> x.vec_id
+  WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) WHERE rank <= 20
+"""
+
+ORACLE: dict[str, str] = {"op1_quality": QUALITY, "op3_topk": TOPK, "op4_lines": LINES}

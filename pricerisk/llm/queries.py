@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pricerisk.llm.common import prepare, read_table
 from pricerisk.llm.lines import dedup_lines
+from pricerisk.llm.mtree import top_k_of_table
 from pricerisk.llm.oracle import ORACLE as ORACLE
 from pricerisk.llm.packing import pack_documents
 from pricerisk.llm.quality import judge
@@ -34,6 +35,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products of every 20th vector with all others."""
+    prepare(spark)
+    return top_k_of_table(read_table(spark, sf_dir, "embeddings"))
+
+
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the three-line windows that occur earlier in the corpus."""
     prepare(spark)
@@ -67,6 +74,7 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op3_topk": op3_topk,
     "op4_lines": op4_lines,
     "op6_simhash": op6_simhash,
     "op8_sharding": op8_sharding,
