@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricerisk.llm.common import prepare, read_table
+from pricerisk.llm.langid import identify
 from pricerisk.llm.lines import dedup_lines
 from pricerisk.llm.mtree import top_k_of_table
 from pricerisk.llm.oracle import ORACLE as ORACLE
@@ -47,6 +48,12 @@ def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(read_table(spark, sf_dir, "documents"))
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learned from three of four folds."""
+    prepare(spark)
+    return identify(read_table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 3-word shingles, at most 2 differing bits."""
     prepare(spark)
@@ -76,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_topk": op3_topk,
     "op4_lines": op4_lines,
+    "op5_langid": op5_langid,
     "op6_simhash": op6_simhash,
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
