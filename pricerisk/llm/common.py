@@ -32,10 +32,15 @@ def worker_cache() -> dict:
     return module.__dict__
 
 
+# functions of this package reach workers with their code, so it need not be installed there
+ship_code_to_workers()
+
+
 def prepare(spark: SparkSession) -> None:
-    """Checkpoint folder from the session, and code that workers need not have installed."""
+    """Checks the checkpoint folder, and keeps Arrow batches of whole texts small."""
     ensure_checkpoint_dir(spark)
-    ship_code_to_workers()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

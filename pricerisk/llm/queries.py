@@ -17,6 +17,7 @@ from pricerisk.llm.quality import judge
 from pricerisk.llm.records import records_round_trip
 from pricerisk.llm.sharding import shard_documents
 from pricerisk.llm.simhash import near_duplicates
+from pricerisk.llm.toxicity import judge_toxicity
 
 
 def tokenizer_file(name: str) -> str:
@@ -60,6 +61,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every whole text after deobfuscation, learned from four of five folds."""
+    prepare(spark)
+    return judge_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rendezvous shards 0 to 39 of every document, under the law ``key``."""
     prepare(spark)
@@ -85,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_lines": op4_lines,
     "op5_langid": op5_langid,
     "op6_simhash": op6_simhash,
+    "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
     "op10_records": op10_records,
