@@ -6,7 +6,7 @@ import sys
 import types
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -95,9 +95,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def doc_key(doc_id: Column, text: Column) -> Column:
-    """One value for a document's id and text: equal rows share it, others don't."""
-    return F.struct(doc_id.alias("id"), F.xxhash64(text).alias("h1"), F.crc32(F.coalesce(text, F.lit(""))).alias("h2"))
+#: Hashes of a text; with doc_id they name a document where ids are null or repeat.
+TEXT_KEY = ("_h1", "_h2")
+
+
+def with_text_key(docs: DataFrame) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.withColumn("_h1", F.xxhash64(F.col("text").isNull(), text)).withColumn("_h2", F.crc32(text))
+
+
+def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that ``verdicts`` names by doc_id and TEXT_KEY (both frames have them)."""
+    named = verdicts.select(F.col("doc_id").alias("_d"), F.col("_h1").alias("_a"), F.col("_h2").alias("_b"))
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_h1") == F.col("_a")) & (F.col("_h2") == F.col("_b"))
+    return docs.join(named, same, "left_semi")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

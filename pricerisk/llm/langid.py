@@ -188,8 +188,8 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, **options) -> Model:
     return Model(langs, idf, weights, temperature(logits, np.array([y for _, _, y in apart])))
 
 
-def predict(docs: DataFrame, model: Model, held_out: Column) -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every row. Only the text decides."""
+def predict(docs: DataFrame, model: Model, held_out: Column, more: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every row, and its columns ``more``. Only the text decides."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # (buckets + 1) x languages weights
 
@@ -206,17 +206,21 @@ def predict(docs: DataFrame, model: Model, held_out: Column) -> DataFrame:
                     batch.column(2),
                     pa.array([x for x, _ in got], pa.string()),
                     pa.array([s for _, s in got], pa.float64()),
+                    *batch.columns[3:],
                 ],
-                names=PREDICTED.fieldNames(),
+                names=[*PREDICTED.fieldNames(), *more],
             )
 
-    d = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"))
-    return d.mapInArrow(run, PREDICTED)
+    d = pick(docs, *dict.fromkeys(("doc_id", "text", *more)))
+    own = [F.col(c).alias(f"_{c}") for c in more]
+    d = d.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"), *own)
+    schema = T.StructType([*PREDICTED.fields, *[T.StructField(c, d.schema[f"_{c}"].dataType) for c in more]])
+    return d.mapInArrow(run, schema)
 
 
-def identify(docs: DataFrame, folds: int = 4, held_out_fold: int = 2, **options) -> DataFrame:
+def identify(docs: DataFrame, folds: int = 4, held_out_fold: int = 2, more: tuple[str, ...] = (), **options) -> DataFrame:
     """Learns from all folds but one, and predicts every row of ``docs``."""
     held = in_fold(F.col("doc_id"), folds, held_out_fold)
-    d = pick(docs, "doc_id", "text", "lang")
+    d = pick(docs, *dict.fromkeys(("doc_id", "text", "lang", *more)))
     model = train(d.where(F.col("doc_id").isNotNull() & ~held), **options)
-    return predict(d, model, held)
+    return predict(d, model, held, more)

@@ -260,14 +260,15 @@ def judge(
     alpha: float = ALPHA,
     delta: float = DELTA,
     grid: dict | None = None,
+    more: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Base counts, stratum, failed_rules and kept for every row of ``docs``.
+    """Base counts, stratum, ``more`` columns, failed_rules and kept for every row of ``docs``.
 
     The narrow counts are written once; calibration and the verdict read them
     and never the texts again.
     """
     grid = grid or GRID
-    counted = base_counts(docs, stratum).withColumnRenamed(stratum, "stratum")
+    counted = base_counts(docs, stratum, *more).withColumnRenamed(stratum, "stratum")
     counted = counted.withColumn("stratum", F.coalesce(F.col("stratum").cast("string"), F.lit("")))
     counted = written(counted, "quality")
     chosen = written(select_cutoffs(counted, labels, alpha, delta, grid), "cutoffs")

@@ -13,6 +13,7 @@ from pricerisk.llm.lines import dedup_lines
 from pricerisk.llm.mtree import top_k_of_table
 from pricerisk.llm.oracle import ORACLE as ORACLE
 from pricerisk.llm.packing import pack_documents
+from pricerisk.llm.pieces import encode_digest
 from pricerisk.llm.quality import judge
 from pricerisk.llm.records import records_round_trip
 from pricerisk.llm.sharding import shard_documents
@@ -37,6 +38,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded into pieces of largest score, decoded again and compared."""
+    prepare(spark)
+    return encode_digest(read_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest inner products of every 20th vector with all others."""
     prepare(spark)
@@ -88,6 +95,7 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_pieces": op2_pieces,
     "op3_topk": op3_topk,
     "op4_lines": op4_lines,
     "op5_langid": op5_langid,

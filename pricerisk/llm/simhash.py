@@ -83,17 +83,19 @@ def _set_bits(hashes: list[int]) -> np.ndarray:
     return np.unpackbits(rows, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id and signed 64-bit fingerprint of every row; no shuffle, whole texts."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, more: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, signed 64-bit fingerprint, and columns ``more`` of every row; no shuffle, whole texts."""
 
     def run(batches):
         for batch in batches:
             fps = [fingerprint(t.as_py(), shingle, seed) for t in batch.column(1)]
             signed = np.array(fps, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(signed), *batch.columns[2:]], names=["doc_id", "fp", *more]
+            )
 
-    d = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return d.mapInArrow(run, FINGERPRINTS)
+    d = pick(docs, "doc_id", "text", *more).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return d.mapInArrow(run, T.StructType([*FINGERPRINTS.fields, *[d.schema[c] for c in more]]))
 
 
 @lru_cache(maxsize=4)
@@ -284,18 +286,35 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED
+def grouped(
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+    seed: int = SEED,
+    more: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable) of every row."""
-    prints = written(fingerprints(docs, shingle, seed), "fingerprints")
+    """doc_id, fp, ``more``, root (the smallest fingerprint of the component), component_id of every row."""
+    prints = written(fingerprints(docs, shingle, seed, more), "fingerprints")
     # one row for each fingerprint: copies meet by partial aggregation
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "nodes")
     rooted = components(links(nodes, max_bits))
-    grouped = nodes.join(rooted, "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    least = grouped.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    joined = nodes.join(rooted, "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
+    least = joined.groupBy("root").agg(F.min("least_id").alias("component_id"))
     # a component's fingerprints, not its rows, meet here
-    by_print = grouped.join(least, "root").select("fp", "component_id")
-    return prints.join(by_print, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    by_print = joined.join(least, "root").select("fp", "root", "component_id")
+    return prints.join(by_print, "fp").select("doc_id", "fp", *more, "root", "component_id")
+
+
+def near_duplicates(
+    docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED
+) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable) of every row."""
+    rows = grouped(docs, shingle, max_bits, seed)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def first_of_groups(docs: DataFrame, key: tuple[str, ...], **options) -> DataFrame:
+    """doc_id and ``key`` of one row for each group: the smallest doc_id, then the smallest key; null ids last."""
+    rows = grouped(docs, more=key, **options)
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", *key)
+    return rows.groupBy("root").agg(F.min(place).alias("p")).select("p.doc_id", *[f"p.{k}" for k in key])
