@@ -35,20 +35,15 @@ def write_raw(df: DataFrame, root: str, dt: str | None = None) -> str:
     The written row count is gathered during the write (an ``Observation``,
     no second pass) and logged.
     """
-    spark = df.sparkSession
     obs = Observation(f"raw_{dt or 'dt'}")
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (
-            df.observe(obs, F.count(F.lit(1)).alias("rows"))
-            .withColumn("dt", F.lit(dt) if dt is not None else F.col("dt").cast("string"))
-            .write.mode("overwrite")
-            .partitionBy("dt")
-            .parquet(f"{root.rstrip('/')}/{RAW_PREFIX}")
-        )
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (
+        df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        .withColumn("dt", F.lit(dt) if dt is not None else F.col("dt").cast("string"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dt")
+        .parquet(f"{root.rstrip('/')}/{RAW_PREFIX}")
+    )
     path = raw_partition_path(root, dt) if dt is not None else f"{root.rstrip('/')}/{RAW_PREFIX}"
     log.info("landed %s rows at %s", obs.get.get("rows"), path)
     return path
@@ -84,27 +79,29 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def write_alerts(alerts: DataFrame, batch_id: int, path: str, fmt: str = "parquet") -> None:
+#: Run of alerts that are written without a streaming query.
+MANUAL_RUN = "manual"
+
+
+def write_alerts(alerts: DataFrame, batch_id: int, path: str, fmt: str = "parquet", run_id: str = MANUAL_RUN) -> None:
     """Write one micro-batch of alerts idempotently.
 
-    Rows are written under ``batch_id=<id>`` with dynamic partition overwrite,
-    so a replayed batch replaces its own output instead of appending a second
-    copy. Rows are written by the tasks that produced them (AQE has already
-    merged small partitions), so no single task gathers a batch.
+    Rows are written under ``run_id=<run>/batch_id=<id>`` with dynamic
+    partition overwrite, so a replayed batch replaces its own output instead
+    of appending a second copy, and batches of other runs (another query on
+    the same sink, or one that began again with a fresh checkpoint) stay. Rows
+    are written by the tasks that produced them (AQE has already merged small
+    partitions), so no single task gathers a batch.
     """
-    spark = alerts.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (
-            alerts.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-            .write.mode("overwrite")
-            .partitionBy("batch_id")
-            .format(fmt)
-            .save(path)
-        )
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (
+        alerts.withColumn("run_id", F.lit(run_id))
+        .withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id", "batch_id")
+        .format(fmt)
+        .save(path)
+    )
 
 
 def read_alerts(spark: SparkSession, path: str, fmt: str = "parquet", view: str | None = "alerts") -> DataFrame:
@@ -138,5 +135,7 @@ def to_keyed_messages(ticks: DataFrame, source: str = MESSAGE_SOURCE) -> DataFra
 
 
 def ingest_counts(df: DataFrame) -> DataFrame:
-    """Rows per symbol plus the total (the row whose ``symbol`` is NULL)."""
-    return df.rollup("symbol").agg(F.count(F.lit(1)).alias("row_count"))
+    """Rows per symbol plus the total, which ``is_total`` tells from rows without a symbol."""
+    return df.rollup("symbol").agg(
+        F.count(F.lit(1)).alias("row_count"), (F.grouping("symbol") == 1).alias("is_total")
+    )
