@@ -28,10 +28,11 @@ def epoch_ns_to_date(col) -> Column:
     """Epoch nanoseconds -> DATE.
 
     Integer-divides by 1e9 (truncating toward zero, as the staging view does)
-    and interprets the seconds in the session time zone (UTC).
+    and counts whole UTC days, whatever the session time zone is.
     """
     secs = F.call_function("div", _c(col).cast("long"), F.lit(NANOS_PER_SECOND))
-    return F.timestamp_seconds(secs).cast("date")
+    midnight = secs - F.pmod(secs, F.lit(86_400))
+    return F.date_from_unix_date(F.call_function("div", midnight, F.lit(86_400)).cast("int"))
 
 
 def simple_return(close, prev_close, decimals: int = RETURN_DECIMALS) -> Column:
@@ -75,5 +76,6 @@ def tick_direction(price, prev_price) -> Column:
 
 
 def iso_utc_string(ts) -> Column:
-    """TIMESTAMP -> ISO-8601 text with microseconds and a ``+00:00`` offset."""
-    return F.concat(F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+    """TIMESTAMP -> ISO-8601 text of its UTC time with microseconds and a ``+00:00`` offset."""
+    utc = F.to_utc_timestamp(_c(ts).cast("timestamp"), F.current_timezone())
+    return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))

@@ -115,6 +115,7 @@ def pair_statistics(
     """Per pair: n, Sx, Sy, Sxy, Sx2, Sy2 over the dates both symbols share."""
     per = (
         clean_returns(core)
+        .filter(F.col("symbol").isNotNull())  # as an equi-join would: no pair has an unnamed side
         .withColumn("x", F.col("daily_return").cast("double"))
         .groupBy("symbol", "date")
         .agg(

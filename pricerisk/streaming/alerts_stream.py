@@ -28,7 +28,7 @@ from pricerisk.operators.alerts import ALL_RULES, alerts, windowed_alerts
 from pricerisk.operators.ticks import parse_ticks, price_stats
 from pricerisk.schemas import TICK
 from pricerisk.session import scratch_path
-from pricerisk.sinks.writers import write_alerts
+from pricerisk.sinks.writers import MANUAL_RUN, write_alerts
 
 # Fixed value: the reference triggers a micro-batch every 10 seconds.
 DEFAULT_TRIGGER = "10 seconds"
@@ -56,26 +56,40 @@ def parsed_ticks(raw: DataFrame, body_col: str = "body", schema: T.StructType =
     return parse_ticks(raw, body_col, schema)
 
 
-def alert_batch(batch_df: DataFrame, batch_id: int, sink: str, *, rules=ALL_RULES, fmt: str = "parquet") -> int:
+def query_run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps in its checkpoint: the same after a restart, another for a fresh one."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
+def alert_batch(
+    batch_df: DataFrame, batch_id: int, sink: str, *, rules=ALL_RULES, fmt: str = "parquet", run_id: str = MANUAL_RUN
+) -> int:
     """Process one micro-batch: statistics per symbol, rules, idempotent write.
 
+    ``run_id`` names the query's life: it is part of the alert ids and of the
+    output path, so batches with equal numbers of other runs are not touched.
+    The micro-batch is kept while it is processed, so its source is read once.
+
     Returns the number of alerts written (0 for an empty batch, which is
     skipped without a write).
     """
-    if batch_df.isEmpty():
-        return 0
-    b = batch_df.withColumn("batch", F.lit(int(batch_id)).cast("long"))
-    tiebreak = "event_id" if "event_id" in b.columns else None
-    stats = price_stats(b, ["batch", "symbol"], tiebreak=tiebreak)
-    out = alerts(stats, ["batch"], rules=rules).drop("batch")
-    out = out.persist()
+    batch_df = batch_df.persist()
     try:
-        n = out.count()
-        if n:
-            write_alerts(out, batch_id, sink, fmt)
+        if batch_df.isEmpty():
+            return 0
+        b = batch_df.withColumn("run", F.lit(run_id)).withColumn("batch", F.lit(int(batch_id)).cast("long"))
+        tiebreak = "event_id" if "event_id" in b.columns else None
+        stats = price_stats(b, ["run", "batch", "symbol"], tiebreak=tiebreak)
+        out = alerts(stats, ["run", "batch"], rules=rules).drop("run", "batch").persist()
+        try:
+            n = out.count()
+            if n:
+                write_alerts(out, batch_id, sink, fmt, run_id)
+        finally:
+            out.unpersist()
+        return n
     finally:
-        out.unpersist()
-    return n
+        batch_df.unpersist()
 
 
 def start_alert_stream(
@@ -97,9 +111,12 @@ def start_alert_stream(
     """
     spark = ticks.sparkSession
     ckpt = checkpoint or scratch_path(spark, "streams", "alerts")
+    run: dict[str, str] = {}
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        alert_batch(batch_df, batch_id, sink, rules=rules, fmt=fmt)
+        if "id" not in run:
+            run["id"] = query_run_id(batch_df.sparkSession, ckpt)
+        alert_batch(batch_df, batch_id, sink, rules=rules, fmt=fmt, run_id=run["id"])
 
     w = ticks.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
     if query_name:

@@ -26,47 +26,72 @@ ticks of a micro-batch form one group.
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupStateTimeout
-from pyspark.sql.utils import AnalysisException
 
 from pricerisk.operators.ticks import latest_tick, tick_change, with_change
 from pricerisk.session import scratch_path, ship_code_to_workers
 
 
 def _write_partition(df: DataFrame, path: str, batch_id: int) -> None:
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.withColumn("batch_id", F.lit(int(batch_id)).cast("long")).write.mode("overwrite").partitionBy(
-            "batch_id"
-        ).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (
+        df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .parquet(path)
+    )
+
+
+def state_versions(spark: SparkSession, state_path: str) -> list[int]:
+    """Batch ids with a state version, from the folder's names; none if there is no folder yet."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(state_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+    return sorted(int(n.split("=", 1)[1]) for n in names if re.fullmatch(r"batch_id=\d+", n))
+
+
+def newest_version(spark: SparkSession, state_path: str, before_batch: int) -> int | None:
+    """The newest version below ``before_batch``, whatever its number."""
+    return max((v for v in state_versions(spark, state_path) if v < before_batch), default=None)
 
 
 def read_state(spark: SparkSession, state_path: str, before_batch: int) -> DataFrame | None:
-    """Newest state version with ``batch_id < before_batch`` (None if there is none)."""
-    try:
-        st = spark.read.parquet(state_path)
-    except AnalysisException:
-        return None
-    older = st.filter(F.col("batch_id") < before_batch)
-    last = older.agg(F.max("batch_id")).collect()[0][0]  # one number from partition values
+    """Newest state version with ``batch_id < before_batch`` (None if there is none).
+
+    Only a missing folder or version means "no state yet"; a version that
+    cannot be read raises.
+    """
+    last = newest_version(spark, state_path, before_batch)
     if last is None:
         return None
-    return older.filter(F.col("batch_id") == last).drop("batch_id")
+    return spark.read.parquet(f"{state_path.rstrip('/')}/batch_id={last}")
 
 
 def tick_change_batch(batch_df: DataFrame, batch_id: int, out_path: str, state_path: str) -> None:
-    """Process one micro-batch of ticks (symbol, price, timestamp[, event_id, ...])."""
+    """Process one micro-batch of ticks (symbol, price, timestamp[, event_id, ...]).
+
+    The micro-batch is kept while it is processed, so its source is read once.
+    """
+    batch_df = batch_df.persist()
+    try:
+        _tick_change_batch(batch_df, batch_id, out_path, state_path)
+    finally:
+        batch_df.unpersist()
+
+
+def _tick_change_batch(batch_df: DataFrame, batch_id: int, out_path: str, state_path: str) -> None:
     if batch_df.isEmpty():
         return
     spark = batch_df.sparkSession
+    used = newest_version(spark, state_path, batch_id)
     state = read_state(spark, state_path, batch_id)
     base = state.select("symbol", F.col("last_price").alias("base_price")) if state is not None else None
     tiebreak = "event_id" if "event_id" in batch_df.columns else None
@@ -79,7 +104,8 @@ def tick_change_batch(batch_df: DataFrame, batch_id: int, out_path: str, state_p
         kept = state.join(newest.select("symbol"), "symbol", "left_anti")
         newest = kept.select(*newest.columns).unionByName(newest)
     _write_partition(newest, state_path, batch_id)
-    prune_state_versions(spark, state_path, keep_from=batch_id - 1)
+    # a replay of this batch needs the version it was computed from
+    prune_state_versions(spark, state_path, keep_from=batch_id if used is None else used)
 
 
 def prune_state_versions(spark: SparkSession, state_path: str, keep_from: int) -> int:
