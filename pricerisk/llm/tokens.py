@@ -26,8 +26,8 @@ _S, _X = f"[{UNICODE_SPACE}]", f"[^{UNICODE_SPACE}]"
 #: Any text: white space at the end; white space of two or more with what
 #: follows; a space and a word; one line break; another single one and a word.
 _UNITS = re.compile(f"{_S}+\\Z|{_S}{{2,}}{_X}+| {_X}+|\\n|{_S}?{_X}+")
-#: A text with white space other than single spaces and line breaks between words.
-_UNEVEN = re.compile(f"{_S}{{2}}|[{UNICODE_SPACE[1]}{UNICODE_SPACE[3:]}]|\\A{_S}|{_S}\\Z")
+#: White space that makes a text uneven: other than single spaces and line breaks.
+_RARE = ("  ", "\n\n", " \n", "\n ", *(c for c in UNICODE_SPACE if c not in " \n"))
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _WORD = re.compile(f" [{_LETTERS}]+")
 _WORD_MARKS = re.compile(f"( [{_LETTERS}]+)([!-/:-@\\[-`{{-~]+)")
@@ -35,6 +35,11 @@ _WORD_MARKS = re.compile(f"( [{_LETTERS}]+)([!-/:-@\\[-`{{-~]+)")
 MEMO_UNIT = 14
 
 
+def _uneven(text: str) -> bool:
+    """White space other than single spaces and line breaks between words."""
+    return text[0] in " \n" or text[-1] in " \n" or any(x in text for x in _RARE)
+
+
 class Memo:
     """A dict of two generations with at most ``limit`` values each."""
 
@@ -45,15 +50,12 @@ class Memo:
 
     def missing(self, keys: set[str]) -> list[str]:
         """Keys without a value; those of the old generation move to the young one."""
-        young, old, out = self.young, self.old, []
-        for k in keys:
-            if k not in young:
-                v = old.get(k)
-                if v is None:
-                    out.append(k)
-                else:
-                    young[k] = v
-        return out
+        young, old = self.young, self.old
+        new = keys - young.keys()
+        known = new & old.keys() if old else ()
+        for k in known:
+            young[k] = old[k]
+        return list(new.difference(known))
 
     def turn(self) -> None:
         if len(self.young) >= self.limit:
@@ -63,7 +65,7 @@ class Memo:
 class UnitEncoder:
     """Ids of texts as raw little-endian arrays of ``dtype``."""
 
-    def __init__(self, path: str, max_units: int = 250_000):
+    def __init__(self, path: str, max_units: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -130,26 +132,30 @@ class UnitEncoder:
         even: list[tuple[int, list[str]]] = []
         out: list[bytes] = [b""] * len(texts)
         odd: list[tuple[int, list[str]]] = []
+        seen: set[str] = set()
         for i, t in enumerate(texts):
             if not t:
                 continue
-            if _UNEVEN.search(t):
+            if _uneven(t):
                 odd.append((i, _UNITS.findall(t)))
             else:
+                # every unit but the first then begins with a space or a line break
                 u = t.replace("\n", " \n").split(" ")
                 u[0] = "\n" + u[0]
+                seen.update(u)
                 even.append((i, u))
         # keys of even texts lack the space that stands before the word
-        new = memo.missing({u for _, us in even for u in us})
+        new = memo.missing(seen)
         learned = self._learn([u if u[0] == "\n" else " " + u for u in new])
-        rare = {}
-        for u in new:
-            (memo.young if len(u) <= MEMO_UNIT else rare)[u] = learned[u if u[0] == "\n" else " " + u]
         young = memo.young
+        for u in new:
+            young[u] = learned[u if u[0] == "\n" else " " + u]
+        get = young.__getitem__
         for i, us in even:
-            ids = [young[u] if u in young else rare[u] for u in us]
-            ids[0] = ids[0][cut:]
-            out[i] = b"".join(ids)
+            out[i] = b"".join(map(get, us))[cut:]
+        for u in new:
+            if len(u) > MEMO_UNIT:
+                del young[u]
         if odd:
             learned = self._learn(list({u for _, us in odd for u in us}))
             for i, us in odd:
