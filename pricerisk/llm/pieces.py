@@ -29,6 +29,7 @@ ignored.
 from __future__ import annotations
 
 import re
+import struct
 import uuid
 import zlib
 
@@ -71,7 +72,7 @@ CHUNKS = T.StructType(
 class Vocabulary:
     """Pieces with spaces for U+2581, their scores, and exact segmentation of short strings."""
 
-    def __init__(self, path: str, memo_size: int = 400_000):
+    def __init__(self, path: str, memo_size: int = 700_000):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -97,7 +98,8 @@ class Vocabulary:
         for value, k in self.byte_ids.items():
             # the penalty counts once for a character: at its first byte
             self.scores[k] = 0.0 if value & 0xC0 == 0x80 else self.unknown
-        self.prefixes = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
+        #: Every beginning of a piece, with the id of the piece that it is or -1.
+        self.beginnings = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
         self.longest = max(map(len, self.ids))
         self.score_of = self.scores.tolist()
         alone = "".join(c for c in "\n\t\r" if not any(c in p for p in self.ids if len(p) > 1))
@@ -106,46 +108,47 @@ class Vocabulary:
         self.memo: dict[str, bytes] = {}
         self.memo_size = memo_size
 
-    def steps(self, text: str, at: int):
-        """(end, score, id or None) of the pieces that begin at ``at``; a character without one is unknown."""
-        ids, prefixes = self.ids, self.prefixes
-        single = False
-        for end in range(at + 1, min(len(text), at + self.longest) + 1):
-            p = text[at:end]
-            if p not in prefixes:
-                break
-            k = ids.get(p)
-            if k is not None:
-                single |= end == at + 1
-                yield end, self.score_of[k], k
-        if not single:
-            yield at + 1, self.unknown, None
-
     def forward(self, text: str, start: int, stop: int):
-        """Best scores from ``start`` to each place, and the last piece's start: pieces begin before ``stop``."""
-        n = len(text)
+        """Best scores from ``start`` to each place, and the last piece's start: pieces begin before ``stop``.
+
+        A character that is no piece by itself is unknown and stands alone at a penalty.
+        """
+        n, longest, find, score_of = len(text), self.longest, self.beginnings.get, self.score_of
         best, back = [NONE] * (n + 1), [-1] * (n + 1)
         best[start] = 0.0
         for at in range(start, min(stop, n)):
             here = best[at]
             if here == NONE:
                 continue
-            for end, score, _ in self.steps(text, at):
-                if here + score > best[end]:  # the first found starts earliest: the longest last piece
-                    best[end], back[end] = here + score, at
+            k = find(text[at])
+            score = here + (self.unknown if k is None or k < 0 else score_of[k])
+            if score > best[at + 1]:  # the first found starts earliest: the longest last piece
+                best[at + 1], back[at + 1] = score, at
+            if k is None:
+                continue
+            for end in range(at + 2, min(n, at + longest) + 1):
+                k = find(text[at:end])
+                if k is None:
+                    break
+                if k >= 0:
+                    score = here + score_of[k]
+                    if score > best[end]:
+                        best[end], back[end] = score, at
         return best, back
 
     def trace(self, text: str, back: list[int], start: int, end: int) -> bytes:
         out: list[int] = []
+        find = self.ids.get
         while end > start:
             at = back[end]
-            k = self.ids.get(text[at:end])
+            k = find(text[at:end])
             if k is None:
                 out.extend(self.byte_ids[b] for b in reversed(text[at:end].encode("utf-8", "surrogatepass")))
             else:
                 out.append(k)
             end = at
-        return np.array(out[::-1], dtype="<u4").tobytes()
+        out.reverse()
+        return struct.pack(f"<{len(out)}I", *out)
 
     def unit(self, text: str) -> bytes:
         """The ids of one unit."""
