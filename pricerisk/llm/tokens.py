@@ -14,6 +14,8 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from pricerisk.llm.common import worker_cache
 
@@ -29,8 +31,7 @@ _UNITS = re.compile(f"{_S}+\\Z|{_S}{{2,}}{_X}+| {_X}+|\\n|{_S}?{_X}+")
 #: White space that makes a text uneven: other than single spaces and line breaks.
 _RARE = ("  ", "\n\n", " \n", "\n ", *(c for c in UNICODE_SPACE if c not in " \n"))
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_WORD = re.compile(f" [{_LETTERS}]+")
-_WORD_MARKS = re.compile(f"( [{_LETTERS}]+)([!-/:-@\\[-`{{-~]+)")
+_WORD_MARKS = re.compile(f"([{_LETTERS}]+)([!-/:-@\\[-`{{-~]*)")
 #: Units longer than this repeat too rarely to be worth keeping.
 MEMO_UNIT = 14
 
@@ -48,14 +49,17 @@ class Memo:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def missing(self, keys: set[str]) -> list[str]:
-        """Keys without a value; those of the old generation move to the young one."""
+    def missing(self, keys) -> list[str]:
+        """Distinct keys without a value; those of the old generation move to the young one."""
         young, old = self.young, self.old
-        new = keys - young.keys()
-        known = new & old.keys() if old else ()
-        for k in known:
-            young[k] = old[k]
-        return list(new.difference(known))
+        new = []
+        for k in keys:
+            if k not in young:
+                if k in old:
+                    young[k] = old[k]
+                else:
+                    new.append(k)
+        return new
 
     def turn(self) -> None:
         if len(self.young) >= self.limit:
@@ -86,11 +90,11 @@ class UnitEncoder:
         return out
 
     def _words(self, words: list[str]) -> dict[str, bytes]:
-        """Words of a space and Latin letters go to the library end to end: each is one piece to merge."""
+        """Words of Latin letters go to the library end to end, a space before each: each is one piece to merge."""
         out = {}
         for lo in range(0, len(words), 2000):
             some = words[lo : lo + 2000]
-            enc = self.tokenizer.encode("".join(some), add_special_tokens=False)
+            enc = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
             ids = np.array(enc.ids, dtype=self.dtype)
             at = np.array(enc.word_ids, dtype=np.int64)
             if at[-1] != len(some) - 1:
@@ -102,68 +106,106 @@ class UnitEncoder:
         return out
 
     def _learn(self, units: list[str]) -> dict[str, bytes]:
-        """Ids of units, which are cut further into a word and its marks where that is safe."""
-        split: dict[str, tuple[str, ...]] = {}
+        """Ids of units, which are cut further into a word and its marks where that is safe.
+
+        Units and words are without the space that stands before them; a unit
+        that has none begins with a line break.
+        """
+        known, match = self.parts, _WORD_MARKS.fullmatch
+        cut: list[tuple[str, str, str]] = []
+        rest: list[str] = []
         for u in units:
-            if u[0] == "\n" and len(u) > 1:
-                split[u] = ("\n", u[1:]) if not re.match(_S, u[1]) else (u,)
+            m = match(u)
+            if m:
+                cut.append((u, *m.groups()))
             else:
-                m = _WORD_MARKS.fullmatch(u)
-                split[u] = m.groups() if m else (u,)
-        parts = self.parts
-        new = parts.missing({p for ps in split.values() for p in ps})
-        words = [p for p in new if _WORD.fullmatch(p)]
-        taken = set(words)
-        got = self._words(words) | self._plain([p for p in new if p not in taken])
-        young = parts.young
-        out = {}
-        for u, ps in split.items():
-            out[u] = b"".join([got[p] if p in got else young[p] for p in ps])
-        for p, ids in got.items():
-            if len(p) <= 2 * MEMO_UNIT:
-                young[p] = ids
-        parts.turn()
+                rest.append(u)
+        got = self._words(known.missing({w for _, w, _ in cut}))
+        marks = self._plain(list({x for _, _, x in cut}))
+        young = known.young
+        young.update(got)
+        out = {u: young[w] + marks[x] for u, w, x in cut}
+        for w in got:
+            if len(w) > 2 * MEMO_UNIT:
+                del young[w]
+        known.turn()
+        if rest:
+            # after a line break a unit goes on as a text of its own, unless white space follows
+            alone = [u for u in rest if u[0] == "\n" and len(u) > 1 and u[1] not in UNICODE_SPACE]
+            bare = self._plain([u[1:] for u in alone])
+            out.update((u, self.line_break + bare[u[1:]]) for u in alone)
+            other = [u for u in rest if u not in out]
+            whole = self._plain([u if u[0] == "\n" else " " + u for u in other])
+            out.update((u, whole[u if u[0] == "\n" else " " + u]) for u in other)
         return out
 
+    def _even(self, texts: list[str]) -> list[bytes]:
+        """Ids of even texts: each distinct unit is looked up once for all of them."""
+        memo = self.units
+        units, codes, ends = coded_units(texts)
+        new = memo.missing(units)
+        young = memo.young
+        young.update(self._learn(new))
+        out = put_together([young[u] for u in units], codes, ends, self.dtype)
+        for u in new:
+            if len(u) > MEMO_UNIT:
+                del young[u]
+        memo.turn()
+        cut = len(self.line_break)
+        return [ids[cut:] for ids in out]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
-        cut = len(self.line_break)
-        memo = self.units
-        even: list[tuple[int, list[str]]] = []
         out: list[bytes] = [b""] * len(texts)
+        even: list[int] = []
         odd: list[tuple[int, list[str]]] = []
-        seen: set[str] = set()
         for i, t in enumerate(texts):
-            if not t:
-                continue
-            if _uneven(t):
+            if t and _uneven(t):
                 odd.append((i, _UNITS.findall(t)))
-            else:
-                # every unit but the first then begins with a space or a line break
-                u = t.replace("\n", " \n").split(" ")
-                u[0] = "\n" + u[0]
-                seen.update(u)
-                even.append((i, u))
-        # keys of even texts lack the space that stands before the word
-        new = memo.missing(seen)
-        learned = self._learn([u if u[0] == "\n" else " " + u for u in new])
-        young = memo.young
-        for u in new:
-            young[u] = learned[u if u[0] == "\n" else " " + u]
-        get = young.__getitem__
-        for i, us in even:
-            out[i] = b"".join(map(get, us))[cut:]
-        for u in new:
-            if len(u) > MEMO_UNIT:
-                del young[u]
+            elif t:
+                even.append(i)
+        if even:
+            for i, ids in zip(even, self._even([texts[i] for i in even])):
+                out[i] = ids
         if odd:
-            learned = self._learn(list({u for _, us in odd for u in us}))
+            spaced = {u for _, us in odd for u in us}
+            keys = {u: u[1:] if u[0] == " " and len(u) > 1 and u[1] not in UNICODE_SPACE else u for u in spaced}
+            plain = [u for u, k in keys.items() if k is u and (u[0] != "\n" or len(u) == 1)]
+            learned = self._learn(list({k for u, k in keys.items() if k is not u or (u[0] == "\n" and len(u) > 1)}))
+            values = {u: learned[k] for u, k in keys.items() if k in learned and (k is not u or u[0] == "\n")}
+            values.update(self._plain(plain))
             for i, us in odd:
-                out[i] = b"".join([learned[u] for u in us])
-        memo.turn()
+                out[i] = b"".join([values[u] for u in us])
         return out
 
 
+def coded_units(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct units of texts cut at single spaces and before line breaks, the
+    unit of each place as an index into them, and each text's end among the places.
+
+    A line break goes before each text; its first unit begins with it, and so
+    does every unit that no space stands before.
+    """
+    whole = pa.array([("\n" + t.replace("\n", " \n")) for t in texts], pa.large_string())
+    cut = pc.split_pattern(whole, " ")
+    coded = cut.flatten().dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), cut.offsets.to_numpy()[1:]
+
+
+def put_together(values: list[bytes], codes: np.ndarray, ends: np.ndarray, dtype: np.dtype) -> list[bytes]:
+    """The values of all places end to end, as one run of bytes for each text."""
+    table = np.frombuffer(b"".join(values), dtype=dtype)
+    sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // dtype.itemsize
+    first = np.cumsum(sizes) - sizes
+    n = sizes[codes]
+    stop = np.cumsum(n)
+    at = np.repeat(first[codes] - (stop - n), n)
+    at += np.arange(len(at))
+    ids = table[at]
+    edges = [0, *stop[ends - 1].tolist()]
+    return [ids[a:b].tobytes() for a, b in zip(edges, edges[1:])]
+
+
 def encoder(path: str) -> UnitEncoder:
     """The worker's encoder for a tokenizer file."""
     cache = worker_cache()
@@ -173,7 +215,7 @@ def encoder(path: str) -> UnitEncoder:
     return cache[key]
 
 
-def in_slices(values: list, limit: int = 2_000_000):
+def in_slices(values: list, limit: int = 8_000_000):
     """Index ranges of ``values`` (texts) of about ``limit`` characters each."""
     lo, size = 0, 0
     for i, v in enumerate(values):
