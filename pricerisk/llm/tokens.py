@@ -31,12 +31,12 @@ _UNITS = re.compile(f"{_S}+\\Z|{_S}{{2,}}{_X}+| {_X}+|\\n|{_S}?{_X}+")
 #: White space that makes a text uneven: other than single spaces and line breaks.
 _RARE = ("  ", "\n\n", " \n", "\n ", *(c for c in UNICODE_SPACE if c not in " \n"))
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_WORD_MARKS = re.compile(f"([{_LETTERS}]+)([!-/:-@\\[-`{{-~]*)")
+WORD_MARKS = re.compile(f"([{_LETTERS}]+)([!-/:-@\\[-`{{-~]*)")
 #: Units longer than this repeat too rarely to be worth keeping.
-MEMO_UNIT = 14
+MEMO_UNIT = 16
 
 
-def _uneven(text: str) -> bool:
+def uneven(text: str) -> bool:
     """White space other than single spaces and line breaks between words."""
     return text[0] in " \n" or text[-1] in " \n" or any(x in text for x in _RARE)
 
@@ -69,7 +69,7 @@ class Memo:
 class UnitEncoder:
     """Ids of texts as raw little-endian arrays of ``dtype``."""
 
-    def __init__(self, path: str, max_units: int = 400_000):
+    def __init__(self, path: str, max_units: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -78,7 +78,7 @@ class UnitEncoder:
         self.tokenizer.encode_special_tokens = True
         self.vocab = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if self.vocab <= 1 << 16 else np.dtype("<u4")
-        self.units, self.parts = Memo(max_units), Memo(max_units)
+        self.memo = Memo(max_units)
         self.line_break = self._plain(["\n"])["\n"]
 
     def _plain(self, parts: list[str]) -> dict[str, bytes]:
@@ -105,77 +105,78 @@ class UnitEncoder:
                 a = b
         return out
 
-    def _learn(self, units: list[str]) -> dict[str, bytes]:
-        """Ids of units, which are cut further into a word and its marks where that is safe.
+    def _learn(self, keys: list[str]) -> dict[str, bytes]:
+        """Ids of keys: words without the space before them, and other units as :meth:`_values` names them."""
+        letters = WORD_MARKS.fullmatch
+        words = [k for k in keys if letters(k)]
+        out = self._words(words)
+        rest = [k for k in keys if k not in out]
+        # after a line break a unit goes on as a text of its own, unless white space follows
+        after = {k: k[1:] for k in rest if k[0] == "\n" and len(k) > 1 and k[1] not in UNICODE_SPACE}
+        plain = {k: after.get(k, k if k[0] == "\n" else " " + k) for k in rest}
+        ids = self._plain(list(set(plain.values())))
+        for k, p in plain.items():
+            out[k] = self.line_break + ids[p] if k in after else ids[p]
+        return out
+
+    def _values(self, units: list[str]) -> list[bytes]:
+        """Ids of distinct units, which are without the space that stands before them.
 
-        Units and words are without the space that stands before them; a unit
-        that has none begins with a line break.
+        A unit that has none begins with a line break. Words of Latin letters
+        are cut from the marks behind them.
         """
-        known, match = self.parts, _WORD_MARKS.fullmatch
-        cut: list[tuple[str, str, str]] = []
-        rest: list[str] = []
-        for u in units:
-            m = match(u)
-            if m:
-                cut.append((u, *m.groups()))
+        memo, match = self.memo, WORD_MARKS.fullmatch
+        young, old = memo.young, memo.old
+        out = list(map(young.get, units))
+        cut: list[tuple[int, str, str]] = []
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            u = units[i]
+            if (ids := old.get(u)) is not None:
+                young[u] = out[i] = ids
+            else:
+                m = match(u)
+                cut.append((i, m[1], m[2]) if m else (i, u, ""))
+        new = memo.missing(dict.fromkeys([w for _, w, _ in cut]))
+        young.update(self._learn(new))
+        marks = self._plain(list({x for _, _, x in cut if x}))
+        for i, w, x in cut:
+            if x:
+                out[i] = ids = young[w] + marks[x]
+                if len(w) + len(x) <= MEMO_UNIT:
+                    young[units[i]] = ids
             else:
-                rest.append(u)
-        got = self._words(known.missing({w for _, w, _ in cut}))
-        marks = self._plain(list({x for _, _, x in cut}))
-        young = known.young
-        young.update(got)
-        out = {u: young[w] + marks[x] for u, w, x in cut}
-        for w in got:
-            if len(w) > 2 * MEMO_UNIT:
+                out[i] = young[w]
+        for w in new:
+            if len(w) > MEMO_UNIT:
                 del young[w]
-        known.turn()
-        if rest:
-            # after a line break a unit goes on as a text of its own, unless white space follows
-            alone = [u for u in rest if u[0] == "\n" and len(u) > 1 and u[1] not in UNICODE_SPACE]
-            bare = self._plain([u[1:] for u in alone])
-            out.update((u, self.line_break + bare[u[1:]]) for u in alone)
-            other = [u for u in rest if u not in out]
-            whole = self._plain([u if u[0] == "\n" else " " + u for u in other])
-            out.update((u, whole[u if u[0] == "\n" else " " + u]) for u in other)
+        memo.turn()
         return out
 
     def _even(self, texts: list[str]) -> list[bytes]:
         """Ids of even texts: each distinct unit is looked up once for all of them."""
-        memo = self.units
-        units, codes, ends = coded_units(texts)
-        new = memo.missing(units)
-        young = memo.young
-        young.update(self._learn(new))
-        out = put_together([young[u] for u in units], codes, ends, self.dtype)
-        for u in new:
-            if len(u) > MEMO_UNIT:
-                del young[u]
-        memo.turn()
+        units, codes, ends = coded_units(["\n" + t for t in texts])
         cut = len(self.line_break)
-        return [ids[cut:] for ids in out]
+        return [ids[cut:] for ids in put_together(self._values(units), codes, ends, self.dtype)]
+
+    def _odd(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts with other white space, cut by a pattern."""
+        cut = [_UNITS.findall(t) for t in texts]
+        known, plain = [], []
+        for u in {u for us in cut for u in us}:
+            goes_on = len(u) > 1 and u[0] in " \n" and u[1] not in UNICODE_SPACE
+            (known if goes_on else plain).append(u)
+        values = self._plain(plain)
+        values.update(zip(known, self._values([u[1:] if u[0] == " " else u for u in known])))
+        return [b"".join([values[u] for u in us]) for us in cut]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
         out: list[bytes] = [b""] * len(texts)
-        even: list[int] = []
-        odd: list[tuple[int, list[str]]] = []
-        for i, t in enumerate(texts):
-            if t and _uneven(t):
-                odd.append((i, _UNITS.findall(t)))
-            elif t:
-                even.append(i)
-        if even:
-            for i, ids in zip(even, self._even([texts[i] for i in even])):
-                out[i] = ids
-        if odd:
-            spaced = {u for _, us in odd for u in us}
-            keys = {u: u[1:] if u[0] == " " and len(u) > 1 and u[1] not in UNICODE_SPACE else u for u in spaced}
-            plain = [u for u, k in keys.items() if k is u and (u[0] != "\n" or len(u) == 1)]
-            learned = self._learn(list({k for u, k in keys.items() if k is not u or (u[0] == "\n" and len(u) > 1)}))
-            values = {u: learned[k] for u, k in keys.items() if k in learned and (k is not u or u[0] == "\n")}
-            values.update(self._plain(plain))
-            for i, us in odd:
-                out[i] = b"".join([values[u] for u in us])
+        for work in (self._even, self._odd):
+            at = [i for i, t in enumerate(texts) if t and uneven(t) == (work == self._odd)]
+            if at:
+                for i, ids in zip(at, work([texts[i] for i in at])):
+                    out[i] = ids
         return out
 
 
@@ -183,10 +184,10 @@ def coded_units(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct units of texts cut at single spaces and before line breaks, the
     unit of each place as an index into them, and each text's end among the places.
 
-    A line break goes before each text; its first unit begins with it, and so
-    does every unit that no space stands before.
+    Units are without the space before them; one that has none begins with a
+    line break or a text.
     """
-    whole = pa.array([("\n" + t.replace("\n", " \n")) for t in texts], pa.large_string())
+    whole = pa.array([t[:1] + t[1:].replace("\n", " \n") for t in texts], pa.large_string())
     cut = pc.split_pattern(whole, " ")
     coded = cut.flatten().dictionary_encode()
     return coded.dictionary.to_pylist(), coded.indices.to_numpy(), cut.offsets.to_numpy()[1:]
@@ -215,7 +216,7 @@ def encoder(path: str) -> UnitEncoder:
     return cache[key]
 
 
-def in_slices(values: list, limit: int = 8_000_000):
+def in_slices(values: list, limit: int = 4_000_000):
     """Index ranges of ``values`` (texts) of about ``limit`` characters each."""
     lo, size = 0, 0
     for i, v in enumerate(values):
