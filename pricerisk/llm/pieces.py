@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricerisk.llm.common import pick, worker_cache, written
+from pricerisk.llm.tokens import WORD_MARKS, Memo, coded_units, put_together, uneven
 
 CHUNK = 32_768
 BLOCK = 256
@@ -72,7 +73,7 @@ CHUNKS = T.StructType(
 class Vocabulary:
     """Pieces with spaces for U+2581, their scores, and exact segmentation of short strings."""
 
-    def __init__(self, path: str, memo_size: int = 700_000):
+    def __init__(self, path: str, memo_size: int = 500_000):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -107,6 +108,10 @@ class Vocabulary:
         self.units = re.compile(f" *[^ {mark}]+| +|[{mark}]" if alone else " *[^ ]+| +")
         self.memo: dict[str, bytes] = {}
         self.memo_size = memo_size
+        self.breaks_alone = "\n" in alone
+        #: Neighbouring characters of pieces; no piece crosses a place between two others.
+        self.joint = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self.words = Memo(memo_size // 2)
 
     def forward(self, text: str, start: int, stop: int):
         """Best scores from ``start`` to each place, and the last piece's start: pieces begin before ``stop``.
@@ -154,8 +159,7 @@ class Vocabulary:
         """The ids of one unit."""
         ids = self.memo.get(text)
         if ids is None:
-            _, back = self.forward(text, 0, len(text))
-            ids = self.trace(text, back, 0, len(text))
+            ids = self.search(text)
             if len(text) <= 16:
                 if len(self.memo) >= self.memo_size:
                     self.memo.clear()
@@ -167,6 +171,45 @@ class Vocabulary:
         memo, unit = self.memo, self.unit
         return b"".join([memo.get(u) or unit(u) for u in self.units.findall(text)])
 
+    def _key(self, key: str) -> tuple[str, str]:
+        """A word with its space, and marks behind it that no piece joins to it; or the whole key and nothing."""
+        if key[:1] == "\n":
+            return key, ""
+        m = WORD_MARKS.fullmatch(key)
+        if m and m[2] and m[1][-1] + m[2][0] not in self.joint:
+            return " " + m[1], m[2]
+        return " " + key, ""
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts with a space before each; distinct words are looked up once for all of them."""
+        out = [b""] * len(texts)
+        even = []
+        for i, t in enumerate(texts):
+            if t and (uneven(t) or not self.breaks_alone):
+                out[i] = self.whole(" " + t)
+            elif t:
+                even.append(i)
+        if even:
+            keys, codes, ends = coded_units([texts[i] for i in even])
+            cut = [self._key(k) for k in keys]
+            memo = self.words
+            new = memo.missing(dict.fromkeys(w for w, _ in cut))
+            young, search = memo.young, self.search
+            for w in new:
+                young[w] = b"".join(map(search, self.units.findall(w)))
+            values = [young[w] + self.unit(x) if x else young[w] for w, x in cut]
+            for i, ids in zip(even, put_together(values, codes, ends, np.dtype("<u4"))):
+                out[i] = ids
+            for w in new:
+                if len(w) > 16:
+                    del young[w]
+            memo.turn()
+        return out
+
+    def search(self, text: str) -> bytes:
+        _, back = self.forward(text, 0, len(text))
+        return self.trace(text, back, 0, len(text))
+
     def score(self, ids: bytes) -> float:
         return float(self.scores[np.frombuffer(ids, dtype="<u4")].sum())
 
@@ -256,9 +299,9 @@ def _short(docs: DataFrame, path: str, chunk: int) -> DataFrame:
         v = vocabulary(path)
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = v.whole(" " + text) if text else b""
-                rows.append((doc, 1 if text else 0, v.score(ids), ids, _crc(text or "")))
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for doc, text, ids in zip(batch.column(0).to_pylist(), texts, v.many(texts)):
+                rows.append((doc, 1 if text else 0, v.score(ids), ids, _crc(text)))
             types = (pa.int64(), pa.int32(), pa.float64(), pa.binary(), pa.int64())
             columns = list(zip(*rows)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], names=ENCODED.fieldNames())

@@ -37,6 +37,17 @@ def test_words_apart_equal_the_whole(vocab):
         assert vocab.decode(ids) == t
 
 
+def test_many_texts_at_once(vocab):
+    rnd = random.Random(7)
+    words = ["the", "tion,", "ing.", "a", "don't", "0x", "über!", "(ok)", "中", "b;c", "xq-", "\nnew", "x" * 30]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 12))) for _ in range(300)]
+    texts += ["", "a\nb", "\n", " a", "a  b", "a\tb", "a\n", "a \nb", *(odd_text(rnd, 30) for _ in range(200))]
+    for t, ids in zip(texts, vocab.many(texts)):
+        assert vocab.decode(b"" if not t else ids) == t
+        if t:
+            assert vocab.score(ids) == pytest.approx(sequential(vocab, t)[0], abs=1e-6)
+
+
 def test_same_as_the_library_on_a_unigram_model(vocab):
     """The library's own Viterbi over the same pieces and scores, as far as ties and unknown characters allow."""
     import sentencepiece
