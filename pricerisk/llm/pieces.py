@@ -184,8 +184,8 @@ class Vocabulary:
         """The ids of texts with a space before each; distinct words are looked up once for all of them."""
         out = [b""] * len(texts)
         even = []
-        for i, t in enumerate(texts):
-            if t and (uneven(t) or not self.breaks_alone):
+        for i, (t, odd) in enumerate(zip(texts, uneven(texts))):
+            if t and (odd or not self.breaks_alone):
                 out[i] = self.whole(" " + t)
             elif t:
                 even.append(i)

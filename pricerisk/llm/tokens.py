@@ -36,9 +36,11 @@ WORD_MARKS = re.compile(f"([{_LETTERS}]+)([!-/:-@\\[-`{{-~]*)")
 MEMO_UNIT = 16
 
 
-def uneven(text: str) -> bool:
-    """White space other than single spaces and line breaks between words."""
-    return text[0] in " \n" or text[-1] in " \n" or any(x in text for x in _RARE)
+def uneven(texts: list[str]) -> list[bool]:
+    """For each text: has it white space other than single spaces and line breaks between words?"""
+    together = "|".join(texts)
+    met = [x for x in _RARE if x in together]
+    return [bool(t) and (t[0] in " \n" or t[-1] in " \n" or any(x in t for x in met)) for t in texts]
 
 
 class Memo:
@@ -69,7 +71,7 @@ class Memo:
 class UnitEncoder:
     """Ids of texts as raw little-endian arrays of ``dtype``."""
 
-    def __init__(self, path: str, max_units: int = 500_000):
+    def __init__(self, path: str, max_units: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -172,8 +174,9 @@ class UnitEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
         out: list[bytes] = [b""] * len(texts)
+        odd = uneven(texts)
         for work in (self._even, self._odd):
-            at = [i for i, t in enumerate(texts) if t and uneven(t) == (work == self._odd)]
+            at = [i for i, t in enumerate(texts) if t and odd[i] == (work == self._odd)]
             if at:
                 for i, ids in zip(at, work([texts[i] for i in at])):
                     out[i] = ids
@@ -190,7 +193,7 @@ def coded_units(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     whole = pa.array([t[:1] + t[1:].replace("\n", " \n") for t in texts], pa.large_string())
     cut = pc.split_pattern(whole, " ")
     coded = cut.flatten().dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), cut.offsets.to_numpy()[1:]
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), cut.offsets.to_numpy()[1:]
 
 
 def put_together(values: list[bytes], codes: np.ndarray, ends: np.ndarray, dtype: np.dtype) -> list[bytes]:
@@ -216,7 +219,7 @@ def encoder(path: str) -> UnitEncoder:
     return cache[key]
 
 
-def in_slices(values: list, limit: int = 4_000_000):
+def in_slices(values: list, limit: int = 2_500_000):
     """Index ranges of ``values`` (texts) of about ``limit`` characters each."""
     lo, size = 0, 0
     for i, v in enumerate(values):
