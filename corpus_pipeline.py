@@ -26,13 +26,13 @@ MIN_LANGUAGE_SCORE = 0.5
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rule and every certified cutoff of their language.
+    """Documents that pass the base rule and every cutoff of their language, certified jointly.
 
     Rows with equal doc_id and text stay if any of them does.
     """
     prepare(spark)
     d = with_text_key(pick(docs, *COLUMNS))
-    verdicts = judge(d, read_table(spark, sf_dir, "labels"), more=TEXT_KEY)
+    verdicts = judge(d, read_table(spark, sf_dir, "labels"), more=TEXT_KEY, joint=True)
     return keep_rows(d, verdicts.where("kept")).select(*COLUMNS)
 
 

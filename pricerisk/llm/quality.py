@@ -14,7 +14,10 @@ cutoff per stratum, chosen on labelled documents:
   good ones counts; a rule that rejects no more bad than good stays off.
 
 With probability ``1 - delta`` no stratum loses more than ``alpha`` of its
-good documents to the rules. The grid of cutoffs is fixed beforehand, so every
+good documents to the rules. This certification, the one of op1's registered SQL,
+needs hundreds of good labels in a stratum. The joint one (``joint``, used by the
+pipeline) tests whole sets of cutoffs against ``alpha`` instead and keeps the
+same promise with about a hundred; see ``select_joint_cutoffs``. The grid of cutoffs is fixed beforehand, so every
 labelled document serves as holdout. All labelled documents that pass the base
 rule count, at any size.
 
@@ -253,6 +256,94 @@ def select_cutoffs(
     return best.select("stratum", "rule", "cutoff", "n_good", "p_value")
 
 
+def select_joint_cutoffs(
+    counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, grid: dict | None = None
+) -> DataFrame:
+    """stratum, rule, cutoff, n_good, p_value: cutoffs certified together, one set for a stratum.
+
+    A path tightens a set of rules place by place from the mildest cutoffs on,
+    so the documents that its steps reject are nested. Each step is tested as a
+    whole: not more than ``alpha`` of the good documents rejected by any of its
+    rules. Bad labels alone say which rules have a path and which of their
+    places are steps, so the paths are fixed before a good label is looked at.
+    The level of a stratum is ``delta`` divided by the strata whose good labels
+    could certify anything; half of it goes to the path of all its rules, half
+    to the paths of its smaller sets. Of all certified steps the one that
+    rejects most bad documents beyond the good ones counts.
+    """
+    grid = grid or GRID
+    rules, n_rules = list(grid), len(grid)
+    truth = (
+        pick(labels, "doc_id", "quality")
+        .where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
+        .groupBy(F.col("doc_id").alias("_label_id"))
+        .agg(F.min("quality").alias("_quality"))
+    )
+    known = counted.where(~F.col("base_failed")).join(truth, F.col("doc_id") == F.col("_label_id"))
+
+    # the place of the mildest cutoff that the signal exceeds, null if none
+    def first_place(rule: str) -> Column:
+        exceeded = sum((F.col(rule) > c).cast("int") for c in grid[rule])
+        return F.when(exceeded > 0, F.lit(len(grid[rule])) - exceeded)
+
+    places = [f"_p{i}" for i in range(n_rules)]
+    cells = (
+        known.select("stratum", "_quality", *[first_place(r).alias(p) for r, p in zip(rules, places)])
+        .groupBy("stratum", *places)
+        .agg(
+            F.sum((F.col("_quality") > 0).cast("long")).alias("good"),
+            F.sum((F.col("_quality") <= 0).cast("long")).alias("bad"),
+        )
+    )
+    cells = written(cells, "cells")  # as many as the grid has, for a stratum
+    strata = cells.groupBy(F.col("stratum").alias("_s")).agg(
+        F.sum("good").alias("n_good"),
+        F.sum("bad").alias("n_bad"),
+        *[F.collect_set(F.when(F.col("bad") > 0, F.col(p))).alias(f"_steps{i}") for i, p in enumerate(places)],
+    )
+    useful = sum(F.when(F.size(f"_steps{i}") > 0, 1 << i).otherwise(0) for i in range(n_rules))
+    strata = strata.withColumn("_useful", useful).where(F.col("_useful") > 0)
+    strata = strata.where(F.pow(F.lit(1 - alpha), F.col("n_good")) <= delta)
+    n_strata = strata.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("n_strata"))
+    n_paths = F.pow(F.lit(2.0), F.bit_count("_useful")) - 1
+
+    # the step of a path at which a document is rejected: by place, and by rule within a place
+    def rejected_at(i: int) -> Column:
+        return F.array_min(F.filter(f"_steps{i}", lambda x: x >= F.col(places[i]))) * n_rules + i
+
+    times = [rejected_at(i) for i in range(n_rules)]
+    paths = []
+    for path in range(1, 1 << n_rules):
+        own = [t for i, t in enumerate(times) if path >> i & 1]
+        paths.append(F.struct(F.lit(path).alias("path"), (F.least(*own) if len(own) > 1 else own[0]).alias("step")))
+    tallies = (
+        cells.join(strata, F.col("stratum") == F.col("_s"))
+        .select("stratum", "n_good", "n_bad", "_useful", "good", "bad", F.explode(F.array(*paths)).alias("p"))
+        .where((F.col("p.path").bitwiseAND(F.col("_useful")) == F.col("p.path")) & F.col("p.step").isNotNull())
+        .groupBy("stratum", "n_good", "n_bad", "_useful", "p.path", "p.step")
+        .agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    )
+    upto = Window.partitionBy("stratum", "path").orderBy("step")
+    tried = tallies.withColumn("k_good", F.sum("good").over(upto)).withColumn("k_bad", F.sum("bad").over(upto))
+    share = F.when(n_paths == 1, 1.0).when(F.col("path") == F.col("_useful"), 0.5).otherwise(0.5 / (n_paths - 1))
+    tried = tried.withColumn("p_value", binomial_tail(F.col("k_good"), F.col("n_good"), alpha))
+    # along a path k_good, and with it the p-value, never falls: no step behind a failure passes
+    tried = tried.crossJoin(F.broadcast(n_strata)).where(F.col("p_value") <= delta * share / F.col("n_strata"))
+    gain = F.col("k_bad") / F.greatest(F.col("n_bad"), F.lit(1)) - F.col("k_good") / F.col("n_good")
+    order = Window.partitionBy("stratum").orderBy(F.desc("gain"), F.bit_count("path"), "step", "path")
+    best = tried.withColumn("gain", gain).where("gain > 0").withColumn("_r", F.row_number().over(order)).where("_r = 1")
+    best = best.join(strata.select("_s", *[f"_steps{i}" for i in range(n_rules)]), F.col("stratum") == F.col("_s"))
+
+    def cutoff_of(i: int) -> Column:
+        reached = F.array_max(F.filter(f"_steps{i}", lambda x: x * n_rules + i <= F.col("step")))
+        cutoffs = F.array(*[F.lit(float(c)) for c in grid[rules[i]]])
+        return F.when(F.col("path").bitwiseAND(F.lit(1 << i)) > 0, F.get(cutoffs, reached))
+
+    chosen = [F.struct(F.lit(rule).alias("rule"), cutoff_of(i).alias("cutoff")) for i, rule in enumerate(rules)]
+    out = best.select("stratum", "n_good", "p_value", F.explode(F.array(*chosen)).alias("c")).where("c.cutoff is not null")
+    return out.select("stratum", "c.rule", "c.cutoff", "n_good", "p_value")
+
+
 def judge(
     docs: DataFrame,
     labels: DataFrame,
@@ -261,17 +352,19 @@ def judge(
     delta: float = DELTA,
     grid: dict | None = None,
     more: tuple[str, ...] = (),
+    joint: bool = False,
 ) -> DataFrame:
     """Base counts, stratum, ``more`` columns, failed_rules and kept for every row of ``docs``.
 
-    The narrow counts are written once; calibration and the verdict read them
+    ``joint``: cutoffs of a stratum are certified together. The narrow counts are written once; calibration and the verdict read them
     and never the texts again.
     """
     grid = grid or GRID
     counted = base_counts(docs, stratum, *more).withColumnRenamed(stratum, "stratum")
     counted = counted.withColumn("stratum", F.coalesce(F.col("stratum").cast("string"), F.lit("")))
     counted = written(counted, "quality")
-    chosen = written(select_cutoffs(counted, labels, alpha, delta, grid), "cutoffs")
+    select = select_joint_cutoffs if joint else select_cutoffs
+    chosen = written(select(counted, labels, alpha, delta, grid), "cutoffs")
     by_stratum = chosen.groupBy(F.col("stratum").alias("_s")).agg(
         F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("_cutoffs")
     )

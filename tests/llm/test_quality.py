@@ -70,3 +70,30 @@ def test_odd_rows_and_empty_tables(spark):
         assert len(rows) == len(ODD_TEXTS)
         assert all(r.kept == (not r.base_failed) for r in rows)
     assert judge(documents(spark, []), none).collect() == []
+
+
+def test_joint_cutoffs_need_few_labels(spark):
+    rnd = random.Random(6)
+    word = lambda: rnd.choice("alpha beta gamma delta".split()) + str(rnd.random())
+    rows, labels = [], []
+    for k in range(1000):
+        lang = "en" if k < 700 else "es" if k < 860 else "xx"
+        bad = k % 8 == 0 or (lang == "xx" and k % 2)
+        words = [word() + ("###" if bad else "") for _ in range(55)]
+        # capitals are common in good documents of one language, and in a bad one
+        words = [w.upper() for w in words] if lang == "es" and (k % 3 == 0 or k == 704) else words
+        rows.append((k, " ".join(words), lang))
+        labels.append((k, 0 if bad else 1, 0))
+    docs, truth = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    for joint in (False, True):
+        kept = {r.doc_id: r.kept for r in judge(docs, truth, joint=joint).collect()}
+        for lo, hi in ((0, 700), (700, 860), (860, 1000)):
+            good = [k for k in range(lo, hi) if labels[k][1]]
+            assert sum(not kept[k] for k in good) <= 0.05 * len(good)
+        assert not any(kept[k] for k in range(0, 700, 8))
+        # 140 good labels, and 61 that are too few for three strata
+        assert [kept[k] for k in range(704, 860, 8)] == [not joint] * 20
+        assert all(kept[k] for k in range(860, 1000))
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    odd = clashing(documents(spark, [(*r, None) for r in ODD_TEXTS]))
+    assert all(r.kept == (not r.base_failed) for r in judge(odd, none, joint=True).collect())
