@@ -165,44 +165,98 @@ def load_history(
     return out
 
 
-def records_to_prices(df: DataFrame, payload_col: str = "payload", record_schema: T.StructType = PRICE_RECORD) -> DataFrame:
+def _or_raise(arr: Column, raw: Column) -> Column:
+    """``arr``, or an error with the beginning of ``raw`` where that does not parse."""
+    said = F.concat(F.lit("price payload does not parse: "), F.substring(raw, 1, 200))
+    return F.coalesce(arr, F.when(raw.isNotNull(), F.raise_error(said)))
+
+
+def _typed_records(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("date", F.to_timestamp("date")) if "date" in rows.columns else rows
+
+
+def records_to_prices(
+    df: DataFrame, payload_col: str = "payload", record_schema: T.StructType = PRICE_RECORD, *, strict: bool = True
+) -> DataFrame:
     """Explode a JSON array-of-records payload into typed rows.
 
     The payload may be a JSON string or an already parsed ``array<struct>``.
     If the records carry a ``date`` field it is parsed to TIMESTAMP (ISO-8601).
     Each payload row is exploded where it lies; no payload is gathered.
+    A text that does not parse is an error. With ``strict=False`` it gives no
+    rows; ``rejected_payloads`` has it, and null payloads.
     """
-    dt = df.schema[payload_col].dataType
-    arr_type = T.ArrayType(record_schema)
-    arr = F.from_json(F.col(payload_col), arr_type) if isinstance(dt, T.StringType) else F.col(payload_col)
-    rows = df.select(F.inline(arr))
-    if "date" in rows.columns:
-        rows = rows.withColumn("date", F.to_timestamp("date"))
-    return rows
+    raw = F.col(payload_col)
+    if not isinstance(df.schema[payload_col].dataType, T.StringType):
+        return _typed_records(df.select(F.inline(raw)))
+    arr = F.from_json(raw, T.ArrayType(record_schema))
+    return _typed_records(df.select(F.inline(_or_raise(arr, raw) if strict else arr)))
+
+
+def rejected_payloads(df: DataFrame, payload_col: str = "payload", record_schema: T.StructType = PRICE_RECORD) -> DataFrame:
+    """(raw, reason) of every payload that gives ``records_to_prices`` no records to read."""
+    raw = F.col(payload_col)
+    text = isinstance(df.schema[payload_col].dataType, T.StringType)
+    arr = F.from_json(raw, T.ArrayType(record_schema)) if text else raw
+    reason = F.when(raw.isNull(), "no payload").when(arr.isNull(), "payload does not parse")
+    return df.select(raw.cast("string").alias("raw"), reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
+def _upload_requests(df: DataFrame, body_col: str, record_schema: T.StructType) -> DataFrame:
+    """raw, payload, dt, records and the reason for which a request is rejected (null: it is not)."""
+    body = F.col(body_col).cast("string")
+    req = df.select(
+        body.alias("raw"),
+        F.get_json_object(body, "$.data").alias("payload"),
+        F.get_json_object(body, "$.date").alias("_date"),
+    )
+    req = req.withColumn("dt", F.try_to_timestamp("_date").cast("date"))
+    req = req.withColumn("records", F.from_json("payload", T.ArrayType(record_schema)))
+    missing = F.col("payload").isNull() | F.coalesce(F.col("_date") == "", F.lit(True))
+    reason = (
+        F.when(missing & F.from_json("raw", "map<string,string>").isNull(), "body does not parse")
+        .when(missing, "missing data or date")
+        .when(F.col("records").isNull(), "data does not parse")
+        .when(F.col("dt").isNull(), "date does not parse")
+    )
+    return req.withColumn("reason", reason)
+
+
+#: A request without these fields is answered as such; it holds nothing that could be lost.
+_ANSWERED = "missing data or date"
 
 
 def upload_requests_to_prices(
-    df: DataFrame, body_col: str = "body", record_schema: T.StructType = PRICE_RECORD
+    df: DataFrame, body_col: str = "body", record_schema: T.StructType = PRICE_RECORD, *, strict: bool = True
 ) -> DataFrame:
     """Upload request bodies ``{"data": ..., "date": ...}`` -> typed price rows plus ``dt``.
 
     ``data`` may be the JSON array of records itself or that array serialised
     once more as a JSON string; ``get_json_object`` yields the array text in
     both cases. ``date`` is the run date that names the landing folder (``dt``).
-    Requests without data or date yield no rows.
+    Requests without data or date yield no rows. A body, data or date that
+    does not parse is an error; with ``strict=False`` it yields no rows either.
+    ``rejected_requests`` has all of these.
     """
-    body = F.col(body_col).cast("string")
-    req = df.select(
-        F.get_json_object(body, "$.data").alias("payload"),
-        F.to_date(F.get_json_object(body, "$.date")).alias("dt"),
-    ).filter(F.col("payload").isNotNull() & F.col("dt").isNotNull())
-    arr = F.from_json(F.col("payload"), T.ArrayType(record_schema))
-    rows = req.select("dt", F.inline(arr))
-    if "date" in rows.columns:
-        rows = rows.withColumn("date", F.to_timestamp("date"))
+    req = _upload_requests(df, body_col, record_schema)
+    records = F.when(F.col("reason").isNull(), F.col("records"))
+    if strict:
+        said = F.concat(F.lit("upload request: "), F.col("reason"), F.lit(": "), F.substring("raw", 1, 200))
+        records = F.when(F.col("reason") != _ANSWERED, F.raise_error(said)).otherwise(records)
+    rows = _typed_records(req.select("dt", F.inline(records)))
     return rows.select(*[c for c in rows.columns if c != "dt"], "dt")
 
 
+def rejected_requests(df: DataFrame, body_col: str = "body", record_schema: T.StructType = PRICE_RECORD) -> DataFrame:
+    """(raw, reason) of every upload request that yields no rows for what it lacks or cannot be read."""
+    return _upload_requests(df, body_col, record_schema).where(F.col("reason").isNotNull()).select("raw", "reason")
+
+
+def reject_counts(rejected: DataFrame) -> DataFrame:
+    """reason, n of a reject output."""
+    return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 _TUPLE_NAME = re.compile(r"^\(\s*'([^']*)'\s*,.*\)$")
 
 

@@ -373,3 +373,38 @@ def test_outputs_follow_the_declared_schemas(spark):
     a = al.batch_alerts(_ticks(spark, [("A", p, 0) for p in [10.0] * 20 + [20.0]]))
     assert set(ALERT.fieldNames()) <= set(a.columns)
     assert {c: str(t_) for c, t_ in a.dtypes if c in ALERT.fieldNames()} == {f.name: f.dataType.simpleString() for f in ALERT}
+
+
+def test_unparsed_payloads_are_not_lost(spark):
+    good = '[{"symbol":"A","close":1.0},{"symbol":"B","close":2.0}]'
+    cut = good[:-20]
+    df = spark.createDataFrame([(good,), (cut,), (None,), ("",), ("[]",)], "payload string")
+    with pytest.raises(Exception, match="does not parse"):
+        src.records_to_prices(df).collect()
+    assert [r.symbol for r in src.records_to_prices(df, strict=False).collect()] == ["A", "B"]
+    rejected = src.rejected_payloads(df)
+    want = [(None, "no payload"), ("", "payload does not parse"), (cut, "payload does not parse")]
+    assert sorted(((r.raw, r.reason) for r in rejected.collect()), key=str) == sorted(want, key=str)
+    assert {r.reason: r.n for r in src.reject_counts(rejected).collect()} == {"no payload": 1, "payload does not parse": 2}
+
+
+def test_unread_upload_requests_are_not_lost(spark):
+    fine = '{"data":[{"symbol":"A","close":1.0}],"date":"2024-01-03"}'
+    bad = {
+        fine[:-5]: "body does not parse",
+        '{"date":"2024-01-06","data":[{"symbol":"A"': "body does not parse",
+        '{"data":"[{\\"symbol\\":","date":"2024-01-03"}': "data does not parse",
+        '{"data":[{"symbol":"A"}],"date":"soon"}': "date does not parse",
+        '{"date":"2024-01-06"}': "missing data or date",
+        '{"data":[{"symbol":"A"}],"date":""}': "missing data or date",
+    }
+    df = spark.createDataFrame([(x,) for x in [fine, *bad]], "body string")
+    assert {r.raw: r.reason for r in src.rejected_requests(df).collect()} == bad
+    assert [r.symbol for r in src.upload_requests_to_prices(df, strict=False).collect()] == ["A"]
+    for x, reason in bad.items():
+        one = src.upload_requests_to_prices(spark.createDataFrame([(x,)], "body string"))
+        if reason == "missing data or date":
+            assert one.collect() == []
+        else:
+            with pytest.raises(Exception, match=reason):
+                one.collect()
