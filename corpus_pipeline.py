@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricerisk.llm.common import TEXT_KEY, keep_rows, pick, prepare, read_table, with_text_key, written
-from pricerisk.llm.langid import UNDETERMINED, identify
+from pricerisk.llm.langid import UNDETERMINED, learn, predict
 from pricerisk.llm.lines import dedup_lines
 from pricerisk.llm.packing import pack_documents
 from pricerisk.llm.quality import judge
@@ -37,9 +37,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a recognised language: with a letter, and with a score of at least one half."""
+    """Documents in a recognised language: with a letter, and with a score of at least one half.
+
+    Where no row has a language to learn from, none can be told from another,
+    and all documents with a letter stay.
+    """
     prepare(spark)
-    found = identify(pick(docs, *COLUMNS), more=COLUMNS[1:])
+    d = pick(docs, *COLUMNS)
+    model, held = learn(d)
+    if not model.langs:
+        return d.where(F.col("text").rlike(r"\p{L}"))
+    found = predict(d, model, held, COLUMNS[1:])
     known = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
     return found.where(known).select(*COLUMNS)
 

@@ -218,9 +218,14 @@ def predict(docs: DataFrame, model: Model, held_out: Column, more: tuple[str, ..
     return d.mapInArrow(run, schema)
 
 
+def learn(docs: DataFrame, folds: int = 4, held_out_fold: int = 2, **options) -> tuple[Model, Column]:
+    """A model from all folds but one (without any language if no row has one to learn), and the fold held out."""
+    held = in_fold(F.col("doc_id"), folds, held_out_fold)
+    return train(docs.where(F.col("doc_id").isNotNull() & ~held), **options), held
+
+
 def identify(docs: DataFrame, folds: int = 4, held_out_fold: int = 2, more: tuple[str, ...] = (), **options) -> DataFrame:
     """Learns from all folds but one, and predicts every row of ``docs``."""
-    held = in_fold(F.col("doc_id"), folds, held_out_fold)
     d = pick(docs, *dict.fromkeys(("doc_id", "text", "lang", *more)))
-    model = train(d.where(F.col("doc_id").isNotNull() & ~held), **options)
+    model, held = learn(d, folds, held_out_fold, **options)
     return predict(d, model, held, more)

@@ -60,3 +60,16 @@ def test_odd_rows_through_all_stages(spark, tmp_dir):
         else:
             rows.collect()
         assert stage(spark, documents(spark, []), tmp_dir).collect() == []
+
+
+def test_language_stage_without_a_model(spark, tmp_dir):
+    stage = BY_NAME["language ID"]
+    rows = [(k, f"clean words of document {k}", None) for k in range(1, 30)]
+    rows += [(40, "12 !!", None), (41, None, None), (42, "", None), (None, "кириллица", None)]
+    docs = documents(spark, rows)
+    want = sorted(str(r[0]) for r in rows if r[0] not in (40, 41, 42))
+    assert sorted(str(r.doc_id) for r in stage(spark, docs, tmp_dir).collect()) == want
+    # labelled, but in the fold held out
+    held = [r.doc_id for r in docs.where("crc32(cast(doc_id as string)) % 4 = 2 and doc_id < 40").collect()]
+    few = stage(spark, documents(spark, [(k, "clean words", "en") for k in held]), tmp_dir)
+    assert few.columns == list(COLUMNS) and held and sorted(r.doc_id for r in few.collect()) == sorted(held)
