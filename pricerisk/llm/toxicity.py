@@ -2,7 +2,8 @@
 
 Disguised words (leetspeak, letters set apart, letters repeated, marks put in
 between) become a lattice: every character offers the letters it may stand
-for, at a cost, or nothing. A Viterbi search finds the path of least cost
+for, at a cost, or nothing, and a mark a word's end too. A token with marks
+inside is read as a whole and in its parts.  A Viterbi search finds the path of least cost
 under a character language model. The model's counts are 4-grams of the folded
 letters of every document, 27^4 numbers at any size of the corpus. The
 restored text, not the written one, is then scored by a logistic regression
@@ -54,11 +55,24 @@ LEET_COST, MARK_COST, DIGIT_COST, STAR_COST = 0.4, 1.0, 6.0, 3.0
 GAP_COST = 1.0
 BEAM = 400
 
+
+def _combining() -> str:
+    """Signs that belong to the letter before them (vowel signs, accents) and joiners, as a class of characters."""
+    marks = [c for c in (*range(0x300, 0x20000), *range(0xE0100, 0xE01F0)) if unicodedata.category(chr(c))[0] == "M"]
+    ends = [k for k in range(len(marks)) if k == 0 or marks[k] != marks[k - 1] + 1]
+    spans = [(marks[a], marks[b - 1]) for a, b in zip(ends, [*ends[1:], len(marks)])]
+    return "\u200c\u200d" + "".join(chr(a) + "-" + chr(b) for a, b in spans)
+
+
 _SPACED = re.compile(r"(?<!\S)(?:\S(?:[ \t]{1,2}|[-_.])){2,}\S(?![^\s.,;:!?])")
 _PUNCTUATION = ".,;:!?\"'`#%&*|~^=>)]}…“”„»«-_/\\"
 _LEADING = ".,;:?\"'`#%&*~^=>)]}…“”„»«-_/\\["
 _PLAIN = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"(.)\1\1")
+_COMBINING = _combining()
+_SIGN = re.compile(f"[{_COMBINING}]")
+#: Where a token may be cut: at marks that are no letter's disguise, at those that are more often marks, at all.
+_CUTS = [re.compile(rf"(?:[^\w{_COMBINING}{re.escape(but)}]|_)+") for but in ("@$!|+(<{€£¢*", "@$€£¢*", "")]
 
 COUNTS = T.StructType([T.StructField("gram", T.IntegerType(), False), T.StructField("n", T.LongType(), False)])
 SCORED = T.StructType(
@@ -129,7 +143,8 @@ class CharModel:
 def lattice(token: str) -> list[list[tuple[str, float]]]:
     """For each character, or run of one, the letters it may give and the cost of each.
 
-    White space within ``token`` (letters set apart) is nothing or a word's end.
+    White space within ``token`` (letters set apart) and marks are nothing or a
+    word's end.
     """
     out: list[list[tuple[str, float]]] = []
     k = 0
@@ -155,13 +170,19 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
                 if run > 1:
                     choices.append((x * 2, LEET_COST + 0.5))
             choices.append(("", DIGIT_COST if c.isdigit() else MARK_COST))
+            if c == "|":
+                choices.append((" ", GAP_COST))
             out.append(choices)
         elif c == "*":
             choices = [("", MARK_COST)]
             choices += [(x, STAR_COST) for x in LETTERS] if run < 3 else []
             out.append(choices)
+        elif c.isdigit():
+            out.append([("", DIGIT_COST)])
+        elif _SIGN.match(c) or c.isalnum():
+            out.append([("", MARK_COST)])
         else:
-            out.append([("", MARK_COST if not c.isdigit() else DIGIT_COST)])
+            out.append([("", MARK_COST), (" ", GAP_COST)])
     return out
 
 
@@ -187,31 +208,44 @@ def decode(token: str, costs: list[list[float]]) -> str:
 
 
 def restore(token: str, costs: list[list[float]]) -> str:
-    """The word that a token without white space stands for; '' without any letter.
+    """The word that a token without white space stands for; '' without any letter from a to z.
 
     A plain word is itself in lower case, accents and all. A disguised one is
-    the letters decoded, which have no accents, behind a tilde.
+    the letters decoded, which have no accents, behind a tilde; there may be
+    several words, with spaces between.
     """
     core = token.rstrip(_PUNCTUATION).lstrip(_LEADING)
     if _PLAIN.fullmatch(core) and not _RUN.search(core):
         return core.lower()
-    if not any(fold(c) for c in core):
+    if not fold(core):
         return ""
     return "~" + decode(core, costs)
 
 
+def readings(token: str, costs: list[list[float]]) -> set[str]:
+    """All words that a token may stand for: read as a whole, and in its parts between marks."""
+    out = set()
+    for part in {token, *[x for cut in _CUTS for x in cut.split(token)]} if not _PLAIN.fullmatch(token) else (token,):
+        word = restore(part, costs)
+        if word[:1] == "~":
+            out.update(["~" + w for w in word[1:].split()])
+        else:
+            out.add(word)
+    return out
+
+
 def restored_words(text: str, costs: list[list[float]], memo: dict, limit: int = 300_000) -> set[str]:
     """The distinct restored words of a whole text. ``memo`` keeps tokens met before, ``limit`` at most."""
     out = set()
     for token in set(text.split()):
-        word = memo.get(token)
-        if word is None:
-            word = restore(token, costs)
+        words = memo.get(token)
+        if words is None:
+            words = tuple(readings(token, costs))
             if len(token) <= 16:
                 if len(memo) >= limit:
                     memo.clear()
-                memo[token] = word
-        out.add(word)
+                memo[token] = words
+        out.update(words)
     for m in _SPACED.finditer(text):
         out.update(["~" + w for w in decode(re.sub(r"[-_.]", " ", m.group()), costs).split()])
     out -= {"", "~"}

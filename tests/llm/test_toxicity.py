@@ -102,3 +102,15 @@ def test_odd_rows_and_empty(spark):
     assert len(rows) == len(ODD_TEXTS)
     assert judge_toxicity(documents(spark, []), none).collect() == []
     assert character_model(documents(spark, [])).cost.shape == (SIZE,) * 4
+
+
+@pytest.mark.parametrize("token", ["you,idiot", "lazy/stupid", "ok.Moron", "clown-loser", "day|scum", "the—$tupid", "you!m0r0n", "a,b,trash"])
+def test_words_without_a_space(costs, token):
+    want = {"you,idiot": "idiot", "lazy/stupid": "stupid", "ok.Moron": "moron", "clown-loser": "loser", "day|scum": "scum",
+            "the—$tupid": "~stupid", "you!m0r0n": "~moron", "a,b,trash": "trash"}
+    assert want[token] in restored_words(f"so {token}.", costs, {})
+
+
+def test_marks_end_words_in_the_lattice(costs):
+    assert decode("m0ron,1diot", costs) == "moron idiot" and decode("scum|l0ser", costs) == "scum loser"
+    assert decode("i.d.i.o.t", costs) == "idiot"
