@@ -55,6 +55,9 @@ LEET_COST, MARK_COST, DIGIT_COST, STAR_COST = 0.4, 1.0, 6.0, 3.0
 GAP_COST = 1.0
 BEAM = 400
 
+#: A run of stars up to this long may stand for letters, one for each; longer than words are, it is nothing.
+MAX_STARS = 16
+
 
 def _combining() -> str:
     """Signs that belong to the letter before them (vowel signs, accents) and joiners, as a class of characters."""
@@ -69,6 +72,7 @@ _PUNCTUATION = ".,;:!?\"'`#%&*|~^=>)]}…“”„»«-_/\\"
 _LEADING = ".,;:?\"'`#%&*~^=>)]}…“”„»«-_/\\["
 _PLAIN = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"(.)\1\1")
+_DOUBLED = re.compile(r"(.)\1")
 _COMBINING = _combining()
 _SIGN = re.compile(f"[{_COMBINING}]")
 #: Where a token may be cut: at marks that are no letter's disguise, at those that are more often marks, at all.
@@ -144,7 +148,7 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     """For each character, or run of one, the letters it may give and the cost of each.
 
     White space within ``token`` (letters set apart) and marks are nothing or a
-    word's end.
+    word's end. Each star of a run is a letter or nothing.
     """
     out: list[list[tuple[str, float]]] = []
     k = 0
@@ -174,9 +178,10 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
                 choices.append((" ", GAP_COST))
             out.append(choices)
         elif c == "*":
-            choices = [("", MARK_COST)]
-            choices += [(x, STAR_COST) for x in LETTERS] if run < 3 else []
-            out.append(choices)
+            if run > MAX_STARS:
+                out.append([("", MARK_COST)])
+            else:
+                out += [[("", MARK_COST), *[(x, STAR_COST) for x in LETTERS]]] * run
         elif c.isdigit():
             out.append([("", DIGIT_COST)])
         elif _SIGN.match(c) or c.isalnum():
@@ -231,6 +236,8 @@ def readings(token: str, costs: list[list[float]]) -> set[str]:
             out.update(["~" + w for w in word[1:].split()])
         else:
             out.add(word)
+            if _DOUBLED.search(word) and fold(word):  # repeated letters, or so spelled
+                out.update(["~" + w for w in decode(word, costs).split() if w != word])
     return out
 
 

@@ -114,3 +114,10 @@ def test_words_without_a_space(costs, token):
 def test_marks_end_words_in_the_lattice(costs):
     assert decode("m0ron,1diot", costs) == "moron idiot" and decode("scum|l0ser", costs) == "scum loser"
     assert decode("i.d.i.o.t", costs) == "idiot"
+
+
+@pytest.mark.parametrize("token,word", [("stuupid", "stupid"), ("idiiot", "idiot"), ("Mooron!", "moron"), ("cloown,", "clown"),
+                                        ("id**t", "idiot"), ("i***t", "idiot"), ("st**id", "stupid"), ("m*r*n", "moron")])
+def test_doubled_letters_and_stars(costs, token, word):
+    assert "~" + word in restored_words(token, costs, {})
+    assert restored_words("loser the", costs, {}) == {"loser", "the"}
