@@ -3,7 +3,8 @@
 Disguised words (leetspeak, letters set apart, letters repeated, marks put in
 between) become a lattice: every character offers the letters it may stand
 for, at a cost, or nothing, and a mark a word's end too. A token with marks
-inside is read as a whole and in its parts.  A Viterbi search finds the path of least cost
+inside is read as a whole and in its parts. Words of other scripts have no
+lattice; they count without marks, digits and repetitions. A Viterbi search finds the path of least cost
 under a character language model. The model's counts are 4-grams of the folded
 letters of every document, 27^4 numbers at any size of the corpus. The
 restored text, not the written one, is then scored by a logistic regression
@@ -227,6 +228,23 @@ def restore(token: str, costs: list[list[float]]) -> str:
     return "~" + decode(core, costs)
 
 
+def other_words(core: str) -> set[str]:
+    """The words of ``core`` that have letters outside a to z: cut at marks, and joined across them.
+
+    Signs stay with their letters and digits go. A word with repeated letters
+    is there with runs of one letter and of two as well.
+    """
+    out = set()
+    for part in {*_CUTS[-1].split(core), _CUTS[-1].sub("", core)}:
+        word = re.sub(r"\d+", "", part).lower()
+        if any(c.isalpha() and not fold(c) for c in word):
+            if not _RUN.search(word):
+                out.add(word)
+            if _DOUBLED.search(word):
+                out |= {re.sub(r"(.)\1+", r"\1", word), re.sub(r"(.)\1{2,}", r"\1\1", word)}
+    return out
+
+
 def readings(token: str, costs: list[list[float]]) -> set[str]:
     """All words that a token may stand for: read as a whole, and in its parts between marks."""
     out = set()
@@ -238,6 +256,8 @@ def readings(token: str, costs: list[list[float]]) -> set[str]:
             out.add(word)
             if _DOUBLED.search(word) and fold(word):  # repeated letters, or so spelled
                 out.update(["~" + w for w in decode(word, costs).split() if w != word])
+    if not token.isascii():
+        out |= other_words(token)
     return out
 
 

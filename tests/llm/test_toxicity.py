@@ -121,3 +121,21 @@ def test_marks_end_words_in_the_lattice(costs):
 def test_doubled_letters_and_stars(costs, token, word):
     assert "~" + word in restored_words(token, costs, {})
     assert restored_words("loser the", costs, {}) == {"loser", "the"}
+
+
+@pytest.mark.parametrize("token,word", [("ду-рак", "дурак"), ("дурак1", "дурак"), ("дураааак", "дурак"), ("он,Дурак!", "дурак"),
+                                        ("дурраак", "дурак"), ("ηλί.θιε", "ηλίθιε"), ("मूर्ख", "मूर्ख"), ("मूर्ख।तुम", "मूर्ख"),
+                                        ("โง่", "โง่"), ("أحمق2", "أحمق"), ("笨蛋，走", "笨蛋"), ("idiot,дурак", "дурак")])
+def test_words_of_other_scripts(costs, token, word):
+    assert word in restored_words(f"so {token} so", costs, {})
+    assert "so" in restored_words(f"so {token} so", costs, {})
+
+
+def test_other_scripts_are_learned(spark):
+    rnd = random.Random(3)
+    plain = "он она дом лес река день ночь как".split()
+    rows = [(k, " ".join([*(rnd.choice(plain) for _ in range(20)), *(["ду-рак!"] if k % 2 else [])])) for k in range(200)]
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(150)], "doc_id long, quality int, toxic int")
+    rows += [(300, "как он, дурак1"), (301, "как он, лес1")]
+    got = {r.doc_id: r.predicted for r in judge_toxicity(documents(spark, rows), labels).collect()}
+    assert all(got[k] == k % 2 for k in range(200)) and got[300] == 1 and got[301] == 0
