@@ -181,8 +181,14 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, **options) -> Model:
     for r in sample:
         index = np.frombuffer(r["index"], dtype="<i4").astype(np.int64)
         rows.append((index, weighted(index, np.frombuffer(r["tf"], dtype="<i4"), idf), place[r["lang"]]))
-    apart = rows[::5] if len(rows) >= 50 else rows
-    learned = [x for k, x in enumerate(rows) if k % 5] if len(rows) >= 50 else rows
+    apart = learned = rows
+    if len(rows) >= 50:
+        # every fifth row of each language, so that four of its first rows at least are learned from
+        seen = dict.fromkeys(range(len(langs)), 0)
+        apart, learned = [], []
+        for row in rows:
+            seen[row[2]] += 1
+            (learned if seen[row[2]] % 5 else apart).append(row)
     weights = fit(learned, 1 << BITS, len(langs), **({"alpha": 0.5, "l1": 0.02, "l2": 0.02} | options))
     logits = np.array([logits_of(weights, i, x) for i, x, _ in apart])
     return Model(langs, idf, weights, temperature(logits, np.array([y for _, _, y in apart])))

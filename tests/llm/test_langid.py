@@ -77,3 +77,18 @@ def test_nothing_to_learn(spark):
     assert identify(documents(spark, [])).collect() == []
     rows = identify(documents(spark, [(1, "some words", None)])).collect()
     assert [(r.lang_pred, r.score) for r in rows] == [("und", 0.0)]
+
+
+def test_every_language_is_learned(spark):
+    rows = [(k, " ".join(["the of and"] * 5 + [str(k)]), "en") for k in range(200)]
+    rows += [(1000 + k, "ja nein wohl doch", f"l{k}") for k in range(12)]
+    seen = []
+    from pricerisk.llm import langid
+
+    was = langid.fit
+    try:
+        langid.fit = lambda learned, *a, **o: seen.extend(y for _, _, y in learned) or was(learned, *a, **o)
+        model = langid.train(documents(spark, rows))
+    finally:
+        langid.fit = was
+    assert len(model.langs) == 13 and set(seen) == set(range(13)) and seen.count(0) == 160
