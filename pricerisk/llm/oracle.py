@@ -122,4 +122,85 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 ) WHERE rank <= 20
 """
 
-ORACLE: dict[str, str] = {"op1_quality": QUALITY, "op3_topk": TOPK, "op4_lines": LINES}
+RANKED = """
+WITH items AS (
+  SELECT item_id, row_number() OVER (ORDER BY item_id, text) AS item,
+    list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+')) AS terms
+  FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)
+), wanted AS (
+  SELECT item, item_id, unnest(terms) AS term FROM items
+), words AS (
+  SELECT row_number() OVER () AS doc, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS terms
+  FROM documents
+), sizes AS (
+  SELECT doc, doc_id, len(terms) AS n FROM words WHERE len(terms) > 0
+), corpus AS (
+  SELECT count(*) AS n_docs, sum(n)::BIGINT AS l FROM sizes
+), norms AS (
+  SELECT doc, doc_id, 50 + (50 * n * n_docs) // l AS m FROM sizes, corpus
+), occurrences AS (
+  SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM words)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY doc, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM occurrences, corpus GROUP BY term
+), scores AS (
+  SELECT item, item_id, doc, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score, any_value(doc_id) AS doc_id
+  FROM wanted JOIN occurrences USING (term) JOIN weights USING (term) JOIN norms USING (doc)
+  GROUP BY item, item_id, doc
+)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM scores WHERE score > 0
+) WHERE rank <= 50
+"""
+
+SPELLING = """
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab
+  FROM (SELECT unnest(range(256))::BIGINT AS i)
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{C0}-\\x{FF}]+')) AS run
+  FROM documents
+), counted AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS doc_id, run, count(*) AS n FROM runs GROUP BY ALL
+), bytes AS (
+  SELECT doc_id, run, n, hex(encode(doc_id || ':' || run)) AS h FROM counted
+), hashed AS (
+  SELECT run, n, xor(list_reduce(
+      [4294967295::BIGINT] || [('0x' || substr(h, 2 * k + 1, 2))::BIGINT FOR k IN range(length(h) // 2)],
+      lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM bytes, crc
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM hashed
+  ) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), skipped AS (
+  SELECT word, n, i, left(word, i::INT) || substr(word, i::INT + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), shorter AS (
+  SELECT DISTINCT s.word AS long_word, s.n AS long_n, w.word, w.n FROM skipped s JOIN words w ON s.rest = w.word
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM skipped a JOIN skipped b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION ALL SELECT word, n, long_word, long_n FROM shorter
+  UNION ALL SELECT long_word, long_n, word, n FROM shorter
+), best AS (
+  SELECT word, n, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY word, n
+), formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.other_n >= 10 * w.n THEN b.other END AS form,
+    CASE WHEN b.other_n >= 10 * w.n THEN b.other_n END AS form_n
+  FROM words w LEFT JOIN best b USING (word)
+), ends AS (
+  SELECT word, word AS root FROM formed WHERE form IS NULL
+  UNION ALL SELECT f.word, e.root FROM formed f JOIN ends e ON f.form = e.word
+)
+SELECT f.word, f.form, e.root, f.n, f.n_near::BIGINT AS n_near, f.form_n FROM formed f JOIN ends e USING (word)
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_quality": QUALITY,
+    "op3_topk": TOPK,
+    "op4_lines": LINES,
+    "op11_ranked": RANKED,
+    "op13_spelling": SPELLING,
+}

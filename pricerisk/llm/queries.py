@@ -15,10 +15,22 @@ from pricerisk.llm.oracle import ORACLE as ORACLE
 from pricerisk.llm.packing import pack_documents
 from pricerisk.llm.pieces import encode_digest
 from pricerisk.llm.quality import judge
+from pricerisk.llm.ranking import ranked_search
 from pricerisk.llm.records import records_round_trip
 from pricerisk.llm.sharding import shard_documents
 from pricerisk.llm.simhash import near_duplicates
+from pricerisk.llm.spelling import variant_groups
 from pricerisk.llm.toxicity import judge_toxicity
+from pricerisk.llm.urls import ALLOW, BLOCK, filter_urls
+
+#: Rules of op12 (fixed by the task): verdict, host, path.
+URL_RULES = (
+    (ALLOW, "com", "/"),
+    (BLOCK, "example.com", "/en/"),
+    (ALLOW, "www.example.com", "/en/"),
+    (BLOCK, "net", "/es/"),
+    (BLOCK, "net", "/fr/"),
+)
 
 
 def tokenizer_file(name: str) -> str:
@@ -93,6 +105,24 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records_round_trip(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    prepare(spark)
+    return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url, with its path template and that template's purity."""
+    prepare(spark)
+    return filter_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, root and number of near words of every word of all documents."""
+    prepare(spark)
+    return variant_groups(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_pieces": op2_pieces,
@@ -104,4 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
     "op10_records": op10_records,
+    "op11_ranked": op11_ranked,
+    "op12_urls": op12_urls,
+    "op13_spelling": op13_spelling,
 }
