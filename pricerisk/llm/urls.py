@@ -18,7 +18,7 @@ good. A url that repeats counts once. The tree has ``LEVELS`` levels; the last
 one takes all that is left of a path as one segment, so whole paths count.
 
 Defined results: a null url, or one without ``://``, has an empty host and an
-empty path and no rule; a null page_id is a row like any other; repeated rows
+empty path and no rule, and all of them share one template; a null page_id is a row like any other; repeated rows
 are judged alike; of rules of equal length the one with the longer host wins;
 an empty table gives an empty result; extra columns are ignored.
 """
@@ -185,7 +185,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]]) -> Data
     d = with_host_and_path(pick(pages, "page_id", "url"))
     d = d.withColumn("rule", rule).withColumn("says", says).withColumn("shape", shape_of(F.col("path")))
     label = F.when(F.col("says").isNotNull(), (F.col("says") == BLOCK).cast("int"))
-    found = path_templates(d.where(F.col("url").isNotNull()).select("url", "host", "shape", label.alias("label")))
+    found = path_templates(d.select("url", "host", "shape", label.alias("label")))
     found = found.select(F.col("host").alias("_h"), F.col("shape").alias("_s"), "template", "purity")
     own = F.when(F.col("purity") >= THRESHOLD, F.lit(BLOCK)).otherwise(F.lit(ALLOW))
     joined = d.join(found, (F.col("host") == F.col("_h")) & (F.col("shape") == F.col("_s")), "left")

@@ -47,7 +47,7 @@ def form(rest):
 def brute(rows, rules=URL_RULES):
     """page_id -> (host, path, rule, verdict, template): the tree grown by recursion, host by host."""
     label, tails = {}, defaultdict(list)
-    for url in {u for _, u in rows if u is not None}:
+    for url in {u for _, u in rows}:
         host, path = split_url(url)
         label[url] = rule_of(host, path, rules)[1]
         tails[host].append((shape(path), url))
@@ -89,7 +89,7 @@ def brute(rows, rules=URL_RULES):
         host, path = split_url(url)
         rule, verdict = rule_of(host, path, rules)
         t = template.get(url)
-        own = "block" if url is not None and (bad[t] + 2) / (bad[t] + good[t] + 4) >= 0.9 else "allow"
+        own = "block" if (bad[t] + 2) / (bad[t] + good[t] + 4) >= 0.9 else "allow"
         out.append((i, host, path, rule, verdict or own, t))
     return sorted(out, key=str)
 
