@@ -11,7 +11,7 @@ from pricerisk.operators.scan import ordered_scan
 CORE_COLUMNS = ["date", "symbol", "close", "prev_close", "daily_return", "open", "high", "low", "volume"]
 
 
-def daily_returns(prices: DataFrame, *, width: int | None = None) -> DataFrame:
+def daily_returns(prices: DataFrame, *, ranges: int | None = None) -> DataFrame:
     """Core table: previous close and simple daily return per symbol.
 
     ``prev_close = lag(close)`` per symbol ordered by date and
@@ -21,7 +21,7 @@ def daily_returns(prices: DataFrame, *, width: int | None = None) -> DataFrame:
     tasks.
     """
     p = prices.select("date", "symbol", "close", "open", "high", "low", "volume")
-    s = ordered_scan(p, "symbol", ["date"], "close", lag_as="prev_close", width=width)
+    s = ordered_scan(p, "symbol", ["date"], "close", lag_as="prev_close", ranges=ranges)
     return s.select(
         "date",
         "symbol",
@@ -44,7 +44,7 @@ def clean_returns(core: DataFrame) -> DataFrame:
     return core.filter(F.col("daily_return").isNotNull())
 
 
-def drawdown_series(core: DataFrame, *, width: int | None = None) -> DataFrame:
+def drawdown_series(core: DataFrame, *, ranges: int | None = None) -> DataFrame:
     """Running peak close and drawdown from that peak, per symbol by date.
 
     Computed on :func:`clean_returns` rows only, so the first day is outside
@@ -52,7 +52,7 @@ def drawdown_series(core: DataFrame, *, width: int | None = None) -> DataFrame:
     ``drawdown = (rolling_max - close) / nullif(rolling_max, 0)``.
     """
     r = clean_returns(core).select("symbol", "date", "close", "daily_return")
-    s = ordered_scan(r, "symbol", ["date"], "close", running_max_as="rolling_max", width=width)
+    s = ordered_scan(r, "symbol", ["date"], "close", running_max_as="rolling_max", ranges=ranges)
     return s.select(
         "symbol",
         "date",

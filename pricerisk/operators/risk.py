@@ -75,13 +75,13 @@ def var_95_window(core: DataFrame, p: float = VAR_PROBABILITY) -> DataFrame:
     return r.join(per_symbol, "symbol")
 
 
-def max_drawdown(core: DataFrame, *, width: int | None = None) -> DataFrame:
+def max_drawdown(core: DataFrame, *, ranges: int | None = None) -> DataFrame:
     """Largest fall from the running peak close, in percent (4 dp)."""
-    g = drawdown_series(core, width=width).groupBy("symbol").agg(*_aggs(["mdd"]))
+    g = drawdown_series(core, ranges=ranges).groupBy("symbol").agg(*_aggs(["mdd"]))
     return g.select("symbol", pct("mdd").alias("max_drawdown_pct"))
 
 
-def risk_metrics(core: DataFrame, *, width: int | None = None) -> DataFrame:
+def risk_metrics(core: DataFrame, *, ranges: int | None = None) -> DataFrame:
     """Full risk mart, one row per symbol, ordered by annual volatility desc.
 
     Columns: symbol, trading_days, avg_daily_return_pct, daily_volatility_pct,
@@ -90,7 +90,7 @@ def risk_metrics(core: DataFrame, *, width: int | None = None) -> DataFrame:
     grouped aggregate replace the three separate passes plus two joins of the
     SQL formulation.
     """
-    g = drawdown_series(core, width=width).groupBy("symbol").agg(
+    g = drawdown_series(core, ranges=ranges).groupBy("symbol").agg(
         *_aggs(["trading_days", "avg_r", "std_r", "min_r", "max_r", "var_r", "mdd"])
     )
     return g.select(

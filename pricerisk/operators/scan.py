@@ -2,111 +2,109 @@
 
 A plain ``Window.partitionBy(key).orderBy(...)`` sends every row of a key to
 one task, so a symbol holding a third of all ticks becomes one task holding a
-third of the data. The scan here cuts each key's ordered history into chunks
-and only ever windows within a chunk:
-
-1. The ordering value is mapped to an integer ordinal (days for DATE,
-   microseconds for TIMESTAMP, the value itself for integers) and bucketed:
-   ``chunk = floor(ordinal / width)``. The chunk id is a pure function of the
-   row, so every branch of the plan and every task retry agrees on it.
-2. For TIMESTAMP and integer orders (ticks) only keys holding more than
-   ``target_rows`` rows are split, each with a width that gives it about
-   ``target_rows`` rows per chunk at its own density. There are at most
-   ``rows / target_rows`` such keys; their widths are counted and broadcast
-   when at most ``MAX_BROADCAST_WIDTHS``, otherwise one global width from the
-   densest large key (a scalar subquery) applies to all keys. Thin keys stay
-   one chunk, and a hot symbol becomes many ``(key, chunk)`` groups of
-   bounded size. DATE orders (daily bars, at most one row per key and
-   day per landing run) use a fixed calendar width. Callers may pin
-   ``width``.
-3. Inside each ``(key, chunk)`` group an ordinary window computes the lag and
+third of the data, and a burst of ticks defeats any cut by time. The scan here
+is a segmented prefix scan over ranges of rows:
+
+1. All rows have one total order: (key, order columns, hash of the whole row).
+   The order is cut into ranges of about equal numbers of rows by border rows,
+   quantiles of a sample. A row is in the sample if its hash is below a
+   threshold set by the row count, so the sample has a bounded expected size,
+   copies of a row count once, and the borders are a function of the rows
+   alone: every branch of the plan, and every retry, agrees on them. Count,
+   sample and borders are scalar subqueries of the one plan; planning runs no
+   job and the plan is the same at all sizes.
+2. A row's range is found by binary search among the borders. Ranges cut keys
+   by rank, not by time: a hot or bursty key has as many ranges as its share
+   of the rows asks for, and many thin keys lie within one range.
+3. Inside each ``(key, range)`` group an ordinary window computes the lag and
    running max.
-4. A per-``(key, chunk)`` summary (last value, max) is a partial aggregate
-   over the unshuffled input, so only one row per chunk is shuffled. A window
-   over the summary, ordered by chunk, gives each chunk the last value
-   and the running max it inherits from earlier chunks of the same key; it
-   holds one row per chunk, i.e. about ``rows / target_rows`` rows for the
-   hottest key.
-5. The carry is joined back on the ``(key, chunk)`` struct the window is
-   partitioned by: a broadcast when the carry is small, otherwise a
-   sort-merge join that reuses the window's partitioning, so the large side
-   is never shuffled twice. Struct equality also matches NULL keys.
-
-Rows that tie on ``order`` are ordered by a hash of the whole row, so results
+4. Only a key that a border falls into is in more than one range. For those
+   keys alone, each ``(key, range)`` group is summarised by a partial aggregate
+   (last value, maximum), and a window over the summary, at most two rows for
+   each border, carries the last value and the running maximum across borders.
+5. The carry is joined back on the ``(key, range)`` struct the window is
+   partitioned by: a broadcast when it is small, otherwise a sort-merge join
+   that reuses the window's partitioning, so the rows are shuffled once.
+   Struct equality also matches NULL keys.
+
+Rows that tie on ``order`` are ordered by the hash of the whole row, so results
 do not depend on input order. Rows identical in every column are
-interchangeable, so their mutual order cannot change any output value.
+interchangeable, so their mutual order cannot change any output value; they
+stay in one range.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_CHUNK = "_scan_chunk"
 _TIE = "_scan_tie"
+_AT = "_scan_at"
 _KC = "_scan_kc"
 
-# Rows per (key, chunk) group that the densest key is sized to.
-DEFAULT_TARGET_ROWS = 1_000_000
-# Chunk width for DATE orders: a bar table holds at most one row per key and
-# day per landing run, so a chunk of this many days is bounded by the
-# calendar, not by data volume, and needs no density probe.
-DEFAULT_DATE_WIDTH = 1024
+# Sampled rows for each range; the share of rows in a range then varies by about
+# 1 / sqrt(SAMPLE_PER_RANGE).
+SAMPLE_PER_RANGE = 64
 
 
-def _ordinal(df: DataFrame, col: str) -> Column:
-    dt = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(dt, T.DateType):
-        return F.unix_date(c).cast("long")
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp"))
-    if isinstance(dt, (T.IntegralType,)):
-        return c.cast("long")
-    raise TypeError(f"ordered_scan: cannot bucket order column {col!r} of type {dt}")
-
+def _place(key: str, order: list[str]) -> Column:
+    """A row's place in the total order, as one comparable struct (NULLs first)."""
+    return F.struct(
+        F.col(key).alias("k"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.col(_TIE).alias("t")
+    )
 
-# Width used when no key needs splitting: every ordinal falls in one chunk.
-_ONE_CHUNK = 1 << 62
-# Per-key widths are broadcast only up to this many keys (checked by count);
-# beyond it one global width is used instead.
-MAX_BROADCAST_WIDTHS = 100_000
 
+def with_tie(df: DataFrame) -> DataFrame:
+    return df.withColumn(_TIE, F.xxhash64(*[F.col(c) for c in df.columns]))
 
-def key_widths(df: DataFrame, key: str, ordinal: Column, target_rows: int) -> DataFrame:
-    """``(_wk, _width)`` for each key holding more than ``target_rows`` rows.
 
-    The width gives that key about ``target_rows`` rows per chunk at its own
-    density. There are at most ``rows / target_rows`` such keys.
-    """
-    per_key = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.max(ordinal) - F.min(ordinal) + F.lit(1)).alias("span"),
+def range_borders(tied: DataFrame, key: str, order: list[str], ranges: int) -> Column:
+    """Scalar subquery: the sorted array of places at which a new range begins, ``ranges - 1`` at most."""
+    n = tied.agg(F.count(F.lit(1)).alias("n")).scalar()
+    # the hash once more, so that the order of ties does not decide who is sampled
+    chance = F.shiftrightunsigned(F.xxhash64(F.col(_TIE)), 11) / F.lit(float(1 << 53))
+    sample = tied.select(_place(key, order).alias("p"), chance.alias("c"))
+    sample = sample.filter(F.col("c") * n < F.lit(float(ranges * SAMPLE_PER_RANGE))).select("p").distinct()
+    sample = sample.agg(F.sort_array(F.collect_list("p")).alias("s"))
+    at = F.transform(
+        F.sequence(F.lit(1), F.lit(max(1, ranges - 1))),
+        lambda i: F.get("s", F.floor(i * F.size("s") / F.lit(ranges)).cast("int")),
     )
-    width = F.floor(F.lit(float(target_rows)) * F.col("span") / F.col("n")).cast("long")
-    return per_key.filter(F.col("n") > F.lit(target_rows)).select(
-        F.col(key).alias("_wk"), F.greatest(F.lit(1).cast("long"), width).alias("_width")
+    known = F.filter(F.array_distinct(at), lambda p: p.isNotNull()) if ranges > 1 else F.slice("s", 1, 0)
+    return sample.select(known).scalar()
+
+
+def _search(borders: Column, place: Column, ranges: int) -> Column:
+    """How many borders are at or before ``place``: binary search in steps of falling powers of two."""
+    steps = [1 << b for b in reversed(range(max(1, ranges - 1).bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        F.lit(0),
+        lambda i, step: F.when(F.get(borders, i + step - 1) <= place, i + step).otherwise(i),
     )
 
 
-def chunk_width(df: DataFrame, key: str, ordinal: Column, target_rows: int) -> Column:
-    """Scalar-subquery column: bucket width giving the densest large key ~target_rows per chunk.
+def with_ranges(df: DataFrame, key: str, order: list[str], ranges: int) -> DataFrame:
+    """``df`` with its tie hash, its range number, ``(key, range)`` and whether a border falls into the key beside it.
 
-    Only keys holding more than ``target_rows`` rows need splitting, so only
-    they set the density (a key with two rows a microsecond apart must not
-    shrink everyone's chunks). Without such keys each key is one chunk.
+    ``_scan_from`` is true where the key may have rows in the range before,
+    ``_scan_to`` where it has rows in the range after.
     """
-    per_key = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.max(ordinal) - F.min(ordinal) + F.lit(1)).alias("span"),
-    )
-    peak = per_key.filter(F.col("n") > F.lit(target_rows)).agg(
-        F.max(F.col("n") / F.col("span")).alias("density")
-    )
-    sized = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(float(target_rows)) / F.col("density")).cast("long"))
-    width = peak.select(F.when(F.col("density").isNull(), F.lit(_ONE_CHUNK).cast("long")).otherwise(sized))
-    return width.scalar()
+    tied = with_tie(df)
+    at = tied.withColumn(_AT, range_borders(tied, key, order, ranges))
+    borders = F.col(_AT)
+
+    def found(r: Column) -> Column:
+        before = F.when(r > 0, F.get(borders, F.greatest(r - 1, F.lit(0))))
+        after = F.get(borders, r)
+        return F.struct(
+            F.struct(F.col(key).alias("k"), r.alias("c")).alias(_KC),
+            (before.isNotNull() & before["k"].eqNullSafe(F.col(key))).alias("_scan_from"),
+            (after.isNotNull() & after["k"].eqNullSafe(F.col(key))).alias("_scan_to"),
+        )
+
+    # a generator, so that the search runs once a row however often its result is used
+    return at.select("*", F.inline(F.transform(F.array(_search(borders, _place(key, order), ranges)), found))).drop(_AT)
 
 
 def ordered_scan(
@@ -118,79 +116,69 @@ def ordered_scan(
     lag_as: str | None = None,
     running_max_as: str | None = None,
     first_as: str | None = None,
-    width: int | None = None,
-    target_rows: int = DEFAULT_TARGET_ROWS,
+    last_known_as: str | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add ``lag(value, 1)`` and/or a running ``max(value)`` per ``key``.
 
-    ``order[0]`` is the bucketed ordering column (DATE, TIMESTAMP or integer);
-    further ``order`` columns break ties. ``lag_as`` names the previous row's
-    ``value`` within the key (NULL for the key's first row). ``running_max_as``
-    names ``max(value)`` over the key's rows up to and including the current
-    one (``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW``). ``first_as``
-    names a flag that is true on the key's first row. Every input row and
-    column is kept.
+    Rows are ordered by the ``order`` columns (of any orderable type).
+    ``lag_as`` names the previous row's ``value`` within the key (NULL for the
+    key's first row). ``last_known_as`` names the last non-NULL ``value`` before
+    the row. ``running_max_as`` names ``max(value)`` over the key's rows up to
+    and including the current one (``ROWS BETWEEN UNBOUNDED PRECEDING AND
+    CURRENT ROW``). ``first_as`` names a flag that is true on the key's first
+    row. Every input row and column is kept. ``ranges`` is the number of ranges
+    that all rows are cut into, by default the session's shuffle partitions.
     """
-    if not lag_as and not running_max_as and not first_as:
-        raise ValueError("ordered_scan needs lag_as, running_max_as or first_as")
+    if not (lag_as or running_max_as or first_as or last_known_as):
+        raise ValueError("ordered_scan needs lag_as, last_known_as, running_max_as or first_as")
     order = list(order)
     cols = df.columns
-    ordv = _ordinal(df, order[0])
-    if not width and isinstance(df.schema[order[0]].dataType, T.DateType):
-        width = DEFAULT_DATE_WIDTH
-    base = df
-    if width:
-        w_col = F.lit(int(width)).cast("long")
-    else:
-        # Only keys above target_rows are split, each at its own density. Their
-        # widths are broadcast after a count proves the table small; past the
-        # cap one global width (from the densest large key) is used instead.
-        widths = key_widths(df, key, ordv, target_rows)
-        n_large = widths.count()
-        if n_large == 0:
-            w_col = F.lit(_ONE_CHUNK).cast("long")
-        elif n_large <= MAX_BROADCAST_WIDTHS:
-            base = df.join(F.broadcast(widths), F.col(key).eqNullSafe(F.col("_wk")), "left").drop("_wk")
-            w_col = F.coalesce(F.col("_width"), F.lit(_ONE_CHUNK).cast("long"))
-        else:
-            w_col = chunk_width(df, key, ordv, target_rows)
-
-    # (key, chunk) travels as one struct: struct equality matches NULL fields,
-    # and the window and the carry join then share one hash partitioning.
-    d = (
-        base.withColumn(_TIE, F.xxhash64(*[F.col(c) for c in cols]))
-        .withColumn(_CHUNK, F.floor(ordv / w_col).cast("long"))
-        .withColumn(_KC, F.struct(F.col(key).alias("k"), F.col(_CHUNK).alias("c")))
-    )
+    ranges = int(ranges or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = with_ranges(df, key, order, ranges)
 
     w = Window.partitionBy(_KC).orderBy(*order, _TIE)
+    up_to_last = w.rowsBetween(Window.unboundedPreceding, -1)
     inner = d
     if lag_as or first_as:
         inner = inner.withColumn("_in_lag", F.lag(value).over(w)).withColumn(
             "_first", F.lag(F.lit(True)).over(w).isNull()
         )
+    if last_known_as:
+        inner = inner.withColumn("_in_known", F.last(value, ignorenulls=True).over(up_to_last))
     if running_max_as:
         inner = inner.withColumn("_in_max", F.max(value).over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
-    # Chunk summary as a partial aggregate over the unshuffled rows: the
-    # second read of the input is combined map-side and only one row per
-    # (key, chunk) is shuffled.
-    summary = d.groupBy(_KC).agg(
-        F.max_by(F.col(value), F.struct(*[F.col(c) for c in order], F.col(_TIE))).alias("_last"),
-        F.max(value).alias("_cmax"),
-    )
+    # Summary of the keys that borders fall into, as a partial aggregate over
+    # the unshuffled rows: one row per (key, range) of those keys is shuffled.
+    place = F.struct(*[F.col(c) for c in order], F.col(_TIE))
+    at_borders = d.filter(F.col("_scan_from") | F.col("_scan_to"))
+    wanted = {
+        "_last": (lag_as, F.max_by(F.col(value), place)),
+        "_known": (last_known_as, F.max_by(F.col(value), F.when(F.col(value).isNotNull(), place))),
+        "_cmax": (running_max_as, F.max(value)),
+    }
+    aggs = [agg.alias(name) for name, (asked, agg) in wanted.items() if asked]
+    summary = at_borders.groupBy(_KC).agg(F.count(F.lit(1)).alias("_n"), *aggs)
     ws = Window.partitionBy(F.col(f"{_KC}.k")).orderBy(F.col(f"{_KC}.c"))
+    earlier = ws.rowsBetween(Window.unboundedPreceding, -1)
+    carries = {
+        "_last": lambda: F.lag("_last").over(ws).alias("_carry_last"),
+        "_known": lambda: F.last("_known", ignorenulls=True).over(earlier).alias("_carry_known"),
+        "_cmax": lambda: F.max("_cmax").over(earlier).alias("_carry_max"),
+    }
     carry = summary.select(
         _KC,
-        F.lag("_last").over(ws).alias("_carry_last"),
-        F.max("_cmax").over(ws.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_max"),
         F.lag(F.lit(True)).over(ws).isNotNull().alias("_has_prev"),
+        *[carries[name]() for name, (asked, _) in wanted.items() if asked],
     ).filter(F.col("_has_prev"))
 
     out = inner.join(carry, _KC, "left")
     sel: list[Column] = [F.col(c) for c in cols]
     if lag_as:
         sel.append(F.when(F.col("_first"), F.col("_carry_last")).otherwise(F.col("_in_lag")).alias(lag_as))
+    if last_known_as:
+        sel.append(F.coalesce("_in_known", "_carry_known").alias(last_known_as))
     if running_max_as:
         sel.append(F.greatest(F.col("_in_max"), F.col("_carry_max")).alias(running_max_as))
     if first_as:

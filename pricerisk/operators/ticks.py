@@ -44,29 +44,23 @@ def tick_change(
     ts: str = "timestamp",
     tiebreak: str | None = "event_id",
     base: DataFrame | None = None,
-    width: int | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Previous price and percentage change of each tick within its symbol.
 
-    ``prev_price`` is the price of the symbol's previous tick by
-    ``(ts, tiebreak)``; ``change_pct = round((price - prev) / prev * 100, 4)``,
-    or 0.0 when there is no previous price or it is 0. An optional ``base``
-    frame ``(symbol, base_price)`` seeds the first tick's previous price.
-    ``direction`` is ``↑`` / ``↓`` / ``-``. The lag runs through the skew-safe
-    :func:`ordered_scan`.
+    ``prev_price`` is the symbol's last known price before the tick by
+    ``(ts, tiebreak)``: ticks without a price (NULL) do not change it, as they
+    do not change the state of the streams. ``change_pct = round((price - prev)
+    / prev * 100, 4)``, or 0.0 when there is no previous price or it is 0. An
+    optional ``base`` frame ``(symbol, base_price)`` seeds it. ``direction`` is
+    ``↑`` / ``↓`` / ``-``. The scan is the skew-safe :func:`ordered_scan`.
     """
     order = [ts] + ([tiebreak] if tiebreak and tiebreak in ticks.columns else [])
-    if base is None:
-        s = ordered_scan(ticks, key, order, "price", lag_as="prev_price", width=width)
-    else:
-        s = ordered_scan(ticks, key, order, "price", lag_as="prev_price", first_as="_first_tick", width=width)
-        s = (
-            s.join(base.select(key, "base_price"), key, "left")
-            .withColumn(
-                "prev_price", F.when(F.col("_first_tick"), F.col("base_price")).otherwise(F.col("prev_price"))
-            )
-            .drop("base_price", "_first_tick")
-        )
+    s = ordered_scan(ticks, key, order, "price", last_known_as="prev_price", ranges=ranges)
+    if base is not None:
+        seed = base.select(F.col(key).alias("_seed_key"), F.col("base_price").alias("_seed"))
+        s = s.join(seed, F.col(key).eqNullSafe(F.col("_seed_key")), "left")
+        s = s.withColumn("prev_price", F.coalesce("prev_price", "_seed")).drop("_seed_key", "_seed")
     return with_change(s)
 
 
@@ -75,7 +69,7 @@ def with_change(df: DataFrame) -> DataFrame:
     prev = F.col("prev_price")
     has_prev = prev.isNotNull() & (prev != F.lit(0.0))
     change = F.when(
-        has_prev, F.round((F.col("price") - prev) / prev * F.lit(100.0), CHANGE_DECIMALS)
+        has_prev & F.col("price").isNotNull(), F.round((F.col("price") - prev) / prev * F.lit(100.0), CHANGE_DECIMALS)
     ).otherwise(F.lit(0.0))
     return df.withColumn("change_pct", change).withColumn("direction", tick_direction("price", "prev_price"))
 

@@ -262,6 +262,12 @@ def q_tick_change(spark, sf_dir):
     return tk.tick_change(t)
 
 
+@register("tick_change_rough")
+def q_tick_change_rough(spark, sf_dir):
+    """Tick change over a bursty symbol, ticks without a price and ticks without a symbol."""
+    return tk.tick_change(fx.rough_ticks(spark, sf_dir))
+
+
 @register("keyed_messages")
 def q_keyed_messages(spark, sf_dir):
     t = fx.event_ticks(spark, sf_dir).select("symbol", "timestamp", "event_id", "price", "volume")

@@ -48,6 +48,23 @@ def event_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rough_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks as they come in bad hours: symbol, price, timestamp, event_id.
+
+    Half of all ticks are of one symbol, and most of those arrive in a few
+    bursts (their times are cut to the day). Every 7th tick has no price, and
+    every 11th no symbol.
+    """
+    ev = table(spark, sf_dir, "events")
+    ts, hot = F.col("ts").cast("timestamp"), F.col("event_id") % 2 == 0
+    return ev.select(
+        F.when(F.col("event_id") % 11 == 0, None).when(hot, "HOT").otherwise(event_symbol()).alias("symbol"),
+        F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("price"),
+        F.when(hot & (F.col("event_id") % 10 != 0), F.date_trunc("day", ts)).otherwise(ts).alias("timestamp"),
+        "event_id",
+    )
+
+
 def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily OHLCV bars of the 8 event symbols (one row per symbol and day)."""
     ticks = event_ticks(spark, sf_dir)

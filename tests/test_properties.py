@@ -50,8 +50,8 @@ rows_strategy = st.lists(
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(rows=rows_strategy, width=st.sampled_from([1, 3, 17, None]))
-def test_scan_equals_window_on_random_data(spark, rows, width):
+@given(rows=rows_strategy, ranges=st.sampled_from([1, 3, 17, None]))
+def test_scan_equals_window_on_random_data(spark, rows, ranges):
     df = spark.createDataFrame([(k, d, i, p) for i, (k, d, p) in enumerate(rows)], "k string, d int, id long, p double")
     w = Window.partitionBy("k").orderBy("d", "id")
     exp = df.select(
@@ -59,7 +59,7 @@ def test_scan_equals_window_on_random_data(spark, rows, width):
         F.lag("p").over(w).alias("prev"),
         F.max("p").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("runmax"),
     )
-    got = ordered_scan(df, "k", ["d", "id"], "p", lag_as="prev", running_max_as="runmax", width=width, target_rows=4)
+    got = ordered_scan(df, "k", ["d", "id"], "p", lag_as="prev", running_max_as="runmax", ranges=ranges)
     assert sorted(got.collect(), key=str) == sorted(exp.collect(), key=str)
 
 
