@@ -1,10 +1,10 @@
 """Risk mart (R3-R7) and its single-metric views.
 
-All metrics are built on :func:`clean_returns` rows and come out of ONE
-``groupBy(symbol)``. Count/avg/stddev/min/max/max-drawdown are declarative
-aggregates, so Spark pre-aggregates them map-side; the exact percentile keeps
-one value->count map per symbol and task, bounded by the number of distinct
-6-dp returns rather than by the number of rows.
+All metrics are built on :func:`clean_returns` rows. Count/avg/stddev/min/max/
+max-drawdown come out of one ``groupBy(symbol)`` of declarative aggregates,
+which Spark pre-aggregates map-side in a hash aggregate. The exact percentile
+is a rank selection over counted values (:mod:`pricerisk.operators.percentile`)
+that joins it with one row per symbol.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricerisk.functions.expressions import ANNUALISATION_DAYS, REPORT_DECIMALS, pct
+from pricerisk.operators.percentile import exact_percentile
 from pricerisk.operators.returns import clean_returns, drawdown_series
 
 VAR_PROBABILITY = 0.05  # historical VaR 95 = 5th percentile of daily returns
@@ -30,7 +31,6 @@ def _aggs(names: list[str]) -> list[Column]:
         "std_r": F.stddev_samp(R),
         "min_r": F.min(R),
         "max_r": F.max(R),
-        "var_r": F.percentile(R, VAR_PROBABILITY),
         "mdd": F.max("drawdown"),
     }
     return [defs[n].alias(n) for n in names]
@@ -56,9 +56,16 @@ def sharpe_ratio(core: DataFrame) -> DataFrame:
     return g.select("symbol", _sharpe().alias("sharpe_ratio"))
 
 
-def value_at_risk(core: DataFrame, p: float = VAR_PROBABILITY) -> DataFrame:
+def _with_percentile(rows: DataFrame, core: DataFrame, p: float, out: str, ranges: int | None = None) -> DataFrame:
+    """``rows`` with their symbol's percentile of returns as ``out``; a NULL symbol is a symbol too."""
+    found = exact_percentile(clean_returns(core), "symbol", R, p, out, ranges=ranges)
+    found = found.withColumnRenamed("symbol", "_symbol")
+    return rows.join(found, F.col("symbol").eqNullSafe(F.col("_symbol"))).drop("_symbol")
+
+
+def value_at_risk(core: DataFrame, p: float = VAR_PROBABILITY, *, ranges: int | None = None) -> DataFrame:
     """Historical VaR: exact linear-interpolated ``p`` percentile of returns, signed, in percent."""
-    g = clean_returns(core).groupBy("symbol").agg(F.percentile(R, p).alias("var_r"))
+    g = exact_percentile(clean_returns(core), "symbol", R, p, "var_r", ranges=ranges)
     return g.select("symbol", pct("var_r").alias("var_95_pct"))
 
 
@@ -67,12 +74,11 @@ def var_95_window(core: DataFrame, p: float = VAR_PROBABILITY) -> DataFrame:
 
     Same value as ``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY daily_return)
     OVER (PARTITION BY symbol)``. Instead of buffering a whole symbol in one
-    window task, the percentile is a grouped aggregate (one row per symbol)
+    window task, the percentile is selected by rank (one row per symbol) and
     joined back to the rows on ``symbol``.
     """
     r = clean_returns(core).select("symbol", "date", "daily_return")
-    per_symbol = r.groupBy("symbol").agg(F.percentile(R, p).alias("var_95"))
-    return r.join(per_symbol, "symbol")
+    return _with_percentile(r, core, p, "var_95")
 
 
 def max_drawdown(core: DataFrame, *, ranges: int | None = None) -> DataFrame:
@@ -87,12 +93,13 @@ def risk_metrics(core: DataFrame, *, ranges: int | None = None) -> DataFrame:
     Columns: symbol, trading_days, avg_daily_return_pct, daily_volatility_pct,
     annual_volatility_pct, max_daily_loss_pct, max_daily_gain_pct, var_95_pct,
     sharpe_ratio, max_drawdown_pct. One scan (for the running peak) and one
-    grouped aggregate replace the three separate passes plus two joins of the
-    SQL formulation.
+    grouped aggregate give all of them but the percentile, which joins them
+    with one row per symbol.
     """
     g = drawdown_series(core, ranges=ranges).groupBy("symbol").agg(
-        *_aggs(["trading_days", "avg_r", "std_r", "min_r", "max_r", "var_r", "mdd"])
+        *_aggs(["trading_days", "avg_r", "std_r", "min_r", "max_r", "mdd"])
     )
+    g = _with_percentile(g, core, VAR_PROBABILITY, "var_r", ranges)
     return g.select(
         "symbol",
         "trading_days",

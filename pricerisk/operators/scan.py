@@ -117,21 +117,24 @@ def ordered_scan(
     running_max_as: str | None = None,
     first_as: str | None = None,
     last_known_as: str | None = None,
+    running_sum_as: str | None = None,
+    total_as: str | None = None,
     ranges: int | None = None,
 ) -> DataFrame:
-    """Add ``lag(value, 1)`` and/or a running ``max(value)`` per ``key``.
+    """Add ``lag(value, 1)``, running aggregates or the total of ``value`` per ``key``.
 
     Rows are ordered by the ``order`` columns (of any orderable type).
     ``lag_as`` names the previous row's ``value`` within the key (NULL for the
     key's first row). ``last_known_as`` names the last non-NULL ``value`` before
     the row. ``running_max_as`` names ``max(value)`` over the key's rows up to
     and including the current one (``ROWS BETWEEN UNBOUNDED PRECEDING AND
-    CURRENT ROW``). ``first_as`` names a flag that is true on the key's first
+    CURRENT ROW``), ``running_sum_as`` the sum over the same rows and ``total_as``
+    the sum over all the key's rows. ``first_as`` names a flag that is true on the key's first
     row. Every input row and column is kept. ``ranges`` is the number of ranges
     that all rows are cut into, by default the session's shuffle partitions.
     """
-    if not (lag_as or running_max_as or first_as or last_known_as):
-        raise ValueError("ordered_scan needs lag_as, last_known_as, running_max_as or first_as")
+    if not (lag_as or running_max_as or first_as or last_known_as or running_sum_as or total_as):
+        raise ValueError("ordered_scan needs the name of a column to add")
     order = list(order)
     cols = df.columns
     ranges = int(ranges or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -146,8 +149,13 @@ def ordered_scan(
         )
     if last_known_as:
         inner = inner.withColumn("_in_known", F.last(value, ignorenulls=True).over(up_to_last))
+    up_to_now = w.rowsBetween(Window.unboundedPreceding, 0)
     if running_max_as:
-        inner = inner.withColumn("_in_max", F.max(value).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        inner = inner.withColumn("_in_max", F.max(value).over(up_to_now))
+    if running_sum_as:
+        inner = inner.withColumn("_in_sum", F.sum(value).over(up_to_now))
+    if total_as:
+        inner = inner.withColumn("_in_total", F.sum(value).over(Window.partitionBy(_KC)))
 
     # Summary of the keys that borders fall into, as a partial aggregate over
     # the unshuffled rows: one row per (key, range) of those keys is shuffled.
@@ -157,6 +165,7 @@ def ordered_scan(
         "_last": (lag_as, F.max_by(F.col(value), place)),
         "_known": (last_known_as, F.max_by(F.col(value), F.when(F.col(value).isNotNull(), place))),
         "_cmax": (running_max_as, F.max(value)),
+        "_csum": (running_sum_as or total_as, F.sum(value)),
     }
     aggs = [agg.alias(name) for name, (asked, agg) in wanted.items() if asked]
     summary = at_borders.groupBy(_KC).agg(F.count(F.lit(1)).alias("_n"), *aggs)
@@ -166,12 +175,16 @@ def ordered_scan(
         "_last": lambda: F.lag("_last").over(ws).alias("_carry_last"),
         "_known": lambda: F.last("_known", ignorenulls=True).over(earlier).alias("_carry_known"),
         "_cmax": lambda: F.max("_cmax").over(earlier).alias("_carry_max"),
+        "_csum": lambda: F.sum("_csum").over(earlier).alias("_carry_sum"),
     }
     carry = summary.select(
         _KC,
         F.lag(F.lit(True)).over(ws).isNotNull().alias("_has_prev"),
         *[carries[name]() for name, (asked, _) in wanted.items() if asked],
-    ).filter(F.col("_has_prev"))
+        *([F.sum("_csum").over(Window.partitionBy(F.col(f"{_KC}.k"))).alias("_carry_total")] if total_as else []),
+    )
+    if not total_as:
+        carry = carry.filter(F.col("_has_prev"))
 
     out = inner.join(carry, _KC, "left")
     sel: list[Column] = [F.col(c) for c in cols]
@@ -181,6 +194,11 @@ def ordered_scan(
         sel.append(F.coalesce("_in_known", "_carry_known").alias(last_known_as))
     if running_max_as:
         sel.append(F.greatest(F.col("_in_max"), F.col("_carry_max")).alias(running_max_as))
+    if running_sum_as:
+        both = F.coalesce(F.col("_in_sum") + F.col("_carry_sum"), "_in_sum", "_carry_sum")
+        sel.append(both.alias(running_sum_as))
+    if total_as:
+        sel.append(F.coalesce("_carry_total", "_in_total").alias(total_as))
     if first_as:
-        sel.append((F.col("_first") & F.col("_has_prev").isNull()).alias(first_as))
+        sel.append((F.col("_first") & ~F.coalesce("_has_prev", F.lit(False))).alias(first_as))
     return out.select(*sel)

@@ -51,13 +51,13 @@ def test_history_window_reaches_the_scan(spark):
     assert re.search(r"PushedFilters: \[[^\]]*LessThan\(l_shipdate", plan)
 
 
-def test_risk_mart_is_one_aggregate_without_joins_of_partial_results(spark):
+def test_risk_mart_aggregates_by_hash_and_joins_one_row_per_symbol(spark):
     plan = _plan(risk.risk_metrics(_core(spark)))
-    assert plan.count("percentile(") >= 1
-    # metrics, VaR and drawdown come from one grouped aggregate: the only joins
-    # are the scan's carry joins, never on symbol alone
-    joins = re.findall(r"(?:SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) \[([^\]]*)\]", plan)
-    assert all("_scan_kc" in j or "symbol" not in j for j in joins), joins
+    # no percentile buffer: nothing that is grouped by symbol is an object aggregate
+    # (the only ones left collect the bounded samples behind the scans' borders)
+    assert "percentile(" not in plan
+    assert all(k == "" for k in re.findall(r"ObjectHashAggregate\(keys=\[([^\]]*)\]", plan))
+    assert re.search(r"HashAggregate\(keys=\[symbol#\d+\][^\n]*stddev_samp", plan)
 
 
 def test_scan_reads_only_needed_columns(spark):
