@@ -63,9 +63,9 @@ def range_borders(tied: DataFrame, key: str, order: list[str], ranges: int) -> C
     n = tied.agg(F.count(F.lit(1)).alias("n")).scalar()
     # the hash once more, so that the order of ties does not decide who is sampled
     chance = F.shiftrightunsigned(F.xxhash64(F.col(_TIE)), 11) / F.lit(float(1 << 53))
-    sample = tied.select(_place(key, order).alias("p"), chance.alias("c"))
-    sample = sample.filter(F.col("c") * n < F.lit(float(ranges * SAMPLE_PER_RANGE))).select("p").distinct()
-    sample = sample.agg(F.sort_array(F.collect_list("p")).alias("s"))
+    sample = tied.filter(chance * n < F.lit(float(ranges * SAMPLE_PER_RANGE)))
+    # a set: copies of a row are dropped where they are read
+    sample = sample.agg(F.sort_array(F.collect_set(_place(key, order))).alias("s"))
     at = F.transform(
         F.sequence(F.lit(1), F.lit(max(1, ranges - 1))),
         lambda i: F.get("s", F.floor(i * F.size("s") / F.lit(ranges)).cast("int")),
