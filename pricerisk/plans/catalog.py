@@ -152,6 +152,28 @@ def q_correlation_matrix_events(spark, sf_dir):
     return corr.correlation_matrix(core_events(spark, sf_dir))
 
 
+def _asked(spark, sf_dir):
+    """Pairs asked for: every brand with Brand#7 (often the wrong way round), one with an unnamed side."""
+    brand = fx.table(spark, sf_dir, "part").select(F.col("p_brand").alias("symbol_1")).distinct()
+    return brand.withColumn("symbol_2", F.when(F.col("symbol_1") != "Brand#9", "Brand#7"))
+
+
+def _unnamed(core):
+    """``core`` with the rows of one symbol unnamed."""
+    return core.withColumn("symbol", F.when(F.col("symbol") != "Brand#23", F.col("symbol")))
+
+
+@register("return_pairs_asked")
+def q_return_pairs_asked(spark, sf_dir):
+    return corr.return_pairs(_unnamed(core_lineitem(spark, sf_dir)), _asked(spark, sf_dir))
+
+
+@register("correlation_asked")
+def q_correlation_asked(spark, sf_dir):
+    """Correlations of the pairs asked for, in small tiles, with an unnamed symbol among the rows."""
+    return corr.correlation_matrix(_unnamed(core_lineitem(spark, sf_dir)), pairs=_asked(spark, sf_dir), tile_size=4, block_days=366)
+
+
 # --- ingest side -----------------------------------------------------------
 
 HISTORY_START, HISTORY_END = "1998-01-01", "1999-01-01"  # one year of history, end exclusive

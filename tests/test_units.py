@@ -135,6 +135,43 @@ def test_correlation_blocks_and_tiles_match_self_join(spark):
         assert got == exp, (block_days, tile)
 
 
+def _random_returns(spark, symbols, days, seed):
+    import random
+
+    rnd = random.Random(seed)
+    return core(spark, [(s, d, 1.0, round(rnd.uniform(-0.1, 0.1), 6), 1) for s in symbols for d in range(1, days + 1) if rnd.random() < 0.8])
+
+
+def test_correlation_groups_are_bounded(spark):
+    names = [f"T{k:02d}" for k in range(23)]
+    c = _random_returns(spark, [*names, None], 28, 4)
+    for block_days, tile in [(7, 5), (3, 4), (28, 1)]:
+        rows = corr.tiled_returns(c, block_days=block_days, tile_size=tile)
+        sizes = rows.groupBy("block", "tile_a", "tile_b").count().agg(F.max("count")).first()[0]
+        assert sizes <= block_days * 2 * tile
+        numbers = sorted(r.number for r in rows.select("symbol", "number").distinct().collect())
+        assert numbers == list(range(23))
+        per_tile = rows.select("tile", "symbol").distinct().groupBy("tile").count().collect()
+        assert all(r["count"] <= tile for r in per_tile)
+
+
+def test_only_asked_pairs_are_made(spark):
+    names = [f"T{k:02d}" for k in range(12)]
+    c = _random_returns(spark, [*names, None], 20, 6)
+    wanted = [("T03", "T01"), ("T01", "T03"), ("T04", "T11"), ("T05", "T05"), ("T02", None), (None, "T02"), ("T09", "nobody"), ("T10", "T11")]
+    pairs = spark.createDataFrame(wanted, "symbol_1 string, symbol_2 string")
+    full = {(r.symbol_1, r.symbol_2): r.correlation for r in corr.correlation_matrix(c).collect()}
+    exp = {p: full[p] for p in [("T01", "T03"), ("T04", "T11"), ("T10", "T11")]}
+    for tile in (1, 3, 256):
+        got = corr.correlation_matrix(c, pairs=pairs, tile_size=tile).collect()
+        assert len(got) == 3 and {(r.symbol_1, r.symbol_2): r.correlation for r in got} == exp
+    tiles = corr.tiled_returns(c, pairs=pairs, tile_size=2).select("tile_a", "tile_b").distinct().collect()
+    assert len(tiles) <= 4  # of the 21 tile pairs of 6 tiles
+    every = corr.return_pairs(c).filter(F.concat("symbol_1", "symbol_2").isin("T01T03", "T04T11", "T10T11"))
+    key = lambda r: tuple(r)
+    assert sorted(corr.return_pairs(c, pairs).collect(), key=key) == sorted(every.select(*corr.return_pairs(c).columns).collect(), key=key)
+
+
 def test_return_pairs_counts_duplicate_combinations(spark):
     c = core(spark, [("A", 1, 1.0, 0.1, 1), ("A", 1, 1.0, 0.1, 1), ("B", 1, 1.0, 0.2, 1), ("C", 2, 1.0, 0.3, 1)])
     rows = corr.return_pairs(c).collect()
