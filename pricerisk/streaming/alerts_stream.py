@@ -11,10 +11,11 @@
   window with a watermark (E3), so results no longer depend on arrival
   batching.
 * :func:`start_state_stats_stream` keeps running per-(group, symbol) price
-  statistics as streaming state and rewrites the statistics table on every
-  trigger (complete mode); :func:`alerts_from_stats` applies the rules to it.
-  The result equals the batch rules over the same groups, however the input
-  is split into micro-batches.
+  statistics as streaming state and writes the groups that a trigger touched
+  (update mode); :func:`read_stats` gives the newest statistics of each, and
+  :func:`alerts_from_stats` applies the rules to them. The result equals the
+  batch rules over the same groups, however the input is split into
+  micro-batches.
 """
 
 from __future__ import annotations
@@ -163,26 +164,63 @@ def start_state_stats_stream(
     """Running statistics per ``(*group, symbol)`` as streaming state.
 
     Every aggregate is combined incrementally in the state store (one row per
-    group and symbol). Each trigger overwrites ``table_path`` with the full
-    statistics table, so a replayed trigger writes the same table again.
-    Complete mode rewrites every group on each trigger, which suits a bounded
-    set of groups (days of a backfill, a trading session). For an unbounded
-    history use :func:`start_windowed_alert_stream`, whose watermark emits
-    each window once and drops its state.
+    group and symbol). Each trigger writes the statistics of the groups and
+    symbols that its input touched, and no others, so what is written follows
+    the trigger and not the history. They go to
+    ``table_path/run_id=<query id>/batch_id=<n>``; a replayed trigger replaces
+    its own folder. :func:`read_stats` picks each group's newest row, and
+    :func:`compact_stats` folds the folders into one.
     """
     spark = ticks.sparkSession
     ckpt = checkpoint or scratch_path(spark, "streams", "state_stats")
     tiebreak = "event_id" if "event_id" in ticks.columns else None
     stats = price_stats(ticks, [*group, "symbol"], tiebreak=tiebreak)
+    run: dict[str, str] = {}
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.write.mode("overwrite").parquet(table_path)
+        if "id" not in run:
+            run["id"] = query_run_id(batch_df.sparkSession, ckpt)
+        batch_df.write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/run_id={run['id']}/batch_id={int(batch_id)}")
 
-    w = stats.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", ckpt)
+    w = stats.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()
 
 
-def alerts_from_stats(spark: SparkSession, table_path: str, group: tuple[str, ...] = ("batch",), **kw) -> DataFrame:
-    """Apply the alert rules to a statistics table written by :func:`start_state_stats_stream`."""
-    return alerts(spark.read.parquet(table_path), list(group), **kw)
+def read_stats(
+    spark: SparkSession, table_path: str, group: tuple[str, ...] = ("batch",), *, run_id: str | None = None
+) -> DataFrame:
+    """The newest statistics of each ``(*group, symbol)`` that :func:`start_state_stats_stream` wrote.
+
+    One partial aggregate over the written rows. Where several runs (queries
+    with checkpoints of their own) wrote to the table, ``run_id`` names one.
+    """
+    rows = spark.read.option("basePath", table_path).parquet(table_path)
+    if run_id is not None:
+        rows = rows.filter(F.col("run_id") == run_id)
+    else:
+        # names of folders, not data: one row for each run
+        runs = [r["run_id"] for r in rows.select("run_id").distinct().limit(2).collect()]
+        if len(runs) > 1:
+            raise ValueError(f"{table_path} has several runs; name one by run_id")
+    keys = [*group, "symbol"]
+    values = [c for c in rows.columns if c not in (*keys, "run_id", "batch_id")]
+    newest = F.max_by(F.struct(*values), F.col("batch_id").cast("long")).alias("_s")
+    return rows.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_s.{c}").alias(c) for c in values])
+
+
+def compact_stats(
+    spark: SparkSession, table_path: str, out_path: str, group: tuple[str, ...] = ("batch",), *, run_id: str
+) -> None:
+    """Write the newest statistics of a run as one folder of a new table at ``out_path``, which :func:`read_stats` reads.
+
+    For a stopped run: its triggers' folders may then be dropped.
+    """
+    read_stats(spark, table_path, group, run_id=run_id).write.parquet(f"{out_path.rstrip('/')}/run_id={run_id}/batch_id=0")
+
+
+def alerts_from_stats(
+    spark: SparkSession, table_path: str, group: tuple[str, ...] = ("batch",), *, run_id: str | None = None, **kw
+) -> DataFrame:
+    """Apply the alert rules to the newest statistics that :func:`start_state_stats_stream` wrote."""
+    return alerts(read_stats(spark, table_path, group, run_id=run_id), list(group), **kw)

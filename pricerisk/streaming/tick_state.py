@@ -161,24 +161,29 @@ _KEYED_STATE = "last_price double, has_price boolean"
 
 
 def _carry_prev_price(key, pdfs, state):
-    """Per symbol and micro-batch: previous price of each tick, seeded from state."""
-    pdf = pd.concat(list(pdfs), ignore_index=True)
-    if pdf.empty:
+    """Per symbol and micro-batch: the last known price before each tick, seeded from state."""
+    frames = [f for f in pdfs if len(f)]
+    if not frames:
         return
+    pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
     pdf = pdf.sort_values(["timestamp", "event_id"], kind="mergesort", ignore_index=True)
-    prev = pdf["price"].shift(1)
+    known = pdf["price"].astype("float64").ffill()
     if state.exists and state.get[1]:
-        prev.iloc[0] = state.get[0]
-    pdf["prev_price"] = prev
-    last = pdf["price"].iloc[-1]
-    state.update((None if pd.isna(last) else float(last), True))
+        known = known.fillna(state.get[0])
+    pdf["prev_price"] = known.shift(1)
+    if state.exists and state.get[1]:
+        pdf.loc[0, "prev_price"] = state.get[0]
+    last = known.iloc[-1]
+    # a symbol without any price so far has no last price yet
+    state.update((None, False) if pd.isna(last) else (float(last), True))
     yield pdf[["symbol", "timestamp", "event_id", "price", "prev_price"]]
 
 
 def tick_change_keyed(ticks: DataFrame) -> DataFrame:
     """Streaming tick change with ``applyInPandasWithState`` keyed by symbol.
 
-    The state is one row per symbol (its last price). Each micro-batch's ticks
+    The state is one row per symbol (its last known price; ticks without a
+    price do not change it, as in the batch operator). Each micro-batch's ticks
     of a symbol arrive as one group, ordered by ``(timestamp, event_id)``
     there; ``change_pct`` and ``direction`` are the batch operator's Spark
     expressions. A symbol's group is bounded by the trigger size

@@ -169,3 +169,78 @@ def test_tick_state_keeps_two_versions(spark, tick_files, tmp_dir):
     q.awaitTermination(300)
     versions = sorted(int(n.split("=")[1]) for n in os.listdir(state) if n.startswith("batch_id="))
     assert versions == [N_FILES - 2, N_FILES - 1]
+
+
+def _folder_bytes(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
+
+
+def test_state_stats_write_what_a_trigger_touched(spark, tmp_dir):
+    """Ten days of many symbols, then small triggers of one symbol: these write one row each."""
+    src_dir, table, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "table", "ck"))
+    rows = spark.range(20_000).selectExpr(
+        "'S' || (id % 500) as symbol", "cast(id % 97 as double) as price", "timestamp_micros(id * 1000000) as timestamp",
+        "id as event_id", "id % 10 as batch"
+    )
+    rows.coalesce(1).write.parquet(src_dir)
+
+    def go():
+        stream = st.read_tick_stream(spark, "parquet", src_dir, schema=rows.schema, options={"maxFilesPerTrigger": "1"})
+        q = st.start_state_stats_stream(stream, table, checkpoint=ckpt, available_now=True)
+        q.awaitTermination(300)
+        assert q.exception() is None
+
+    go()
+    for k in range(2):
+        spark.createDataFrame([("S3", 500.0 + k, 30_000 + k, 3)], "symbol string, price double, event_id long, batch long").selectExpr(
+            "symbol", "price", "timestamp_micros(event_id * 1000000) as timestamp", "event_id", "batch"
+        ).coalesce(1).write.mode("append").parquet(src_dir)
+        go()  # a restart each time
+    (run,) = [n for n in os.listdir(table) if n.startswith("run_id=")]
+    sizes = {n: spark.read.parquet(os.path.join(table, run, n)).count() for n in os.listdir(os.path.join(table, run))}
+    assert sorted(sizes.values()) == [1, 1, 500] or sorted(sizes.values())[:2] == [1, 1]
+    assert _folder_bytes(os.path.join(table, run, "batch_id=2")) < _folder_bytes(os.path.join(table, run, "batch_id=0")) / 4
+    cols = ["batch", "symbol", "max_price", "min_price", "current_price", "n_ticks"]
+    got = st.read_stats(spark, table).select(*cols)
+    exp = tk.price_stats(spark.read.parquet(src_dir), ["batch", "symbol"]).select(*cols)
+    assert sorted(got.collect()) == sorted(exp.collect())
+    compact = os.path.join(tmp_dir, "compact")
+    st.compact_stats(spark, table, compact, run_id=run.split("=")[1])
+    assert sorted(st.read_stats(spark, compact).select(*cols).collect()) == sorted(exp.collect())
+    # another run on the same table must be named
+    rows.limit(5).groupBy("batch", "symbol").count().write.parquet(os.path.join(table, "run_id=other", "batch_id=0"))
+    with pytest.raises(ValueError):
+        st.read_stats(spark, table)
+
+
+@pytest.fixture()
+def rough_files(spark, tmp_path):
+    """Rough ticks (no price, no symbol, bursts) in three files in time order."""
+    d = str(tmp_path)
+    t = fx.rough_ticks(spark, SF_SMALL).filter("symbol is not null")
+    pdf = t.orderBy("timestamp", "event_id").toPandas()
+    step = (len(pdf) + 2) // 3
+    cuts = []
+    for i in range(3):
+        part = pdf.iloc[i * step : (i + 1) * step].copy()
+        part["timestamp"] = part["timestamp"].dt.strftime("%Y-%m-%dT%H:%M:%S.%f+00:00")
+        cuts.append((os.path.join(d, f"rough-{i}.json"), part))
+    return d, cuts, t
+
+
+@pytest.mark.parametrize("keyed", [False, True])
+def test_tick_change_streams_equal_batch_with_missing_prices_and_a_restart(spark, rough_files, tmp_dir, keyed):
+    d, cuts, t = rough_files
+    out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck")
+    for i, (path, part) in enumerate(cuts):
+        part.to_json(path, orient="records", lines=True)
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+        start = ts.start_tick_change_keyed_stream if keyed else ts.start_tick_change_stream
+        more = {} if keyed else {"state_path": os.path.join(tmp_dir, "state")}
+        q = start(_stream(spark, d), out, checkpoint=ckpt, available_now=True, **more)
+        q.awaitTermination(300)
+        assert q.exception() is None
+    cols = ["event_id", "symbol", "price", "prev_price", "change_pct", "direction"]
+    got, exp = spark.read.parquet(out).select(*cols), tk.tick_change(t).select(*cols)
+    assert exp.filter("price is null").count() > 20 and exp.filter("prev_price is null").count() < 20
+    assert sorted(got.collect(), key=str) == sorted(exp.collect(), key=str)
