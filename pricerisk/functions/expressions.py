@@ -75,6 +75,11 @@ def tick_direction(price, prev_price) -> Column:
     )
 
 
+def utc_today() -> Column:
+    """The current date in UTC, whatever the session's time zone."""
+    return F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("date")
+
+
 def iso_utc_string(ts) -> Column:
     """TIMESTAMP -> ISO-8601 text of its UTC time with microseconds and a ``+00:00`` offset."""
     utc = F.to_utc_timestamp(_c(ts).cast("timestamp"), F.current_timezone())

@@ -89,18 +89,25 @@ def base_prices(
     as_of: dt.date | str | None = None,
     *,
     lookback_days: int = BASE_PRICE_LOOKBACK_DAYS,
+    trading_days: bool = False,
     fallback: float = FALLBACK_BASE_PRICE,
 ) -> DataFrame:
     """Starting price per universe symbol: last close within the lookback window.
 
     The window is ``(as_of - lookback_days, as_of]``; ``as_of`` defaults to the
-    latest date in ``prices``. Symbols without a close in the window get
-    ``fallback`` and ``is_fallback = true``.
+    latest date in ``prices``. With ``trading_days`` the window is the last
+    ``lookback_days`` dates up to ``as_of`` on which any symbol traded, so
+    weekends and holidays do not use it up. Symbols without a close in the
+    window get ``fallback`` and ``is_fallback = true``.
     """
     as_of_col = F.lit(as_of).cast("date") if as_of is not None else prices.agg(F.max("date")).scalar()
-    recent = prices.filter(
-        (F.col("date") <= as_of_col) & (F.col("date") > F.date_sub(as_of_col, lookback_days))
-    )
+    recent = prices.filter(F.col("date") <= as_of_col)
+    if trading_days:
+        # the calendar: as many rows as are asked for, found by a bounded sort
+        calendar = recent.select("date").distinct().orderBy(F.desc("date")).limit(lookback_days)
+        recent = recent.filter(F.col("date") >= calendar.agg(F.min("date")).scalar())
+    else:
+        recent = recent.filter(F.col("date") > F.date_sub(as_of_col, lookback_days))
     last = recent.groupBy("symbol").agg(F.max(F.struct(F.col("date"), F.col("close"))).alias("_l"))
     return universe.select("symbol").join(last, "symbol", "left").select(
         "symbol",

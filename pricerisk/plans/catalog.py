@@ -7,7 +7,7 @@ same names as the DuckDB texts in :mod:`pricerisk.plans.oracle_sql`.
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +21,8 @@ from pricerisk.operators import portfolio as pf
 from pricerisk.operators import returns as ret
 from pricerisk.operators import risk
 from pricerisk.operators import ticks as tk
-from pricerisk.session import scratch_path
+from pricerisk.plans import marts
+from pricerisk.session import fingerprint, scratch_path
 from pricerisk.sinks import writers as sk
 from pricerisk.sources import fixtures as fx
 from pricerisk.sources import prices as src
@@ -39,21 +40,24 @@ def register(name: str):
     return deco
 
 
-def _core_table(df: DataFrame) -> DataFrame:
-    """Materialise a core daily table (like the CORE layer) and read it back.
+def _core_table(spark: SparkSession, bars: DataFrame, name: str, sf_dir: str, *tables: str) -> DataFrame:
+    """The core daily table of some bars, as the layered build has it: built once for all marts.
 
-    Mart queries scan this table instead of re-deriving it per consumer, as
-    the marts of the layered build do.
+    The table is published under the fingerprint of the files that the bars
+    are read from, so the next query on the same files finds it, and changed
+    files make a new one in its place.
     """
-    return sk.materialize(df, "core", f"int_stock_daily_{uuid.uuid4().hex}", view=False)
+    files = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]
+    where = hashlib.sha256(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    return marts.build_core(bars, key=fingerprint(spark, *files), name=f"int_stock_daily_{name}_{where}")
 
 
 def core_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _core_table(ret.daily_returns(fx.lineitem_bars(spark, sf_dir)))
+    return _core_table(spark, fx.lineitem_bars(spark, sf_dir), "lineitem", sf_dir, "lineitem", "part")
 
 
 def core_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _core_table(ret.daily_returns(fx.event_bars(spark, sf_dir)))
+    return _core_table(spark, fx.event_bars(spark, sf_dir), "events", sf_dir, "events")
 
 
 @register("daily_bars")
@@ -226,10 +230,55 @@ def q_load_history(spark, sf_dir):
         part_universe(spark, sf_dir),
         HISTORY_START,
         HISTORY_END,
-        broadcast_universe=False,
     )
 
 
+SOME_SYMBOLS = ["S1", "S6", "NONE"]
+
+
+@register("universe_filter_some")
+def q_universe_filter_some(spark, sf_dir):
+    """A universe that most symbols are not in, and one symbol of which has no bars."""
+    return src.universe_filter(fx.event_bars(spark, sf_dir), src.universe(spark, SOME_SYMBOLS))
+
+
+@register("load_history_some")
+def q_load_history_some(spark, sf_dir):
+    """History of the brands that have a large part: a universe read from a table."""
+    large = fx.table(spark, sf_dir, "part").filter(F.col("p_partkey") % 400 == 0).select(F.col("p_brand").alias("symbol"))
+    return src.load_history(fx.lineitem_bars(spark, sf_dir), large.distinct(), HISTORY_START, HISTORY_END)
+
+
+@register("union_all_sources")
+def q_union_all_sources(spark, sf_dir):
+    return src.union_all_sources(fx.event_sources(spark, sf_dir), tag="source")
+
+
+@register("ingest_to_staging")
+def q_ingest_to_staging(spark, sf_dir):
+    """Upload requests, some of them faulty, landed by run date with their rejects, read back and staged."""
+    root = scratch_path(spark, "ingest")
+    rows, rejects = src.ingest_requests(fx.faulty_requests(spark, sf_dir))
+    sk.land_run(rows, rejects, root, "first")
+    return src.stage_prices(src.read_raw_prices(spark, f"{root}/{sk.RAW_PREFIX}"))
+
+
+@register("ingest_rejects")
+def q_ingest_rejects(spark, sf_dir):
+    """Reasons and numbers of the rejects of the same requests."""
+    return src.reject_counts(src.ingest_requests(fx.faulty_requests(spark, sf_dir))[1])
+
+
+@register("ingest_other_zone")
+def q_ingest_other_zone(spark, sf_dir):
+    """The same ingest in a session of another time zone: dates and stamps are UTC all the same."""
+    other = spark.newSession()
+    for k, v in {**spark.conf.getAll, "spark.sql.session.timeZone": "America/New_York"}.items():
+        if other.conf.isModifiable(k):
+            other.conf.set(k, v)
+    return q_ingest_to_staging(other, sf_dir)
+
+
 @register("records_from_json")
 def q_records_from_json(spark, sf_dir):
     return src.records_to_prices(fx.price_payloads(spark, sf_dir), "payload")
@@ -255,6 +304,15 @@ def q_base_prices(spark, sf_dir):
     return pf.base_prices(fx.lineitem_bars(spark, sf_dir), part_universe(spark, sf_dir))
 
 
+@register("base_prices_trading_days")
+def q_base_prices_trading_days(spark, sf_dir):
+    """Base prices over the last five trading days, with a holiday week before the last day."""
+    bars = fx.lineitem_bars(spark, sf_dir)
+    last = bars.agg(F.max("date")).scalar()
+    holiday = (F.col("date") < last) & (F.col("date") >= F.date_sub(last, 7))
+    return pf.base_prices(bars.filter(~holiday), part_universe(spark, sf_dir), trading_days=True)
+
+
 # --- ticks and alerts ----------------------------------------------------------
 
 METRIC_DECIMALS = 6  # float statistics are reported with 6 dp
@@ -296,6 +354,23 @@ def q_keyed_messages(spark, sf_dir):
     return sk.to_keyed_messages(tk.tick_change(t))
 
 
+@register("keyed_messages_exact")
+def q_keyed_messages_exact(spark, sf_dir):
+    """What a consumer reads from the messages: every digit of the numbers."""
+    t = fx.event_ticks(spark, sf_dir).select("symbol", "timestamp", "event_id", "volume", (F.col("price") / 7e6).alias("price"))
+    m = sk.to_keyed_messages(tk.tick_change(t), decimals=None)
+    return m.select("key", F.from_json("value", "price double, prev_price double, volume long").alias("m")).select("key", "m.*")
+
+
+@register("tick_change_seeded")
+def q_tick_change_seeded(spark, sf_dir):
+    """Tick change from the symbols' starting prices: the first tick of a symbol has a previous price."""
+    t = fx.event_ticks(spark, sf_dir).select("symbol", "timestamp", "event_id", "price")
+    symbols = src.universe(spark, fx.EVENT_UNIVERSE).filter(F.col("symbol") != "S5")
+    base = symbols.select("symbol", (F.lit(100.0) + F.col("position")).alias("base_price"))
+    return tk.tick_change(t, base=base)
+
+
 @register("latest_tick")
 def q_latest_tick(spark, sf_dir):
     return tk.latest_tick(fx.event_ticks(spark, sf_dir), ["batch", "symbol"])
@@ -329,6 +404,33 @@ def q_windowed_alerts(spark, sf_dir):
     return _alert_out(w, ["window_start", "window_end"])
 
 
+def _day_folders(spark, sf_dir, *columns) -> str:
+    """Ticks landed as day folders, one file for each day: a source for the stream queries."""
+    path = scratch_path(spark, "stream_src")
+    ticks = fx.event_ticks(spark, sf_dir).select(*columns, "batch")
+    ticks.repartition("batch").write.mode("overwrite").partitionBy("batch").parquet(path)
+    return path
+
+
+@register("micro_batch_alerts")
+def q_micro_batch_alerts(spark, sf_dir):
+    """The alert stream itself: a day of ticks a trigger, its alerts written batch by batch and read back."""
+    stream = stream_alerts.read_tick_stream(
+        spark, "parquet", _day_folders(spark, sf_dir, "symbol", "price", "timestamp", "event_id"),
+        schema="symbol string, price double, timestamp timestamp, event_id long, batch date",
+        options={"maxFilesPerTrigger": "1"},
+    )
+    sink = scratch_path(spark, "micro_batch_alerts")
+    q = stream_alerts.start_alert_stream(stream.drop("batch"), sink, available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")
+    out = sk.read_alerts(spark, sink, view=None)
+    return out.select(
+        "symbol", "alert_type", F.round("metric_value", METRIC_DECIMALS).alias("metric_value"), "threshold_value", "price_at_alert"
+    )
+
+
 # --- streaming ----------------------------------------------------------------
 
 STREAM_FILES_PER_TRIGGER = 8

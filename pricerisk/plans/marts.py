@@ -18,7 +18,7 @@ from pricerisk.operators.correlation import correlation_matrix
 from pricerisk.operators.portfolio import portfolio_summary
 from pricerisk.operators.returns import daily_returns
 from pricerisk.operators.risk import risk_metrics
-from pricerisk.sinks.writers import materialize
+from pricerisk.sinks.writers import open_table, publish_table
 
 CORE_TABLE = "int_stock_daily"
 MART_TABLES = ("mart_risk_metrics", "mart_portfolio_summary", "mart_correlation")
@@ -32,19 +32,34 @@ class Marts:
     correlation: DataFrame
 
 
-def build_core(prices: DataFrame, *, base: str | None = None) -> DataFrame:
-    """Compute and materialise the core daily table (layer ``core``)."""
-    return materialize(daily_returns(prices), "core", CORE_TABLE, base=base)
+def build_core(prices: DataFrame, *, base: str | None = None, key: str | None = None, name: str = CORE_TABLE) -> DataFrame:
+    """Compute and publish the core daily table (layer ``core``).
 
+    ``key`` names what ``prices`` were read from (see
+    :func:`pricerisk.session.fingerprint`): a core table published under the
+    same key is found and not built again, in this session or a later one.
+    """
+    if key is not None:
+        found = open_table(prices.sparkSession, "core", name, base=base, key=key)
+        if found is not None:
+            return found
+    return publish_table(daily_returns(prices), "core", name, base=base, key=key or "")
+
+
+def build_marts(
+    prices: DataFrame, *, base: str | None = None, concurrent: bool = True, key: str | None = None
+) -> Marts:
+    """Build core, then the risk, portfolio and correlation marts; return the published tables.
 
-def build_marts(prices: DataFrame, *, base: str | None = None, concurrent: bool = True) -> Marts:
-    """Build core, then the risk, portfolio and correlation marts; return the written tables.
+    Each table is a durable one (:func:`pricerisk.sinks.writers.publish_table`):
+    it is swapped in when it is whole, and a later session finds it. ``key``
+    lets a core table that was built from the same prices be used again.
 
     The three marts only read core, so with ``concurrent`` their jobs are
     submitted together from a small thread pool and share the cluster's
     task slots instead of waiting for one another.
     """
-    core = build_core(prices, base=base)
+    core = build_core(prices, base=base, key=key)
     plans = {
         MART_TABLES[0]: risk_metrics(core),
         MART_TABLES[1]: portfolio_summary(core),
@@ -52,8 +67,8 @@ def build_marts(prices: DataFrame, *, base: str | None = None, concurrent: bool
     }
     if concurrent:
         with ThreadPoolExecutor(max_workers=len(plans)) as pool:
-            futures = {n: pool.submit(materialize, df, "marts", n, base=base) for n, df in plans.items()}
+            futures = {n: pool.submit(publish_table, df, "marts", n, base=base) for n, df in plans.items()}
             out = {n: f.result() for n, f in futures.items()}
     else:
-        out = {n: materialize(df, "marts", n, base=base) for n, df in plans.items()}
+        out = {n: publish_table(df, "marts", n, base=base) for n, df in plans.items()}
     return Marts(core, out[MART_TABLES[0]], out[MART_TABLES[1]], out[MART_TABLES[2]])

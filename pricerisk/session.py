@@ -10,6 +10,7 @@ sessions.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import sys
 import tempfile
@@ -114,6 +115,24 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return p
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path in it: any storage that Spark itself can reach."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def fingerprint(spark: SparkSession, *paths: str) -> str:
+    """A name for what files or folders hold now: their files' names, lengths and times of change."""
+    seen = []
+    for path in paths:
+        fs, p = file_system(spark, path)
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            st = files.next()
+            seen.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return hashlib.sha256(repr(sorted(seen)).encode()).hexdigest()[:24]
+
+
 def ship_code_to_workers() -> None:
     """Pickle this package's functions by value for Python workers.
 

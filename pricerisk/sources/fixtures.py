@@ -220,6 +220,21 @@ def tick_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("event_id"), body.cast("binary").alias("body"))
 
 
+def faulty_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upload requests, every 7th of them not JSON, every 9th without a date, and every 20th with text for
+    its first record's open.
+    """
+    r = upload_requests(spark, sf_dir)
+    first = F.regexp_replace(F.col("body"), r'^(.*?open\\?":)[0-9.eE+-]+', "$1\"n/a\"")
+    faulty = F.when(F.col("request_id") % 20 == 10, first).otherwise(F.col("body"))
+    body = (
+        F.when(F.col("request_id") % 7 == 6, F.concat(F.lit("<html>"), F.col("body")))
+        .when(F.col("request_id") % 9 == 8, F.regexp_replace("body", r',"date":"[0-9-]{10}"}$', "}"))
+        .otherwise(faulty)
+    )
+    return r.select("request_id", body.alias("body"))
+
+
 def upload_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upload request bodies carrying price records and a run date.
 
@@ -240,7 +255,7 @@ def upload_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(STANDIN_INGESTED_AT).alias("ingested_at"),
     )
     g = t.groupBy(F.floor(F.col("event_id") / PAYLOAD_RECORDS).alias("request_id")).agg(
-        F.collect_list(rec).alias("records"), F.date_add(F.max("batch"), 1).alias("run_date")
+        F.sort_array(F.collect_list(rec)).alias("records"), F.date_add(F.max("batch"), 1).alias("run_date")
     )
     run = F.date_format("run_date", "yyyy-MM-dd").alias("date")
     as_array = F.to_json(F.struct(F.col("records").alias("data"), run))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricerisk.functions.expressions import epoch_ns_to_date
+from pricerisk.functions.expressions import epoch_ns_to_date, iso_utc_string, utc_today
 from pricerisk.schemas import RAW_PRICE
 
 # Schema of one record in a price payload (the ingest response body).
@@ -127,16 +127,17 @@ def universe(spark: SparkSession, tickers: Sequence | str | None = None) -> Data
     return spark.createDataFrame(rows, "position long, symbol string, name string")
 
 
-def universe_filter(df: DataFrame, tickers: DataFrame, *, broadcast_universe: bool = True) -> DataFrame:
+def universe_filter(df: DataFrame, tickers: DataFrame) -> DataFrame:
     """Keep rows whose symbol is in the universe (left semi join).
 
-    A universe built from a configuration list has as many rows as the list,
-    a bound known up front, so it is broadcast by default; pass
-    ``broadcast_universe=False`` for a universe read from a large table and
-    let the planner measure it.
+    The planner measures the universe: a configured list is broadcast because
+    its size is known to be small, a universe read from a large table is
+    joined by shuffling. The universe also filters the scan at run time: where
+    ``df`` is partitioned by symbol on storage, folders of other symbols are
+    not read (dynamic partition pruning); with the session's Bloom filter
+    join on, a large shuffled side is thinned out before its shuffle.
     """
-    u = tickers.select("symbol")
-    return df.join(F.broadcast(u) if broadcast_universe else u, "symbol", "left_semi")
+    return df.join(tickers.select("symbol"), "symbol", "left_semi")
 
 
 # Fixed value: default history window, in days, ending today.
@@ -148,8 +149,6 @@ def load_history(
     tickers: DataFrame | None,
     start=None,
     end=None,
-    *,
-    broadcast_universe: bool = True,
 ) -> DataFrame:
     """Bars of the universe in ``[start, end)`` (end exclusive).
 
@@ -157,11 +156,11 @@ def load_history(
     The date predicate is a plain comparison, so it reaches the Parquet scan
     as a pushed filter (and prunes folders when ``date`` is a partition column).
     """
-    end_c = F.lit(end).cast("date") if end is not None else F.current_date()
+    end_c = F.lit(end).cast("date") if end is not None else utc_today()
     start_c = F.lit(start).cast("date") if start is not None else F.date_sub(end_c, DEFAULT_HISTORY_DAYS)
     out = prices.filter((F.col("date") >= start_c) & (F.col("date") < end_c))
     if tickers is not None:
-        out = universe_filter(out, tickers, broadcast_universe=broadcast_universe)
+        out = universe_filter(out, tickers)
     return out
 
 
@@ -257,6 +256,85 @@ def reject_counts(rejected: DataFrame) -> DataFrame:
     return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def to_raw(rows: DataFrame, ingested_at: str | Column | None = None) -> DataFrame:
+    """Price rows in the raw layer's schema, whatever they came from.
+
+    ``date`` may be a TIMESTAMP, a DATE, ISO-8601 text or epoch nanoseconds
+    already; it becomes epoch nanoseconds, in UTC whatever the session's zone
+    (a DATE is its UTC midnight). Missing columns are NULL and others are left
+    out, but for ``dt``, which names the landing folder. Rows without
+    ``ingested_at`` get the given one, or the current UTC time.
+    """
+    kind = rows.schema["date"].dataType
+    date = F.col("date")
+    if isinstance(kind, T.StringType):
+        date, kind = F.to_timestamp(date), T.TimestampType()
+    if isinstance(kind, T.DateType):
+        micros = F.unix_date(date).cast("long") * 86_400_000_000
+    elif isinstance(kind, T.TimestampNTZType):
+        # the wall clock is taken as UTC: undo the session zone that the cast reads it in
+        micros = F.unix_micros(F.from_utc_timestamp(date.cast("timestamp"), F.current_timezone()))
+    elif isinstance(kind, T.TimestampType):
+        micros = F.unix_micros(date)
+    else:
+        micros = None
+    nanos = date.cast("long") if micros is None else micros * 1000
+    if ingested_at is None:
+        stamp = iso_utc_string(F.current_timestamp())
+    else:
+        stamp = F.lit(ingested_at) if isinstance(ingested_at, str) else ingested_at
+    have = set(rows.columns)
+    out = []
+    for f in RAW_PRICE.fields:
+        if f.name == "date":
+            out.append(nanos.alias("date"))
+        elif f.name == "ingested_at":
+            out.append((F.coalesce(F.col("ingested_at").cast("string"), stamp) if "ingested_at" in have else stamp).alias("ingested_at"))
+        else:
+            out.append((F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name))
+    return rows.select(*out, *(["dt"] if "dt" in have else []))
+
+
+_NUMBERS = ("open", "high", "low", "close", "volume")
+
+
+def _checked_records(req: DataFrame) -> DataFrame:
+    """Every record of the requests that can be read: dt, raw (its text) and the reason it cannot be used (null: it can)."""
+    texts = F.from_json("payload", T.ArrayType(T.MapType(T.StringType(), T.StringType())))
+    each = req.where(F.col("reason").isNull()).select("dt", F.explode(texts).alias("r"))
+
+    def bad(name, kind, read):
+        said = F.col("r")[name]
+        return F.when(said.isNotNull() & read(said).isNull(), F.concat(F.lit(f"{name} is no {kind}: "), F.substring(said, 1, 50)))
+
+    faults = [bad("date", "time", F.try_to_timestamp)]
+    faults += [bad(n, "number", lambda c: c.try_cast("double")) for n in _NUMBERS]
+    faults += [F.when(F.col("r")["symbol"].isNull(), "no symbol"), F.when(F.col("r")["date"].isNull(), "no date")]
+    reason = F.concat_ws("; ", *faults)
+    return each.select("dt", "r", F.when(reason != "", reason).alias("reason"))
+
+
+def ingest_requests(df: DataFrame, body_col: str = "body", record_schema: T.StructType = PRICE_RECORD) -> tuple[DataFrame, DataFrame]:
+    """Upload requests -> (rows of the raw layer with ``dt``, rejects with raw text and reason).
+
+    Every request and every record is in one of the two: requests that lack
+    something or do not parse, and records with a field of the wrong type, are
+    rejects; nothing becomes NULL unsaid.
+    """
+    req = _upload_requests(df, body_col, record_schema)
+    records = _checked_records(req)
+    r = F.col("r")
+    rows = records.where(F.col("reason").isNull()).select(
+        F.to_timestamp(r["date"]).alias("date"),
+        r["symbol"].alias("symbol"),
+        *[r[n].cast("double").cast(record_schema[n].dataType).alias(n) for n in _NUMBERS],
+        r["ingested_at"].alias("ingested_at"),
+        F.date_format("dt", "yyyy-MM-dd").alias("dt"),
+    )
+    bad = records.where(F.col("reason").isNotNull()).select(F.to_json("r").alias("raw"), "reason")
+    return to_raw(rows), req.where(F.col("reason").isNotNull()).select("raw", "reason").unionByName(bad)
+
+
 _TUPLE_NAME = re.compile(r"^\(\s*'([^']*)'\s*,.*\)$")
 
 
@@ -280,7 +358,7 @@ def normalize_columns(
     if symbol is not None:
         out = out.withColumn("symbol", F.lit(symbol) if isinstance(symbol, str) else symbol)
     if ingested_at is None:
-        ing = F.concat(F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+        ing = iso_utc_string(F.current_timestamp())
     elif isinstance(ingested_at, str):
         ing = F.lit(ingested_at)
     else:
@@ -288,12 +366,36 @@ def normalize_columns(
     return out.withColumn("ingested_at", ing)
 
 
+def union_all_sources(sources: Iterable[DataFrame], *, tag: str | None = None, require_rows: bool = True) -> DataFrame:
+    """UNION ALL by column name in one pass; no job runs while the plan is built.
+
+    The columns are those of all sources, empty ones too, so the schema does
+    not depend on the data; missing columns are NULL. ``tag`` names a column
+    with each row's source number (from 0). With ``require_rows``, running the
+    plan raises an error if all sources are empty: a branch of its own, which
+    gives no row, counts the sources' rows (for stored tables from their
+    footers).
+    """
+    sources = list(sources)
+    if not sources:
+        raise ValueError("No sources.")
+    tagged = [s.withColumn(tag, F.lit(k)) for k, s in enumerate(sources)] if tag else sources
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    if not require_rows:
+        return out
+    counts = reduce(lambda a, b: a.union(b), [s.agg(F.count(F.lit(1)).alias("n")) for s in sources])
+    empty = counts.agg(F.sum("n").alias("n")).filter(F.col("n") == 0)
+    raised = empty.select(F.raise_error(F.lit("No data fetched for any source.")).cast("string").alias("_e"))
+    guard = raised.select(*[F.col("_e").cast(f.dataType).alias(f.name) if isinstance(f.dataType, T.AtomicType) else F.from_json("_e", f.dataType).alias(f.name) for f in out.schema.fields])
+    return out.unionByName(guard)
+
+
 def union_sources(sources: Iterable[DataFrame]) -> DataFrame:
     """UNION ALL by column name; missing columns are NULL.
 
     Empty sources are skipped (so their columns do not appear); if every
     source is empty a ``ValueError`` is raised. Emptiness is a ``LIMIT 1``
-    probe per source.
+    probe per source; :func:`union_all_sources` has a fixed schema and no probes.
     """
     non_empty = [s for s in sources if not s.isEmpty()]
     if not non_empty:

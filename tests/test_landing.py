@@ -1,0 +1,168 @@
+"""Payload -> raw layer -> staging, with rejects, in any session time zone."""
+
+import datetime as dt
+import json
+import os
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from pricerisk.operators import portfolio as pf
+from pricerisk.sinks import writers as sk
+from pricerisk.sources import prices as src
+
+ZONES = ["UTC", "America/New_York", "Asia/Tokyo"]
+
+
+@pytest.fixture(params=ZONES)
+def zone(spark, request):
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def _record(day, symbol="QQ1.L", **more):
+    return {"date": f"2025-03-{day:02d}T00:30:00+00:00", "symbol": symbol, "open": 7.5, "high": 8.0, "low": 7.25, "close": 7.75, "volume": 11,
+            "ingested_at": "2025-04-01T00:00:00+00:00"} | more
+
+
+def _bodies(spark, bodies):
+    return spark.createDataFrame([(b if isinstance(b, str) else json.dumps(b),) for b in bodies], "body string")
+
+
+BODIES = [
+    {"data": [_record(1), _record(2, volume="12")], "date": "2025-04-01"},
+    {"data": json.dumps([_record(3, close=None)]), "date": "2025-04-02"},
+    {"data": [_record(4, open="n/a"), _record(5, symbol=None), _record(6, date="someday"), _record(7)], "date": "2025-04-02"},
+    {"data": [_record(8)]},
+    "<html>",
+    {"data": "[{", "date": "2025-04-02"},
+    {"data": [], "date": "2025-04-03"},
+    {"data": [_record(9)], "date": "never"},
+]
+
+
+def test_requests_land_and_stage_in_any_zone(spark, tmp_dir, zone):
+    rows, rejects = src.ingest_requests(_bodies(spark, BODIES))
+    assert sk.land_run(rows, rejects, tmp_dir, "r1") == {"rows": 4, "rejects": 7}
+    staged = src.stage_prices(src.read_raw_prices(spark, os.path.join(tmp_dir, sk.RAW_PREFIX)))
+    got = sorted((r.date.isoformat(), r.open, r.close, r.volume, r.ingested_at) for r in staged.collect())
+    at = "2025-04-01T00:00:00+00:00"
+    assert got == [
+        ("2025-03-01", 7.5, 7.75, 11, at), ("2025-03-02", 7.5, 7.75, 12, at), ("2025-03-03", 7.5, None, 11, at), ("2025-03-07", 7.5, 7.75, 11, at)
+    ]
+    assert sorted(n for n in os.listdir(os.path.join(tmp_dir, sk.RAW_PREFIX)) if n.startswith("dt=")) == ["dt=2025-04-01", "dt=2025-04-02"]
+    reasons = sorted(r.reason for r in spark.read.parquet(os.path.join(tmp_dir, "rejects", "run=r1")).collect())
+    assert reasons == ["body does not parse", "data does not parse", "date does not parse", "date is no time: someday", "missing data or date",
+                       "no symbol", "open is no number: n/a"]
+    assert not os.path.exists(os.path.join(tmp_dir, "_landing", "r1"))
+
+
+def test_a_run_again_replaces_its_dates_only(spark, tmp_dir):
+    def land(run, *bodies):
+        return sk.land_run(*src.ingest_requests(_bodies(spark, bodies)), tmp_dir, run)
+
+    land("a", {"data": [_record(1), _record(2)], "date": "2025-04-01"}, {"data": [_record(3)], "date": "2025-04-02"})
+    land("b", {"data": [_record(1)], "date": "2025-04-01"}, "broken")
+    raw = src.read_raw_prices(spark, os.path.join(tmp_dir, sk.RAW_PREFIX), keep_dt=True)
+    assert sorted((str(r.dt), r["count"]) for r in raw.groupBy("dt").count().collect()) == [("2025-04-01", 1), ("2025-04-02", 1)]
+    assert sorted(os.listdir(os.path.join(tmp_dir, "rejects"))) == ["run=a", "run=b"]
+
+
+def test_a_run_that_fails_while_writing_changes_nothing(spark, tmp_dir):
+    rows, rejects = src.ingest_requests(_bodies(spark, BODIES))
+    sk.land_run(rows, rejects, tmp_dir, "ok")
+    bad = rejects.withColumn("raw", F.raise_error(F.lit("disk full")).cast("string"))
+    with pytest.raises(PySparkException):
+        sk.land_run(rows.limit(1), bad, tmp_dir, "bad")
+    assert src.read_raw_prices(spark, os.path.join(tmp_dir, sk.RAW_PREFIX)).count() == 4
+    assert not sk.commit_run(spark, tmp_dir, "bad")
+
+
+def test_a_commit_that_was_cut_off_is_ended_by_the_next(spark, tmp_dir, monkeypatch):
+    rows, rejects = src.ingest_requests(_bodies(spark, BODIES))
+    monkeypatch.setattr(sk, "commit_run", lambda *a: None)
+    sk.land_run(rows, rejects, tmp_dir, "cut")
+    monkeypatch.undo()
+    os.makedirs(os.path.join(tmp_dir, sk.RAW_PREFIX))
+    staged = os.path.join(tmp_dir, "_landing", "cut", sk.RAW_PREFIX)
+    os.rename(os.path.join(staged, "dt=2025-04-01"), os.path.join(tmp_dir, sk.RAW_PREFIX, "dt=2025-04-01"))  # as far as it came
+    assert sk.commit_run(spark, tmp_dir, "cut")
+    assert src.read_raw_prices(spark, os.path.join(tmp_dir, sk.RAW_PREFIX)).count() == 4
+    assert not sk.commit_run(spark, tmp_dir, "cut")
+
+
+def test_to_raw_takes_every_kind_of_date(spark, zone):
+    ns = 1_740_787_200_000_000_000  # 2025-03-01 00:00 UTC
+    d = spark.sql("select date'2025-03-01' as date, 'A' as symbol, 1.5D as close")
+    kinds = {
+        "date": d,
+        "ntz": d.withColumn("date", F.lit("2025-03-01 00:00:00").cast("timestamp_ntz")),
+        "timestamp": d.withColumn("date", F.lit("2025-03-01T00:00:00+00:00").cast("timestamp")),
+        "text": d.withColumn("date", F.lit("2025-03-01T00:00:00+00:00")),
+        "nanos": d.withColumn("date", F.lit(ns)),
+    }
+    for name, df in kinds.items():
+        r = src.to_raw(df, ingested_at="t").first()
+        assert (r.date, r.symbol, r.close, r.open, r.ingested_at) == (ns, "A", 1.5, None, "t"), (zone, name)
+
+
+def test_default_stamp_is_utc(spark, zone):
+    r = src.normalize_columns(spark.createDataFrame([(1.0,)], "Close double"), symbol="QQ1.L").first()
+    stamp = dt.datetime.fromisoformat(r.ingested_at)
+    assert stamp.utcoffset() == dt.timedelta(0)
+    assert abs((dt.datetime.now(dt.timezone.utc) - stamp).total_seconds()) < 120
+
+
+def test_union_all_sources_plans_without_jobs_and_raises_when_run(spark):
+    a = spark.createDataFrame([(1, "x")], "id int, a string")
+    b = spark.createDataFrame([], "id int, b array<int>")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("union", "union")
+    try:
+        both = src.union_all_sources([a, b], tag="source")
+        none = src.union_all_sources([b, b])
+        assert list(tracker.getJobIdsForGroup("union")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert both.columns == ["id", "a", "source", "b"]
+    assert [tuple(r) for r in both.collect()] == [(1, "x", 0, None)]
+    with pytest.raises(PySparkException, match="No data fetched"):
+        none.collect()
+    assert src.union_all_sources([b, b], require_rows=False).collect() == []
+    with pytest.raises(ValueError):
+        src.union_all_sources([])
+
+
+def test_universe_prunes_folders_at_run_time(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "by_symbol")
+    rows = spark.range(400).selectExpr("concat('S', id % 40) as symbol", "cast(id as double) as close", "date'2025-01-01' as date")
+    rows.write.partitionBy("symbol").parquet(path)
+    wanted = spark.createDataFrame([("S3", 1), ("S7", 0), ("none", 1)], "symbol string, active int")
+    wanted.write.parquet(os.path.join(tmp_dir, "universe"))
+    u = spark.read.parquet(os.path.join(tmp_dir, "universe")).filter("active = 1")
+    got = src.load_history(spark.read.parquet(path), u, "2025-01-01", "2025-01-02")
+    assert got.count() == 10
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+
+
+def test_base_prices_skip_a_holiday_week(spark):
+    day = lambda k: dt.date(2025, 5, k)
+    rows = [(day(k), "A", float(k)) for k in (1, 2, 12, 13, 14)] + [(day(2), "B", 5.0), (day(1), "C", 9.0)]
+    df = spark.createDataFrame(rows, "date date, symbol string, close double")
+    u = src.universe(spark, ["A", "B", "C"])
+    of = lambda **kw: {r.symbol: r.base_price for r in pf.base_prices(df, u, **kw).collect()}
+    assert of() == {"A": 14.0, "B": 100.0, "C": 100.0}  # five calendar days reach back to the 10th
+    assert of(trading_days=True, lookback_days=4) == {"A": 14.0, "B": 5.0, "C": 100.0}
+    assert of(trading_days=True) == {"A": 14.0, "B": 5.0, "C": 9.0}
+    assert of(trading_days=True, lookback_days=2, as_of="2025-05-12") == {"A": 12.0, "B": 5.0, "C": 100.0}
+
+
+def test_messages_keep_every_digit(spark):
+    rows = [("A", 0.00001234, 1e16, 11, dt.datetime(2025, 1, 1))]
+    t = spark.createDataFrame(rows, "symbol string, price double, prev_price double, volume long, timestamp timestamp").withColumn("change_pct", F.lit(1.5))
+    body = json.loads(sk.to_keyed_messages(t, decimals=None).first().value)
+    assert body["price"] == 0.00001234 and body["prev_price"] == 1e16
+    assert json.loads(sk.to_keyed_messages(t).first().value)["prev_price"] == 1e16
