@@ -1,7 +1,7 @@
 """Runnable jobs: the batch build from landed raw files and the alert stream.
 
 ``python -m pricerisk.plans.jobs batch --raw <root> [--out <base>] [--dt-from D] [--dt-to D] [--dedup]``
-``python -m pricerisk.plans.jobs alerts --format json --path <dir> --sink <dir> [--schema ...]``
+``python -m pricerisk.plans.jobs alerts --format json --path <dir> --sink <dir>``
 """
 
 from __future__ import annotations
