@@ -12,8 +12,9 @@ fingerprint that it may link to, and the full 64 bits decide.
 
 Equal fingerprints are one node before any of this. Per anchor, links are
 reduced to a star for each linked set, so a clique of n fingerprints gives
-n - 1 edges and not n squared. Components come from rounds of minimum
-propagation over these edges; every round is written to the shared folder.
+n - 1 edges and not n squared. Components come from rounds of mates over these
+edges, each of which halves the nodes; every round is written to the shared
+folder.
 
 Defined results: null or wordless texts have fingerprint zero and link like
 any other; repeated rows share a component; a null doc_id counts as larger
@@ -256,26 +257,45 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return spread.repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(run, EDGES).distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def _mates(live: DataFrame) -> DataFrame:
+    """(a, to): every node with an edge points into its tree, whose root points to itself.
+
+    A node points to its smallest neighbour, which is its least edge in the
+    order of (smaller end, larger end). Least edges make no circle but between
+    two nodes that chose each other; of these the smaller is the root. So each
+    tree has two nodes or more, whatever the names of the nodes.
+    """
+    both = live.select("a", "b").union(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    hop = written(both.groupBy("a").agg(F.min("b").alias("to")), "hop")
+    back = hop.select(F.col("a").alias("to"), F.col("to").alias("again"))
+    root = (F.col("again") == F.col("a")) & (F.col("a") < F.col("to"))
+    return hop.join(back, "to").select("a", F.when(root, F.col("a")).otherwise(F.col("to")).alias("to"))
+
+
+def _to_roots(hop: DataFrame) -> DataFrame:
+    """(a, to) with ``to`` the root of each tree: pointers double until none moves."""
+    hop = written(hop, "hop")
+    while True:
+        ahead = hop.select(F.col("a").alias("to"), F.col("to").alias("next"))
+        moved = hop.join(ahead, "to").select("a", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved"))
+        moved = written(moved, "hop")
+        hop = moved.select("a", "to")
+        if moved.where("moved").isEmpty():
+            return hop
+
+
+def components(edges: DataFrame) -> DataFrame:
     """(fp, root) of every fingerprint with an edge: root is the smallest fingerprint it reaches.
 
-    Each round points every node at the smallest root among its neighbours'
-    roots, moves the edges to the roots, and drops edges inside one root.
-    Chains halve by the pointer step, so rounds grow with the logarithm of a
-    component's width. ``max_rounds`` is a guard that raises, not a cut.
+    Rounds of mates: each round makes one node of every tree, which has two
+    nodes at least, so the nodes that are left halve and rounds grow with the
+    logarithm of their number; within a round, pointers double, so steps grow
+    with the logarithm of a tree's depth. Both hold for any names and shapes.
     """
-    live = written(edges, "edges")
+    live = written(edges.where("a <> b"), "edges")
     nodes = written(live.select(F.col("a").alias("fp")).union(live.select("b")).distinct().select("fp", F.col("fp").alias("root")), "roots")
-    for _ in range(max_rounds):
-        if live.isEmpty():
-            return nodes
-        both = live.select("a", "b").union(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        # the smallest neighbour of every root, itself included, then that one's own choice
-        hop = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("to"))
-        hop = written(hop, "hop")
-        ahead = hop.select(F.col("a").alias("to"), F.col("to").alias("next"))
-        hop = hop.join(ahead, "to", "left").select("a", F.coalesce("next", "to").alias("to"))
-        hop = written(hop, "hop")
+    while not live.isEmpty():
+        hop = _to_roots(_mates(live))
         nodes = written(
             nodes.join(hop, nodes["root"] == hop["a"], "left").select("fp", F.coalesce("to", "root").alias("root")), "roots"
         )
@@ -283,7 +303,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         right = hop.select(F.col("a").alias("y"), F.col("to").alias("rb"))
         moved = live.join(left, live["a"] == left["x"]).join(right, live["b"] == right["y"])
         live = written(moved.where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "edges")
-    raise RuntimeError("components did not settle")
+    least = nodes.groupBy("root").agg(F.min("fp").alias("least"))
+    return nodes.join(least, "root").select("fp", F.col("least").alias("root"))
 
 
 def grouped(

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -110,3 +111,39 @@ def test_same_hash_as_spark(spark):
     df = spark.createDataFrame([("a b c",), ("é🙂 x " * 20,)], "t string")
     for r in df.select("t", F.xxhash64("t").alias("h")).collect():
         assert r.h % 2**64 == xxhash.xxh64(r.t.encode(), seed=42).intdigest()
+
+
+@pytest.mark.parametrize("order", ["rising", "falling", "shuffled", "zigzag"])
+def test_components_of_paths_in_few_rounds(spark, order, monkeypatch):
+    import pricerisk.llm.simhash as sh
+
+    n = 10_000
+    names = list(range(n))
+    if order == "falling":
+        names.reverse()
+    elif order == "shuffled":
+        random.Random(4).shuffle(names)
+    elif order == "zigzag":
+        names = [x for pair in zip(names[: n // 2], reversed(names[n // 2 :])) for x in pair]
+    rounds = []
+    mates = sh._mates
+    monkeypatch.setattr(sh, "_mates", lambda live: rounds.append(1) or mates(live))
+    edges = [(max(a, b), min(a, b)) for a, b in zip(names, names[1:])]
+    got = components(spark.createDataFrame(edges, "a long, b long")).groupBy("root").count().collect()
+    assert [(r.root, r["count"]) for r in got] == [(0, n)]
+    assert len(rounds) <= 14  # log2 of the nodes
+
+
+def test_components_of_random_graphs(spark):
+    rnd = random.Random(12)
+    for n, m in ((30, 15), (200, 150), (300, 900)):
+        edges = [(rnd.randrange(-n, n), rnd.randrange(-n, n)) for _ in range(m)]
+        of = {x: {x} for e in edges for x in e}
+        for a, b in edges:
+            if of[a] is not of[b]:
+                of[a] |= of[b]
+                for x in of[b]:
+                    of[x] = of[a]
+        got = {r.fp: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        linked = {x for a, b in edges if a != b for x in (a, b)}
+        assert got == {x: min(of[x]) for x in linked}
