@@ -64,14 +64,20 @@ WITH grid(rule, place, cutoff) AS (
     length(regexp_replace(t, '[^\\p{Lu}]', '', 'g')) AS caps,
     length(regexp_replace(t, '[^!]', '', 'g')) AS shouts
   FROM docs d LEFT JOIN repeats r USING (doc_id)
+), shares AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0 END AS s1,
+    CASE WHEN word_chars > 0 THEN caps / word_chars ELSE 0 END AS s2,
+    CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS s3,
+    CASE WHEN n_words > 0 THEN shouts / n_words ELSE 0 END AS s4
+  FROM base
 ), counted AS (
-  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base
+  -- the first of a doc_id's rows that pass the base rule stands for it among the labelled
+  SELECT *, row_number() OVER (PARTITION BY doc_id, base_failed ORDER BY stratum, s1, s2, s3, s4) AS copy FROM shares
 ), signals AS (
-  SELECT doc_id, stratum, base_failed, unnest([
-    {'rule': 'symbol_share', 'v': CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0 END},
-    {'rule': 'capital_share', 'v': CASE WHEN word_chars > 0 THEN caps / word_chars ELSE 0 END},
-    {'rule': 'dup_line_share', 'v': CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END},
-    {'rule': 'shout_share', 'v': CASE WHEN n_words > 0 THEN shouts / n_words ELSE 0 END}], recursive := true)
+  SELECT doc_id, stratum, base_failed, copy, unnest([
+    {'rule': 'symbol_share', 'v': s1}, {'rule': 'capital_share', 'v': s2},
+    {'rule': 'dup_line_share', 'v': s3}, {'rule': 'shout_share', 'v': s4}], recursive := true)
   FROM counted
 ), truth AS (
   SELECT doc_id, min(quality) AS q FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
@@ -80,7 +86,7 @@ WITH grid(rule, place, cutoff) AS (
     count(*) FILTER (q > 0) AS n_good, count(*) FILTER (q <= 0) AS n_bad,
     count(*) FILTER (q > 0 AND v > cutoff) AS k_good, count(*) FILTER (q <= 0 AND v > cutoff) AS k_bad
   FROM signals s JOIN truth USING (doc_id) JOIN grid g ON s.rule = g.rule
-  WHERE NOT base_failed GROUP BY ALL
+  WHERE NOT base_failed AND copy = 1 GROUP BY ALL
 ), tested AS (
   SELECT *, CASE WHEN k_good >= n_good * 0.0125 THEN 1 ELSE (
     SELECT sum(exp(lgamma(n_good + 1) - lgamma(j + 1) - lgamma(n_good - j + 1) + j * ln(0.0125) + (n_good - j) * ln(0.9875)))

@@ -22,10 +22,11 @@ labelled document serves as holdout. All labelled documents that pass the base
 rule count, at any size.
 
 Defined results: null text has no words and fails the base rule; a null
-stratum is a stratum of its own; a stratum without enough good labels keeps
+stratum is the stratum ''; a stratum without enough good labels keeps
 everything that passes the base rule; documents with several labels count as
-bad if any label is; repeated rows are judged one by one and equally; extra
-columns are ignored; an empty table gives an empty result.
+bad if any label is; repeated rows are judged one by one and equally, and a
+labelled doc_id counts once for the certificate however many rows it has (see
+``labelled_once``); extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -48,8 +49,6 @@ GRID = {
     "dup_line_share": (0.9, 0.7, 0.5, 0.4, 0.3, 0.2, 0.15, 0.1, 0.05),
     "shout_share": (0.5, 0.3, 0.2, 0.15, 0.1, 0.05, 0.03, 0.02, 0.01),
 }
-#: Strata up to this many have their cutoffs broadcast; more are joined.
-BROADCAST_STRATA = 10_000
 
 
 def _count_of(text: Column, marks: str) -> Column:
@@ -179,6 +178,24 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(kd >= nd * p, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.exp(top) * total))
 
 
+def labelled_once(counted: DataFrame, labels: DataFrame, rules: list[str]) -> DataFrame:
+    """stratum, _quality and the signals of each labelled doc_id that passes the base rule, once.
+
+    The binomial bounds need independent holdouts, and copies of a row are
+    none: of the rows of a doc_id the one with the smallest (stratum, signals)
+    counts, whatever their number.
+    """
+    truth = (
+        pick(labels, "doc_id", "quality")
+        .where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
+        .groupBy(F.col("doc_id").alias("_label_id"))
+        .agg(F.min("quality").alias("_quality"))
+    )
+    known = counted.where(~F.col("base_failed")).join(truth, F.col("doc_id") == F.col("_label_id"))
+    one = known.groupBy("_label_id").agg(F.min(F.struct("stratum", *rules, "_quality")).alias("k"))
+    return one.select("k.*")
+
+
 def select_cutoffs(
     counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, grid: dict | None = None
 ) -> DataFrame:
@@ -189,13 +206,7 @@ def select_cutoffs(
     else, so what follows is as small as the grid times the strata.
     """
     grid = grid or GRID
-    truth = (
-        pick(labels, "doc_id", "quality")
-        .where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
-        .groupBy(F.col("doc_id").alias("_label_id"))
-        .agg(F.min("quality").alias("_quality"))
-    )
-    known = counted.where(~F.col("base_failed")).join(truth, F.col("doc_id") == F.col("_label_id"))
+    known = labelled_once(counted, labels, list(grid))
     # how many of a rule's cutoffs, mildest first, the signal exceeds: all from place `size - passed` on
     places = F.array(
         *[
@@ -219,9 +230,8 @@ def select_cutoffs(
         F.sum("bad").alias("n_bad"),
         F.collect_list(F.struct("exceeded", "good", "bad")).alias("t"),
     )
-    # one entry for each grid place at most
-    pairs = per_pair.where(F.col("n_good") > 0).agg(F.collect_set(F.struct("stratum", "rule")).alias("s"))
-    n_pairs = pairs.select(F.greatest(F.size("s"), F.lit(1)).alias("n_pairs"))
+    # one row for each pair: an aggregate of counts
+    n_pairs = per_pair.where(F.col("n_good") > 0).agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("n_pairs"))
     cutoffs = F.create_map(
         *[x for rule, cs in grid.items() for x in (F.lit(rule), F.array(*[F.lit(float(c)) for c in cs]))]
     )
@@ -273,13 +283,7 @@ def select_joint_cutoffs(
     """
     grid = grid or GRID
     rules, n_rules = list(grid), len(grid)
-    truth = (
-        pick(labels, "doc_id", "quality")
-        .where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
-        .groupBy(F.col("doc_id").alias("_label_id"))
-        .agg(F.min("quality").alias("_quality"))
-    )
-    known = counted.where(~F.col("base_failed")).join(truth, F.col("doc_id") == F.col("_label_id"))
+    known = labelled_once(counted, labels, list(grid))
 
     # the place of the mildest cutoff that the signal exceeds, null if none
     def first_place(rule: str) -> Column:
@@ -368,8 +372,6 @@ def judge(
     by_stratum = chosen.groupBy(F.col("stratum").alias("_s")).agg(
         F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("_cutoffs")
     )
-    if by_stratum.count() <= BROADCAST_STRATA:
-        by_stratum = F.broadcast(by_stratum)
     joined = counted.join(by_stratum, F.col("stratum") == F.col("_s"), "left")
     failed = F.filter(
         F.array(*[F.when(F.col(rule) > F.col("_cutoffs")[rule], F.lit(rule)) for rule in grid]), lambda x: x.isNotNull()

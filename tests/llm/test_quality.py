@@ -2,6 +2,7 @@ import math
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from pricerisk.llm.quality import base_counts, binomial_tail, judge
@@ -97,3 +98,32 @@ def test_joint_cutoffs_need_few_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     odd = clashing(documents(spark, [(*r, None) for r in ODD_TEXTS]))
     assert all(r.kept == (not r.base_failed) for r in judge(odd, none, joint=True).collect())
+
+
+@pytest.mark.parametrize("joint", [False, True])
+def test_copies_are_no_evidence(spark, joint):
+    """Three good documents two hundred times over certify no more than the three."""
+    rnd = random.Random(9)
+    word = lambda: rnd.choice("alpha beta gamma delta".split()) + str(rnd.random())
+    plain = lambda: " ".join(word() for _ in range(55))
+    marked = lambda: " ".join(word() + "###" for _ in range(55))
+    good = [(k, plain(), "en") for k in range(3)]
+    bad = [(10 + k, marked(), "en") for k in range(3)]
+    rows = good * 200 + bad * 200 + [(100 + k, marked(), None) for k in range(5)] + [(200 + k, marked(), "en") for k in range(20)]
+    labels = spark.createDataFrame([(i, 1, 0) for i, *_ in good] + [(i, 0, 0) for i, *_ in bad], "doc_id long, quality int, toxic int")
+    out = judge(documents(spark, rows), labels, joint=joint).collect()
+    assert len(out) == len(rows) and all(r.kept for r in out)
+    assert {r.stratum for r in out} == {"en", ""}
+
+
+def test_the_row_that_stands_for_a_repeated_id_is_fixed(spark):
+    rnd = random.Random(10)
+    word = lambda: rnd.choice("alpha beta gamma delta".split()) + str(rnd.random())
+    text = lambda mark: " ".join(word() + mark for _ in range(55))
+    rows = [(k % 700, text("###" if k % 2 else ""), "en") for k in range(1400)]
+    labels = spark.createDataFrame([(k, k % 3 > 0, 0) for k in range(700)], "doc_id long, quality boolean, toxic int").selectExpr(
+        "doc_id", "int(quality) as quality", "toxic"
+    )
+    docs = documents(spark, rows)
+    want = sorted((r.doc_id, r.kept, r.word_chars) for r in judge(docs, labels).collect())
+    assert sorted((r.doc_id, r.kept, r.word_chars) for r in judge(docs.repartition(7), labels).collect()) == want
