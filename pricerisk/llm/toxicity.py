@@ -16,7 +16,9 @@ the language model and scores cover all documents and whole texts.
 
 Defined results: null and empty texts score like a text without a telling
 word; rows without any label to learn from score 0; conflicting labels of a
-doc_id count as toxic; repeated rows score equally; extra columns are ignored;
+doc_id count as toxic; of repeated rows of a labelled doc_id one is learned
+from (a fixed one, by hash), and all score equally; very long tokens and runs
+of stars are read whole, in time in proportion to their length; extra columns are ignored;
 an empty table gives an empty result.
 """
 
@@ -42,6 +44,8 @@ ORDER = 4
 SAMPLE_ROWS = 8000
 MAX_WORDS = 3000
 MIN_TOXIC_ROWS = 5
+#: Features that begin alike in so many letters are looked for together.
+HEAD = 4
 #: Lengths of the beginnings of words that count as features of their own.
 BEGINNINGS = (4, 5, 6, 7)
 
@@ -54,10 +58,8 @@ LEET = {
 LEET_COST, MARK_COST, DIGIT_COST, STAR_COST = 0.4, 1.0, 6.0, 3.0
 #: Cost of a word's end between letters set apart, beside the language model's.
 GAP_COST = 1.0
-BEAM = 400
-
-#: A run of stars up to this long may stand for letters, one for each; longer than words are, it is nothing.
-MAX_STARS = 16
+#: From so many (state, choice) pairs in one step on, a step is computed as arrays.
+MANY = 4000
 
 
 def _combining() -> str:
@@ -68,6 +70,7 @@ def _combining() -> str:
     return "\u200c\u200d" + "".join(chr(a) + "-" + chr(b) for a, b in spans)
 
 
+_STAR = [("", MARK_COST), *[(x, STAR_COST) for x in LETTERS]]
 _SPACED = re.compile(r"(?<!\S)(?:\S(?:[ \t]{1,2}|[-_.])){2,}\S(?![^\s.,;:!?])")
 _PUNCTUATION = ".,;:!?\"'`#%&*|~^=>)]}…“”„»«-_/\\"
 _LEADING = ".,;:?\"'`#%&*~^=>)]}…“”„»«-_/\\["
@@ -103,12 +106,34 @@ def folded() -> np.ndarray:
     return cache["folded"]
 
 
+class _Folding(dict):
+    """For ``str.translate``: a code point's letter without accents, or nothing."""
+
+    def __missing__(self, code: int) -> str:
+        k = int(folded()[code])
+        letter = self[code] = LETTERS[k - 1] if k else ""
+        return letter
+
+
+_FOLDING = _Folding()
+
+
 def fold(word: str) -> str:
     """Lower-case letters a to z of ``word`` without accents; other characters go."""
     if word.isascii() and word.isalpha():
         return word.lower()
-    table = folded()
-    return "".join(LETTERS[k - 1] for k in (table[ord(c)] for c in word) if k)
+    return word.translate(_FOLDING)
+
+
+class _OtherLetters(dict):
+    """Whether a character is a letter that does not fold to a to z."""
+
+    def __missing__(self, c: str) -> bool:
+        is_other = self[c] = c.isalpha() and not fold(c)
+        return is_other
+
+
+_OTHER = _OtherLetters()
 
 
 def gram_counts(texts: list[str]) -> np.ndarray:
@@ -140,16 +165,29 @@ class CharModel:
         p = (n4 + strength * p) / (n4.sum(3, keepdims=True) + strength)
         self.cost = (-np.log(p)).astype(np.float32)
 
-    def table(self) -> list[list[float]]:
+    def table(self) -> "Costs":
         """Rows of 27 costs by history number: plain lists are quickest for single look-ups."""
-        return self.cost.reshape(-1, SIZE).tolist()
+        return Costs(self.cost.reshape(-1, SIZE).tolist())
+
 
+class Costs(list):
+    """Rows of 27 costs by history number."""
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
+    def __init__(self, rows: list[list[float]]):
+        super().__init__(rows)
+        self.array = np.array(rows, dtype=np.float64)
+        # A star read as a letter costs at least STAR_COST - MARK_COST more than one that is nothing, and can
+        # make no more than the three letters behind the run cheaper, each by the largest cost at most.
+        self.most_stars = int(3 * self.array.max() / (STAR_COST - MARK_COST)) + 1
+
+
+def lattice(token: str, most_stars: int | None = None) -> list[list[tuple[str, float]]]:
     """For each character, or run of one, the letters it may give and the cost of each.
 
     White space within ``token`` (letters set apart) and marks are nothing or a
-    word's end. Each star of a run is a letter or nothing.
+    word's end. Each star of a run is a letter or nothing; ``most_stars`` is
+    how many of a run can be letters on a path of least cost, so that the
+    others, whichever they are, are nothing.
     """
     out: list[list[tuple[str, float]]] = []
     k = 0
@@ -179,10 +217,10 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
                 choices.append((" ", GAP_COST))
             out.append(choices)
         elif c == "*":
-            if run > MAX_STARS:
-                out.append([("", MARK_COST)])
-            else:
-                out += [[("", MARK_COST), *[(x, STAR_COST) for x in LETTERS]]] * run
+            free = run if most_stars is None else min(run, most_stars)
+            if run > free:
+                out.append([("", MARK_COST * (run - free))])
+            out += [_STAR] * free
         elif c.isdigit():
             out.append([("", DIGIT_COST)])
         elif _SIGN.match(c) or c.isalnum():
@@ -192,28 +230,128 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def decode(token: str, costs: list[list[float]]) -> str:
-    """The letters of least cost that ``token`` may stand for: Viterbi over histories of three letters."""
-    states: dict[int, tuple[float, str]] = {0: (0.0, "")}
-    for choices in lattice(token):
-        after: dict[int, tuple[float, str]] = {}
-        for history, (cost, text) in states.items():
-            for letters, price in choices:
-                h, total = history, cost + price
-                for x in letters:
-                    code = ord(x) - 96 if x != " " else 0
-                    total += costs[h][code]
-                    h = (h * SIZE + code) % SIZE**3 if code else 0
-                old = after.get(h)
-                if old is None or total < old[0]:
-                    after[h] = (total, text + letters)
-        if len(after) > BEAM:
-            after = dict(sorted(after.items(), key=lambda x: x[1][0])[:BEAM])
-        states = after
-    return min((cost + costs[h][0], text) for h, (cost, text) in states.items())[1]
-
-
-def restore(token: str, costs: list[list[float]]) -> str:
+def _many_step(states: dict, choices: list[tuple[str, float]], costs: Costs) -> dict:
+    """One step of ``decode`` over all 27^3 histories at once."""
+    rest = SIZE * SIZE  # histories that differ in their oldest letter alone become one
+    start = np.full(SIZE**3, np.inf)
+    start[np.fromiter(states, dtype=np.int64, count=len(states))] = [s[0] for s in states.values()]
+    best, origin, chosen = np.full(SIZE**3, np.inf), np.zeros(SIZE**3, dtype=np.int64), np.zeros(SIZE**3, dtype=np.int64)
+    for k, (letters, price) in enumerate(choices):
+        total, source = start + price, np.arange(SIZE**3)
+        for x in letters:
+            code = ord(x) - 96 if x != " " else 0
+            total = total + costs.array[:, code]
+            now, came = np.full(SIZE**3, np.inf), np.zeros(SIZE**3, dtype=np.int64)
+            if code:
+                at = total.reshape(SIZE, rest).argmin(0) * rest + np.arange(rest)
+                to = np.arange(rest) * SIZE + code
+            else:
+                at, to = np.array([total.argmin()]), np.array([0])
+            now[to], came[to] = total[at], source[at]
+            total, source = now, came
+        better = total < best
+        best[better], origin[better], chosen[better] = total[better], source[better], k
+    out = {}
+    held = np.flatnonzero(np.isfinite(best))
+    for h, cost, before, k in zip(held.tolist(), best[held].tolist(), origin[held].tolist(), chosen[held].tolist()):
+        node, letters = states[before][1], choices[k][0]
+        out[h] = (cost, (letters, node) if letters else node)
+    return out
+
+
+def _written_down(node) -> str:
+    """The letters on the path that ends in ``node``: links of (letters, node before)."""
+    parts = []
+    while node is not None:
+        parts.append(node[0])
+        node = node[1]
+    return "".join(reversed(parts))
+
+
+def _settled(states: dict) -> tuple[str, dict]:
+    """The letters that all paths have in common from their beginning, and the states without them."""
+    paths = []
+    for cost, node in states.values():
+        path = []
+        while node is not None:
+            path.append(node)
+            node = node[1]
+        paths.append(path[::-1])
+    n = 0
+    for nodes in zip(*paths):
+        if any(x is not nodes[0] for x in nodes):
+            break
+        n += 1
+    if not n:
+        return "", states
+    out = {}
+    for (h, (cost, _)), path in zip(states.items(), paths):
+        node = None
+        for letters, _before in path[n:]:
+            node = (letters, node)
+        out[h] = (cost, node)
+    return "".join(x[0] for x in paths[0][:n]), out
+
+
+#: Steps after which a decoder writes down what its paths have in common.
+SETTLE = 2000
+
+
+def decode(token: str, costs: Costs) -> str:
+    """The letters of least cost that ``token`` may stand for: Viterbi over histories of three letters.
+
+    A state keeps its cost and a link to the state before it. What all paths
+    agree on is written down from time to time, so long tokens take time and
+    memory in proportion to their length.
+    """
+    states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
+    done: list[str] = []
+    for step, choices in enumerate(lattice(token, costs.most_stars)):
+        if len(states) * len(choices) > MANY:
+            states = _many_step(states, choices, costs)
+        else:
+            after: dict[int, tuple[float, tuple | None]] = {}
+            for history, (cost, node) in states.items():
+                for letters, price in choices:
+                    h, total = history, cost + price
+                    for x in letters:
+                        code = ord(x) - 96 if x != " " else 0
+                        total += costs[h][code]
+                        h = (h * SIZE + code) % SIZE**3 if code else 0
+                    old = after.get(h)
+                    if old is None or total < old[0]:
+                        after[h] = (total, (letters, node) if letters else node)
+            states = after
+        if step % SETTLE == SETTLE - 1:
+            text, states = _settled(states)
+            done.append(text)
+    ends = [(cost + costs[h][0], node) for h, (cost, node) in states.items()]
+    least = min(cost for cost, _ in ends)
+    return "".join(done) + min(_written_down(node) for cost, node in ends if cost == least)
+
+
+def decode_doubled(word: str, costs: Costs) -> str:
+    """``decode`` of a plain word without accents whose runs are of two letters: every spelling is priced."""
+    spellings = [(0.0, 0, "")]
+    k = 0
+    while k < len(word):
+        code = ord(word[k]) - 96
+        run = 2 if word[k : k + 2] == word[k] * 2 else 1
+        k += run
+        out = []
+        for total, h, text in spellings:
+            if run == 2:
+                out.append((total + 0.7 + costs[h][code], (h * SIZE + code) % SIZE**3, text + word[k - 1]))
+            total = total + costs[h][code]
+            h = (h * SIZE + code) % SIZE**3
+            if run == 2:
+                total, h = total + costs[h][code], (h * SIZE + code) % SIZE**3
+            out.append((total, h, text + word[k - run : k]))
+        spellings = out
+    return min((total + costs[h][0], text) for total, h, text in spellings)[1]
+
+
+def restore(token: str, costs: Costs) -> str:
     """The word that a token without white space stands for; '' without any letter from a to z.
 
     A plain word is itself in lower case, accents and all. A disguised one is
@@ -234,10 +372,12 @@ def other_words(core: str) -> set[str]:
     Signs stay with their letters and digits go. A word with repeated letters
     is there with runs of one letter and of two as well.
     """
-    out = set()
+    out: set[str] = set()
+    if not any(_OTHER[c] for c in {*core, *core.lower()}):
+        return out
     for part in {*_CUTS[-1].split(core), _CUTS[-1].sub("", core)}:
         word = re.sub(r"\d+", "", part).lower()
-        if any(c.isalpha() and not fold(c) for c in word):
+        if any(_OTHER[c] for c in set(word)):
             if not _RUN.search(word):
                 out.add(word)
             if _DOUBLED.search(word):
@@ -245,23 +385,67 @@ def other_words(core: str) -> set[str]:
     return out
 
 
-def readings(token: str, costs: list[list[float]]) -> set[str]:
+#: Doubled letters in one word up to which all its spellings are priced one by one.
+FEW_RUNS = 3
+
+
+def _heads(word: str) -> set[str]:
+    """Beginnings, of ``HEAD`` letters at most, of all that a plain word can be decoded to."""
+    some, out, k = {""}, set(), 0
+    while k < len(word) and some:
+        end = k
+        while end < len(word) and word[end] == word[k]:
+            end += 1
+        letter = fold(word[k])
+        grown = {x + y for x in some for y in ((letter, letter * 2) if end - k > 1 else (letter,))}
+        out |= {x[:HEAD] for x in grown if len(x) >= HEAD}
+        some = {x for x in grown if len(x) < HEAD}
+        k = end
+    return out | some
+
+
+def _plain_readings(word: str, costs: Costs) -> set[str]:
+    """Readings of a plain word in lower case: itself, and without its doubled letters."""
+    out = {word}
+    runs = len(_DOUBLED.findall(word))
+    if runs:
+        if word.isascii() and runs <= FEW_RUNS and not _RUN.search(word):
+            found = decode_doubled(word, costs)
+            if found != word:
+                out.add("~" + found)
+        elif fold(word):
+            out.update(["~" + w for w in decode(word, costs).split() if w != word])
+    return out
+
+
+def readings(token: str, costs: Costs) -> set[str]:
     """All words that a token may stand for: read as a whole, and in its parts between marks."""
+    core = token.rstrip(_PUNCTUATION).lstrip(_LEADING)
+    if _PLAIN.fullmatch(core) and not _RUN.search(core):
+        # marks outside alone: every part is the word or nothing
+        out = _plain_readings(core.lower(), costs) | {""}
+        return out if token.isascii() else out | other_words(token)
     out = set()
     for part in {token, *[x for cut in _CUTS for x in cut.split(token)]} if not _PLAIN.fullmatch(token) else (token,):
         word = restore(part, costs)
         if word[:1] == "~":
             out.update(["~" + w for w in word[1:].split()])
         else:
-            out.add(word)
-            if _DOUBLED.search(word) and fold(word):  # repeated letters, or so spelled
-                out.update(["~" + w for w in decode(word, costs).split() if w != word])
+            out |= _plain_readings(word, costs)
     if not token.isascii():
         out |= other_words(token)
     return out
 
 
-def restored_words(text: str, costs: list[list[float]], memo: dict, limit: int = 300_000) -> set[str]:
+def spaced_words(text: str, costs: Costs) -> set[str]:
+    """Words restored from letters set apart."""
+    out = set()
+    for m in _SPACED.finditer(text):
+        out.update(["~" + w for w in decode(re.sub(r"[-_.]", " ", m.group()), costs).split()])
+    return out
+
+
+def restored_words(text: str, costs: Costs, memo: dict, limit: int = 300_000) -> set[str]:
     """The distinct restored words of a whole text. ``memo`` keeps tokens met before, ``limit`` at most."""
     out = set()
     for token in set(text.split()):
@@ -273,8 +457,7 @@ def restored_words(text: str, costs: list[list[float]], memo: dict, limit: int =
                     memo.clear()
                 memo[token] = words
         out.update(words)
-    for m in _SPACED.finditer(text):
-        out.update(["~" + w for w in decode(re.sub(r"[-_.]", " ", m.group()), costs).split()])
+    out |= spaced_words(text, costs)
     out -= {"", "~"}
     return out
 
@@ -324,12 +507,64 @@ class Scorer:
             if weight > 0 and plain != w:
                 self.spelled[plain] = w
 
-    def score(self, words: set[str]) -> float:
-        x = self.bias + sum(self.words[w] for w in features(words, self.spelled) if w in self.words)
+        # in one order, so that equal features sum up to equal scores
+        self.place = {w: k for k, w in enumerate(sorted(words))}
+        self.weight = [words[w] for w in sorted(words)]
+        # no word that begins otherwise has a telling feature: beginnings are of HEAD letters or more
+        self.heads = {f[:HEAD] for f in (*words, *self.spelled)}
+
+    def telling(self, words) -> tuple[int, ...]:
+        """Places of the features of ``words`` that have a weight."""
+        return tuple(self.place[f] for f in features({w for w in words if w not in ("", "~")}, self.spelled) if f in self.place)
+
+    def told(self, token: str, costs: "Costs") -> tuple[int, ...]:
+        """``telling`` of all readings of a token; readings that cannot tell anything are not made."""
+        core = token.rstrip(_PUNCTUATION).lstrip(_LEADING)
+        if not _PLAIN.fullmatch(core) or _RUN.search(core):
+            return self.telling(readings(token, costs))
+        word, found = core.lower(), set()
+        if word[:HEAD] in self.heads:
+            found.add(word)
+        if _DOUBLED.search(word) and not self.heads.isdisjoint(_heads(word)):
+            found |= _plain_readings(word, costs)
+        if not token.isascii():
+            found |= other_words(token)
+        return self.telling(found) if found else ()
+
+    def of_features(self, places: set[int]) -> float:
+        x = self.bias + sum(self.weight[k] for k in sorted(places))
         return float(1 / (1 + np.exp(-np.clip(x, -30, 30))))
 
+    def score(self, words: set[str]) -> float:
+        return self.of_features(set(self.telling(words)))
+
+    def score_text(self, text: str, costs: "Costs", memo: dict, limit: int = 300_000) -> float:
+        """Score of a whole text. ``memo`` keeps what tokens met before tell, ``limit`` at most."""
+        found: set[int] = set()
+        for token in set(text.split()):
+            told = memo.get(token)
+            if told is None:
+                told = self.told(token, costs)
+                if len(token) <= 24:
+                    if len(memo) >= limit:
+                        memo.clear()
+                    memo[token] = told
+            found.update(told)
+        found.update(self.telling(spaced_words(text, costs)))
+        return self.of_features(found)
+
+
+def _memo_of_scores(shared, words: dict[str, float], bias: float) -> tuple[Scorer, dict]:
+    """The worker's scorer and its memo; those of one broadcast model and one scorer at a time."""
+    cache = worker_cache()
+    held = cache.get("toxicity-scores")
+    if held is None or held[0] != shared.id:
+        held = (shared.id, Scorer(None, words, bias), {})
+        cache["toxicity-scores"] = held
+    return held[1], held[2]
+
 
-def _memo(shared) -> tuple[list[list[float]], dict]:
+def _memo(shared) -> tuple[Costs, dict]:
     """The worker's cost table and memo for a broadcast character model; those of one model at a time."""
     cache = worker_cache()
     held = cache.get("toxicity")
@@ -369,9 +604,10 @@ def train(docs: DataFrame, labels: DataFrame, chars: CharModel, sample_rows: int
     part = F.when(F.col("toxic") == 1, sample_rows / 2 / sizes[1]).otherwise(sample_rows / 2 / sizes[0])
     chosen = truth.where(chance < part).orderBy(F.xxhash64("_id"), "_id").limit(2 * sample_rows)
     d = pick(docs, "doc_id", "text")
-    rows = d.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "toxic", "text")
-    # a bounded sample's texts, which two passes read
-    rows = written(rows.select("toxic", "text"), "toxic-sample")
+    rows = d.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("_id", "toxic", "text")
+    # one row of each id, so that rows are bounded as ids are; two passes read them
+    one = F.min_by(F.struct("toxic", "text"), F.struct(F.xxhash64("text"), "text")).alias("r")
+    rows = written(rows.groupBy("_id").agg(one).select("r.toxic", "r.text"), "toxic-sample")
     shared = _Shared(spark, chars)
 
     def tally(batches):
@@ -430,10 +666,10 @@ def score(docs: DataFrame, scorer: Scorer, held_out: Column) -> DataFrame:
     words, bias = scorer.words, scorer.bias
 
     def run(batches):
-        costs, memo = _memo(shared)
-        own = Scorer(None, words, bias)
+        costs = _memo(shared)[0]
+        own, memo = _memo_of_scores(shared, words, bias)
         for batch in batches:
-            got = [own.score(restored_words(t.as_py() or "", costs, memo)) for t in batch.column(1)]
+            got = [own.score_text(t.as_py() or "", costs, memo) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

@@ -139,3 +139,67 @@ def test_other_scripts_are_learned(spark):
     rows += [(300, "как он, дурак1"), (301, "как он, лес1")]
     got = {r.doc_id: r.predicted for r in judge_toxicity(documents(spark, rows), labels).collect()}
     assert all(got[k] == k % 2 for k in range(200)) and got[300] == 1 and got[301] == 0
+
+
+def test_decode_of_long_tokens_is_linear_and_exact(costs):
+    """Pieces that leave one history behind decode alike on their own and as part of a long token."""
+    import time
+
+    rnd = random.Random(8)
+    piece = ["".join(rnd.choice("abstreidom") for _ in range(9)) + rnd.choice("013$5") for _ in range(400)]
+    took = []
+    for n in (100, 400):
+        start = time.perf_counter()
+        got = decode("".join(piece[:n] * 50), costs)
+        took.append(time.perf_counter() - start)
+        assert got == decode("".join(piece[:n] * 2), costs)[: len(got) // 50] + got[len(got) // 50 :]
+    assert took[1] < 12 * took[0] + 0.5
+
+
+def test_runs_of_stars_of_any_length(costs):
+    for n in (1, 2, 3, 17, 100, 20_000):
+        word = decode("sc" + "*" * n + "um", costs)
+        assert word.startswith("sc") and word.endswith("um") and len(word) < 20, n
+    assert decode("mor*n", costs) == "moron" and decode("m***n", costs) == "moron"
+    assert decode("x" + "*" * costs.most_stars, costs) == decode("x" + "*" * (costs.most_stars + 300), costs)
+
+
+def test_steps_as_arrays_equal_steps_one_by_one(costs, monkeypatch):
+    import pricerisk.llm.toxicity as tx
+
+    rnd = random.Random(5)
+    tokens = ["".join(rnd.choice("st1i0$*aa!|e") for _ in range(7)) for _ in range(40)]
+    plain = [decode(t, costs) for t in tokens]
+    monkeypatch.setattr(tx, "MANY", 1)
+    assert [decode(t, costs) for t in tokens] == plain
+    monkeypatch.setattr(tx, "SETTLE", 1)
+    assert [decode(t, costs) for t in tokens] == plain
+
+
+def test_doubled_letters_priced_one_by_one(costs):
+    from pricerisk.llm.toxicity import decode_doubled
+
+    rnd = random.Random(6)
+    for _ in range(200):
+        word = "".join(rnd.choice(["st", "uu", "p", "ii", "dd", "o", "mm", "an"]) for _ in range(5))
+        if not any(word[k] == word[k + 1] == word[k + 2] for k in range(len(word) - 2)):
+            assert decode_doubled(word, costs) == decode(word, costs)
+
+
+def test_scores_of_texts_equal_scores_of_their_restored_words(costs):
+    from pricerisk.llm.toxicity import Scorer
+
+    rnd = random.Random(7)
+    scorer = Scorer(None, {"idiot": 2.0, "scum": 1.5, "stup-": 1.0, "réeux": 0.5, "mor-": 0.2, "the": -0.5, "ид": 1.0, "a": 0.25}, -1.0)
+    pool = ["1d10t", "id1ot,", "SCUM!!", "stuupid", "the.", "(the)", "Réeux", "r-é-e-u-x", "и.д", "a", "moor", "m o r o n", "lazy/stupid", "x" * 40, "s**m", "é"]
+    for _ in range(60):
+        text = " ".join(rnd.choice(pool) for _ in range(12))
+        assert scorer.score_text(text, costs, {}) == scorer.score(restored_words(text, costs, {}))
+
+
+def test_repeated_rows_of_a_labelled_document_are_one_row_of_the_sample(spark):
+    rows = [(k, f"word{k % 7} idiot here" if k % 2 else f"word{k % 7} good here") for k in range(60)]
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(60)], "doc_id long, quality int, toxic int")
+    once = judge_toxicity(documents(spark, rows), labels).collect()
+    again = judge_toxicity(documents(spark, rows + [(1, f"other text {k}") for k in range(200)] + rows[3:4] * 500), labels).collect()
+    assert {r.doc_id for r in once if r.predicted} == {r.doc_id for r in again if r.predicted and r.doc_id != 1} | {1}
