@@ -1,5 +1,6 @@
 """End-to-end jobs over raw files as pandas writes them (INT64 TIMESTAMP(NANOS) dates)."""
 
+import ast
 import os
 
 import pandas as pd
@@ -54,3 +55,49 @@ def test_batch_cli(spark, tmp_dir, capsys):
     main(["batch", "--raw", root, "--out", out, "--dedup"])
     assert "annual_volatility_pct" in capsys.readouterr().out
     assert os.path.isdir(os.path.join(out, "marts", "mart_correlation"))
+
+
+def test_ingest_job_to_marts(spark, tmp_dir, capsys):
+    """Requests as lines of text -> raw layer -> marts, on the command line; a run again replaces itself."""
+    from pricerisk.plans.jobs import main
+
+    requests, root = os.path.join(tmp_dir, "requests"), os.path.join(tmp_dir, "root")
+    fx.faulty_requests(spark, SF_SMALL).select("body").write.text(requests)
+    for _ in range(2):
+        main(["ingest", "--requests", requests, "--root", root, "--run", "r1"])
+    said = [x for x in capsys.readouterr().out.splitlines() if "rows" in x]
+    assert len(said) == 2 and said[0] == said[1]
+    n = ast.literal_eval(said[0])
+    raw = spark.read.parquet(os.path.join(root, "stock_prices"))
+    assert raw.count() == n["rows"] > 500 and spark.read.parquet(os.path.join(root, "rejects")).count() == n["rejects"] > 1
+    m = batch_job(spark, os.path.join(root, "stock_prices"), base=os.path.join(tmp_dir, "tables"))
+    assert m.risk_metrics.count() == 8
+
+
+def test_history_job_lands_the_window_of_the_universe(spark, tmp_dir):
+    from pricerisk.plans.jobs import main
+    from pricerisk.sources.prices import read_raw_prices
+
+    bars, root, names = (os.path.join(tmp_dir, n) for n in ("bars", "root", "universe.json"))
+    fx.vendor_frame(spark, SF_SMALL).write.parquet(bars)
+    with open(names, "w") as f:
+        f.write('{"symbol": "S2", "name": "two"}\n{"symbol": "S4", "name": "four"}\n')
+    main(["history", "--bars", bars, "--root", root, "--start", "2024-01-10", "--end", "2024-01-15", "--universe", names])
+    raw = read_raw_prices(spark, os.path.join(root, "stock_prices"), keep_dt=True)
+    assert {(r.symbol, str(r.dt)) for r in raw.collect()} == {("S2", "2024-01-15"), ("S4", "2024-01-15")}
+    m = batch_job(spark, os.path.join(root, "stock_prices"), base=os.path.join(tmp_dir, "tables"))
+    days = sorted({str(r.date) for r in m.core.collect()})
+    assert days[0] >= "2024-01-10" and days[-1] <= "2024-01-14"
+
+
+def test_stream_commands(spark, tmp_dir):
+    from pricerisk.plans.jobs import main
+
+    ticks = os.path.join(tmp_dir, "ticks")
+    fx.event_ticks(spark, SF_SMALL).select("symbol", "price", "timestamp").coalesce(1).write.json(ticks)
+    for kind in ("tick-change", "windowed-alerts", "alerts"):
+        sink = os.path.join(tmp_dir, kind)
+        more = ["--window", "6 hours"] if kind == "windowed-alerts" else ["--trigger", "2 seconds"]
+        main([kind, "--format", "json", "--path", ticks, "--sink", sink, "--checkpoint", sink + "-ck", "--available-now", *more])
+        assert spark.read.parquet(sink).count() > 0
+    assert spark.read.parquet(os.path.join(tmp_dir, "tick-change")).count() == fx.event_ticks(spark, SF_SMALL).count()

@@ -273,26 +273,26 @@ def test_records_to_prices_string_and_array(spark):
 
 
 def test_universe_returns_symbols_in_order(spark):
-    u = src.universe(spark, [{"symbol": "SHEL.L", "name": "Shell"}, {"symbol": "BP.L", "name": "BP"}])
-    assert [r.symbol for r in u.orderBy("position").collect()] == ["SHEL.L", "BP.L"]
+    u = src.universe(spark, [{"symbol": "QQ1.L", "name": "First plc"}, {"symbol": "QQ2.L", "name": "Second plc"}])
+    assert [r.symbol for r in u.orderBy("position").collect()] == ["QQ1.L", "QQ2.L"]
 
 
 def test_normalize_adds_symbol_and_lowercases_columns(spark):
-    df = spark.createDataFrame([(100.0, 105.0)], "Open double, Close double")
-    out = src.normalize_columns(df, symbol="SHEL.L")
+    df = spark.createDataFrame([(41.5, 43.25)], "Open double, Close double")
+    out = src.normalize_columns(df, symbol="QQ1.L")
     assert {"symbol", "open", "close", "ingested_at"} <= set(out.columns)
-    assert out.first().symbol == "SHEL.L"
-    two_level = spark.createDataFrame([(1.0,)], "`('Close', 'SHEL.L')` double")
+    assert out.first().symbol == "QQ1.L"
+    two_level = spark.createDataFrame([(1.0,)], "`('Close', 'QQ1.L')` double")
     assert src.normalize_columns(two_level).columns[0] == "close"
 
 
 def test_write_raw_builds_dated_path_and_replaces_rerun(spark, tmp_dir):
-    df = spark.createDataFrame([("SHEL.L", 100.0)], "symbol string, close double")
-    path = sk.write_raw(df, tmp_dir, "2026-07-15")
-    assert path.endswith("stock_prices/dt=2026-07-15")
+    df = spark.createDataFrame([("QQ1.L", 100.0)], "symbol string, close double")
+    path = sk.write_raw(df, tmp_dir, "2025-03-10")
+    assert path.endswith("stock_prices/dt=2025-03-10")
     assert any(f.endswith(".parquet") for f in os.listdir(path))
-    sk.write_raw(df, tmp_dir, "2026-07-16")
-    sk.write_raw(df, tmp_dir, "2026-07-15")  # re-run replaces, does not append
+    sk.write_raw(df, tmp_dir, "2025-03-11")
+    sk.write_raw(df, tmp_dir, "2025-03-10")  # re-run replaces, does not append
     back = spark.read.parquet(f"{tmp_dir}/stock_prices")
     assert back.count() == 2
 
@@ -382,9 +382,9 @@ def test_universe_from_yaml_config_in_order(spark, tmp_dir):
     # mirror of the reference test: a temporary YAML with two tickers
     path = os.path.join(tmp_dir, "tickers.yaml")
     with open(path, "w") as f:
-        f.write("tickers:\n    - symbol: SHEL.L\n      name: Shell\n    - symbol: BP.L\n      name: BP\n")
+        f.write("tickers:\n    - symbol: QQ1.L\n      name: First plc\n    - symbol: QQ2.L\n      name: Second plc\n")
     u = src.universe(spark, path)
-    assert [r.symbol for r in u.orderBy("position").collect()] == ["SHEL.L", "BP.L"]
+    assert [r.symbol for r in u.orderBy("position").collect()] == ["QQ1.L", "QQ2.L"]
     assert src.universe(spark).count() == 8
 
 
