@@ -15,7 +15,8 @@ attempts that succeeded; what a lost executor leaves behind is never read.
 
 Defined results: a null text is empty, an empty one is a record with the end
 id alone; null document ids sort first; repeated rows are repeated records; an
-empty table gives no record. Extra columns are ignored.
+empty table gives no record. Equal document ids with different texts stand in
+the order of the texts' hashes. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -169,9 +170,16 @@ def record_files(spark: SparkSession, folder: str) -> DataFrame:
     files = index.groupBy("part", "file_no", "file").agg(
         F.count(F.lit(1)).alias("n_records"), F.sum("n_tokens").alias("n")
     )
-    # one row for each file: a list of thousands at 100 TB, not of documents
-    order = Window.orderBy("part", "file_no").rowsBetween(Window.unboundedPreceding, -1)
-    return files.select("file", "n_records", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
+    # files are numbered within their part; only the parts, as many as shuffle partitions, have one order
+    parts = files.groupBy(F.col("part").alias("_part")).agg(F.sum("n").alias("_n"))
+    parts = parts.select("_part", F.coalesce(F.sum("_n").over(_rows_before().orderBy("_part")), F.lit(0)).alias("_before"))
+    inside = F.coalesce(F.sum("n").over(_rows_before().partitionBy("part").orderBy("file_no")), F.lit(0))
+    counted = files.withColumn("_inside", inside).join(parts, F.col("part") == F.col("_part"))
+    return counted.select("file", "n_records", (F.col("_before") + F.col("_inside")).alias("before"))
+
+
+def _rows_before():
+    return Window.rowsBetween(Window.unboundedPreceding, -1)
 
 
 def read_records(spark: SparkSession, folder: str, digest: bool = False) -> DataFrame:
