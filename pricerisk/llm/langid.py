@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricerisk.llm.common import pick, worker_cache
+from pricerisk.llm.common import pick, tidy, worker_cache
 from pricerisk.llm.ftrl import fit, logits_of, softmax, temperature
 from pricerisk.llm.tokens import in_slices
 
@@ -32,6 +32,8 @@ GRAMS = 3
 SAMPLE_ROWS = 4000
 MAX_LANGS = 1000
 UNDETERMINED = "und"
+#: Characters whose n-grams are made at a time, some 70 bytes of arrays for each; more only for one longer text.
+SLICE = 500_000
 #: Odd multipliers of the n-gram hash, one for each place in it.
 MULTIPLIERS = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
 
@@ -96,6 +98,12 @@ def gram_buckets(texts: list[str], bits: int = BITS) -> list[np.ndarray]:
     return [np.concatenate([p[k] for p in parts]) if has[k] else empty for k in range(len(texts))]
 
 
+def grams_of(texts: list[str]):
+    """The buckets of each text, in arrays for a slice of the texts at a time."""
+    for a, b in in_slices(texts, SLICE):
+        yield from gram_buckets(texts[a:b])
+
+
 def term_counts(buckets: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     counts = np.bincount(buckets, minlength=1 << bits)
     index = np.flatnonzero(counts)
@@ -131,16 +139,14 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     def run(batches):
         total = np.zeros((1 << BITS) + 1, dtype=np.int64)
         for batch in batches:
-            some = [t or "" for t in batch.column(0).to_pylist()]
-            for a, b in in_slices(some):
-                for buckets in gram_buckets(some[a:b]):
-                    if len(buckets):
-                        total[np.unique(buckets) if len(buckets) < 4096 else term_counts(buckets)[0]] += 1
-                        total[-1] += 1
+            for buckets in grams_of([t or "" for t in batch.column(0).to_pylist()]):
+                if len(buckets):
+                    total[np.unique(buckets) if len(buckets) < 4096 else term_counts(buckets)[0]] += 1
+                    total[-1] += 1
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], names=["bucket", "n"])
 
-    rows = texts.mapInArrow(run, COUNTS).groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+    rows = texts.mapInArrow(tidy(run), COUNTS).groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     df = np.zeros((1 << BITS) + 1, dtype=np.int64)
     for r in rows:
         df[r["bucket"]] = r["n"]
@@ -163,7 +169,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, **options) -> Model:
     def run(batches):
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in in_slices(texts):
+            for a, b in in_slices(texts, SLICE):
                 rows = []
                 for lang, buckets in zip(langs[a:b], gram_buckets(texts[a:b])):
                     if len(buckets):
@@ -174,7 +180,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, **options) -> Model:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], names=SAMPLE.fieldNames())
 
     chosen = d.select("text", "lang", order.alias("h")).where(chance < F.coalesce(parts[F.col("lang")], F.lit(0.0)))
-    sample = chosen.orderBy("h", "lang").limit(2 * sample_rows).select("text", "lang").mapInArrow(run, SAMPLE).collect()
+    sample = chosen.orderBy("h", "lang").limit(2 * sample_rows).select("text", "lang").mapInArrow(tidy(run), SAMPLE).collect()
     langs = sorted({r["lang"] for r in sample})
     place = {x: k for k, x in enumerate(langs)}
     rows = []
@@ -202,10 +208,7 @@ def predict(docs: DataFrame, model: Model, held_out: Column, more: tuple[str, ..
     def run(batches):
         m = shared.value
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            got = []
-            for a, b in in_slices(texts):
-                got += [m.predict(x) for x in gram_buckets(texts[a:b])]
+            got = [m.predict(x) for x in grams_of([t or "" for t in batch.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -221,7 +224,7 @@ def predict(docs: DataFrame, model: Model, held_out: Column, more: tuple[str, ..
     own = [F.col(c).alias(f"_{c}") for c in more]
     d = d.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"), *own)
     schema = T.StructType([*PREDICTED.fields, *[T.StructField(c, d.schema[f"_{c}"].dataType) for c in more]])
-    return d.mapInArrow(run, schema)
+    return d.mapInArrow(tidy(run), schema)
 
 
 def learn(docs: DataFrame, folds: int = 4, held_out_fold: int = 2, **options) -> tuple[Model, Column]:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricerisk.llm.common import numbered, pick
+from pricerisk.llm.common import numbered, pick, tidy
 from pricerisk.llm.tokens import encoder, in_slices
 
 CAPACITY = 1024
@@ -74,7 +74,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, en
                     [pa.array(c, type=t) for c, t in zip(rows, types)], names=PIECES.fieldNames()
                 )
 
-    return pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
+    return pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), PIECES)
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:

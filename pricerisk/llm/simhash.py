@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricerisk.llm.common import pick, shuffle_partitions, written
+from pricerisk.llm.common import pick, shuffle_partitions, tidy, written
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -96,7 +96,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, more
             )
 
     d = pick(docs, "doc_id", "text", *more).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return d.mapInArrow(run, T.StructType([*FINGERPRINTS.fields, *[d.schema[c] for c in more]]))
+    return d.mapInArrow(tidy(run), T.StructType([*FINGERPRINTS.fields, *[d.schema[c] for c in more]]))
 
 
 @lru_cache(maxsize=4)
@@ -170,7 +170,7 @@ def replicas(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                     [pa.array(anchor), pa.array(part[row]), pa.array(home)], names=REPLICAS.fieldNames()
                 )
 
-    return nodes.select("fp").mapInArrow(run, REPLICAS)
+    return nodes.select("fp").mapInArrow(tidy(run), REPLICAS)
 
 
 def _roots(n: int, links) -> list[int]:
@@ -254,7 +254,7 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
     spread = replicas(nodes, max_bits)
     n = shuffle_partitions(nodes.sparkSession)
-    return spread.repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(run, EDGES).distinct()
+    return spread.repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(tidy(run), EDGES).distinct()
 
 
 def _mates(live: DataFrame) -> DataFrame:

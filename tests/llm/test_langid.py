@@ -1,11 +1,16 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
+from pricerisk.llm import langid
+from pricerisk.llm.common import tidy
 from pricerisk.llm.ftrl import Ftrl, softmax, temperature
-from pricerisk.llm.langid import gram_buckets, identify
+from pricerisk.llm.langid import document_frequencies, gram_buckets, grams_of, identify
 from tests.llm.helpers import ODD_TEXTS, clashing, documents
 
 
@@ -92,3 +97,48 @@ def test_every_language_is_learned(spark):
     finally:
         langid.fit = was
     assert len(model.langs) == 13 and set(seen) == set(range(13)) and seen.count(0) == 160
+
+
+class Taken:
+    """Stands for a DataFrame, and keeps the function that would run over its batches."""
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        raise InterruptedError
+
+
+def test_arrays_of_a_batch_stay_small():
+    taken = Taken()
+    with pytest.raises(InterruptedError):
+        document_frequencies(taken)
+    batch = pa.RecordBatch.from_pydict({"text": [f"{k} " + "Some words of one text. " * 100 for k in range(1000)]})
+    list(taken.run([batch.slice(0, 1)]))  # the table of letters is made once
+    tracemalloc.start()
+    (counted,) = taken.run([batch])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counted.to_pydict()["n"][-1] == 1000
+    assert peak < 64 << 20  # 163 MiB when all of the 2.4 million characters had their arrays at once
+
+
+def test_slices_give_the_same_buckets(monkeypatch):
+    texts = ["", "Ein Satz.", "zwei  Wörter", "12", "x" * 300, "ab cd", "é"]
+    whole = gram_buckets(texts)
+    monkeypatch.setattr(langid, "SLICE", 150)
+    parts = list(grams_of(texts))
+    assert len(parts) == len(texts) and all((a == b).all() for a, b in zip(whole, parts))
+
+
+def test_arrow_memory_goes_back_after_a_task(monkeypatch):
+    released = []
+
+    class Pool:
+        def release_unused(self):
+            released.append(True)
+
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    assert list(tidy(lambda batches: (b + 1 for b in batches))([1, 2])) == [2, 3] and len(released) == 1
+    early = tidy(iter)([1, 2])
+    assert next(early) == 1
+    early.close()  # a task that is not read to its end
+    assert len(released) == 2
